@@ -79,9 +79,10 @@ def band(
 
 
 def _head(c: Column, sep: str) -> Column:
-    # limit=2: only the text before the first separator is needed, so the
-    # rest of the string is not split (same first element as an unlimited split).
-    return F.split(c, sep, 2).getItem(0)
+    # Text before the first ``sep`` (all of it when absent): the same value as
+    # ``split(c, sep)[0]`` for a one-character literal separator, computed on
+    # the UTF-8 bytes without a regex or an intermediate array.
+    return F.substring_index(c, sep, 1)
 
 
 def first_name_unguarded(c: ColumnOrName) -> Column:

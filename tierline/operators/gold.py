@@ -4,9 +4,9 @@ Scale notes (a key may hold a third of all rows):
 
 * Grouped aggregates use Spark's partial + final aggregation, so a hot key
   costs one combined row per map task, not its raw rows.
-* Nothing partitions **raw** rows by the member key. The window and join
-  forms first collapse rows to (key, band) or (key, name, band) grain with
-  map-side combine; the window / join then runs over those few rows.
+* Nothing partitions **raw** rows by the member key for a window. The
+  window forms first collapse rows to (key, band, name) grain with map-side
+  combine; the window then runs over those few rows.
 * The per-row window form (:func:`with_key_totals`) aggregates per key and
   joins back; the join is left to the planner, which broadcasts only when the
   measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -48,6 +48,44 @@ def per_key_totals(df: DataFrame, key: str = "UUID", points: str = "points_int")
     ).withColumnRenamed(key, KEY)
 
 
+def _stats(df: DataFrame, groups: list[str], key: str, points: str, name: str | None = None) -> DataFrame:
+    """Combinable statistics at ``groups`` (+ ``name``) grain.
+
+    Only fixed-width buffers (counts, sums, min, max), so Spark plans a hash
+    aggregate with map-side combine. A string ``max`` would force a sort of
+    every raw row instead; the name is therefore a grouping key here and its
+    maximum is taken later over these few combined rows (:func:`_merged`).
+    """
+    p = F.col(points)
+    by = [*groups, name] if name else list(groups)
+    return df.groupBy(*by).agg(
+        F.count(F.col(key)).alias("_n_key"),
+        F.sum(p).alias("_sum"),
+        F.count(p).alias("_n_pts"),
+        F.min(p).alias("_min"),
+        F.max(p).alias("_max"),
+    )
+
+
+def _merged(stats: DataFrame, groups: list[str], name: str | None = None) -> DataFrame:
+    """Merge :func:`_stats` rows to ``groups`` grain (and the max name)."""
+    aggs = [
+        F.sum("_n_key").alias("_n_key"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_n_pts").alias("_n_pts"),
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+    ]
+    if name:
+        aggs.insert(0, F.max(name).alias("_name"))
+    return stats.groupBy(*groups).agg(*aggs)
+
+
+def _avg(total: Column | str, n: Column | str) -> Column:
+    """``sum / count`` in double (what AVG of an int computes); NULL on 0 rows."""
+    return F.try_divide(F.col(total) if isinstance(total, str) else total, F.col(n) if isinstance(n, str) else n)
+
+
 def gold_by_key_and_band(
     silver: DataFrame,
     key: str = KEY,
@@ -58,37 +96,25 @@ def gold_by_key_and_band(
     with_stamp: bool = True,
 ) -> DataFrame:
     """Customers gold at (key, band) grain: max name, count(key), sum,
-    decimal average, min, max, band and a stamp."""
-    p = F.col(points)
-    out = silver.groupBy(key, band).agg(
-        F.max(name).alias(NAME),
-        F.count(F.col(key)).alias(COUNT),
-        F.sum(p).alias(TOTAL),
-        to_decimal(F.avg(p), precision).alias(AVG),
-        F.min(p).alias(MIN),
-        F.max(p).alias(MAX),
-    )
+    decimal average, min, max, band and a stamp.
+
+    Plan: hash aggregate at (key, band, name) with map-side combine, then a
+    small merge to (key, band) that also takes the max name.
+    """
+    m = _merged(_stats(silver, [key, band], key, points, name), [key, band], name)
     cols: list[Column | str] = [
-        F.col(key).alias(KEY), NAME, COUNT, TOTAL, AVG, MIN, MAX, F.col(band).alias(BAND)
+        F.col(key).alias(KEY),
+        F.col("_name").alias(NAME),
+        F.col("_n_key").alias(COUNT),
+        F.col("_sum").alias(TOTAL),
+        to_decimal(_avg("_sum", "_n_pts"), precision).alias(AVG),
+        F.col("_min").alias(MIN),
+        F.col("_max").alias(MAX),
+        F.col(band).alias(BAND),
     ]
     if with_stamp:
         cols.append(stamp().alias(INGESTED_AT))
-    return out.select(*cols)
-
-
-def _partials(df: DataFrame, groups: list[str], key: str, name: str | None, points: str) -> DataFrame:
-    """Combinable partial statistics at ``groups`` grain (map-side combined)."""
-    p = F.col(points)
-    aggs = [
-        F.count(F.col(key)).alias("_n_key"),
-        F.sum(p).alias("_sum"),
-        F.count(p).alias("_n_pts"),
-        F.min(p).alias("_min"),
-        F.max(p).alias("_max"),
-    ]
-    if name is not None:
-        aggs.insert(0, F.max(name).alias("_name"))
-    return df.groupBy(*groups).agg(*aggs)
+    return m.select(*cols)
 
 
 def window_totals(
@@ -101,26 +127,29 @@ def window_totals(
 ) -> DataFrame:
     """One row per (key, band) carrying **key-wide** totals.
 
-    Same result as six ``agg(..) OVER (PARTITION BY key)`` columns kept with
-    the band and then made DISTINCT, but the window runs over at most one row
-    per (key, band): partial statistics are combined first, then summed,
-    min'ed and max'ed over the key. The average is the exact key-wide
-    ``sum / count`` in double, then cast to decimal.
+    Same result as six ``agg(..) OVER (PARTITION BY key)`` columns over the
+    raw rows, band kept, then DISTINCT. Here the window runs over combined
+    (key, band, name) statistics instead of raw rows, so a hot key brings a
+    handful of rows to its window task, not all of its events. The DISTINCT
+    after the window needs no shuffle: the window's partitioning on the key
+    already clusters its rows.
     """
-    pre = _partials(silver, [key, band], key, name, points)
+    st = _stats(silver, [key, band], key, points, name)
     w = Window.partitionBy(key)
     total = F.sum("_sum").over(w)
-    n_pts = F.sum("_n_pts").over(w)
-    return pre.select(
-        F.col(key).alias(KEY),
-        F.max("_name").over(w).alias(NAME),
+    # DISTINCT while the key still carries its own name, so the planner sees
+    # that the window's hash partitioning on it already clusters the rows.
+    rows = st.select(
+        F.col(key),
+        F.max(name).over(w).alias(NAME),
         F.sum("_n_key").over(w).alias(COUNT),
         total.alias(TOTAL),
-        to_decimal(F.try_divide(total, n_pts), precision).alias(AVG),
+        to_decimal(_avg(total, F.sum("_n_pts").over(w)), precision).alias(AVG),
         F.min("_min").over(w).alias(MIN),
         F.max("_max").over(w).alias(MAX),
-        F.col(band).alias(BAND),
-    )
+        F.col(band),
+    ).distinct()
+    return rows.select(F.col(key).alias(KEY), NAME, COUNT, TOTAL, AVG, MIN, MAX, F.col(band).alias(BAND))
 
 
 def validation_report(
@@ -131,30 +160,36 @@ def validation_report(
     band: str = BAND,
     ordered: bool = True,
 ) -> DataFrame:
-    """Silver groups LEFT JOIN per-key totals, one row per (key, name, band).
-
-    Equal to joining every silver row to the per-key view and grouping by all
-    non-aggregate columns (the per-key values are constant inside a group),
-    but the join sees combined groups instead of raw rows. A NULL key matches
-    nothing, so all its totals (count included) are NULL. Sorted by the count,
-    descending, when ``ordered``.
+    """Per-key totals LEFT-joined to silver groups, one row per (key, name, band).
+
+    Same result as joining every silver row to the per-key view (LEFT JOIN on
+    the key) and grouping by all non-aggregate columns: inside a group the
+    per-key values are constant, and a NULL key has no partner, so all of its
+    totals (count included) are NULL.
+
+    Plan: one scan, combined to (key, name, band) with map-side combine; the
+    per-key totals are then a window over those combined rows, and the NULL
+    key is masked as the outer join leaves it. Building the per-key side as a
+    separate aggregate and joining would read the input twice (column pruning
+    makes the two sides different plans, so the exchange is not reused).
+    Sorted by the count, descending, when ``ordered``.
     """
-    pre = _partials(silver, [key, name, band], key, None, points)
-    totals = pre.groupBy(key).agg(
-        F.sum("_n_key").alias(COUNT),
-        F.sum("_sum").alias(TOTAL),
-        F.try_divide(F.sum("_sum"), F.sum("_n_pts")).alias(AVG),
-        F.max("_max").alias(MAX),
-        F.min("_min").alias(MIN),
-    ).withColumnRenamed(key, "_key")
-    out = pre.join(totals, pre[key] == totals["_key"], "left").select(
+    pre = _stats(silver, [key, name, band], key, points)
+    w = Window.partitionBy(key)
+    matched = F.col(key).isNotNull()
+
+    def per_key(agg: Column) -> Column:
+        return F.when(matched, agg.over(w))
+
+    total = F.sum("_sum")
+    out = pre.select(
         F.col(key).alias(KEY),
         F.col(name).alias(NAME),
-        COUNT,
-        TOTAL,
-        AVG,
-        MAX,
-        MIN,
+        per_key(F.sum("_n_key")).alias(COUNT),
+        per_key(total).alias(TOTAL),
+        F.when(matched, _avg(total.over(w), F.sum("_n_pts").over(w))).alias(AVG),
+        per_key(F.max("_max")).alias(MAX),
+        per_key(F.min("_min")).alias(MIN),
         F.col(band).alias(BAND),
     )
     return out.orderBy(F.col(COUNT).desc()) if ordered else out
@@ -175,14 +210,14 @@ def with_key_totals(
     A window would hold a hot key's raw rows in one task; this keeps raw rows
     out of any single-task buffer.
     """
-    p = F.col(points)
-    totals = df.groupBy(F.col(key).alias("_key")).agg(
-        F.max(name).alias("key_" + NAME),
-        F.count(F.col(key)).alias("key_" + COUNT),
-        F.sum(p).alias("key_" + TOTAL),
-        to_decimal(F.avg(p), precision).alias("key_" + AVG),
-        F.min(p).alias("key_" + MIN),
-        F.max(p).alias("key_" + MAX),
+    totals = _merged(_stats(df, [key], key, points, name), [key], name).select(
+        F.col(key).alias("_key"),
+        F.col("_name").alias("key_" + NAME),
+        F.col("_n_key").alias("key_" + COUNT),
+        F.col("_sum").alias("key_" + TOTAL),
+        to_decimal(_avg("_sum", "_n_pts"), precision).alias("key_" + AVG),
+        F.col("_min").alias("key_" + MIN),
+        F.col("_max").alias("key_" + MAX),
     )
     joined = df.join(totals, df[key].eqNullSafe(totals["_key"]), "inner")
     return joined.drop("_key")

@@ -30,6 +30,26 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Read schemas of the driver columns used here. Giving them up front skips
+# the footer read for schema discovery on the driver; parquet still resolves
+# columns by name and reads only these.
+EVENTS_COLUMNS = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+PART_COLUMNS = "p_partkey BIGINT, p_name STRING, p_type STRING"
+
+# One SQL expression per feed column (a single analysed projection).
+PARTICIPATION_EXPRS = (
+    "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(user_id AS STRING) END AS UUID",
+    "CASE WHEN event_id % 53 = 0 THEN concat(' ', event_type, '_', CAST(user_id AS STRING), ' x') "
+    "WHEN event_id % 59 = 0 THEN concat('_', event_type, '_', CAST(user_id AS STRING), ' x') "
+    "ELSE concat(event_type, '_', CAST(user_id AS STRING), ' x') END AS Name",
+    "CASE WHEN event_id % 37 = 0 THEN 'n/a' "
+    "WHEN event_id % 41 = 0 THEN concat(CAST(event_id AS STRING), '.5') "
+    "WHEN event_id % 43 = 0 THEN NULL "
+    "WHEN event_id % 47 = 0 THEN '2000' "
+    "ELSE CAST(floor(value * 100) AS STRING) END AS Points",
+)
+
+
 def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers-feed stand-in from ``events``; every column is a string.
 
@@ -37,32 +57,17 @@ def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
     a NULL key, names with a leading blank or ``_``, non-numeric, fractional
     and NULL points, and the band boundary 2000.
     """
-    ev = spark.read.parquet(table_path(sf_dir, "events")).select("event_id", "user_id", "event_type", "value")
-    eid = F.col("event_id")
-    user = F.col("user_id").cast("string")
-    base_name = F.concat(F.col("event_type"), F.lit("_"), user, F.lit(" x"))
-    return ev.select(
-        F.when(eid % 97 == 0, F.lit(None).cast("string")).otherwise(user).alias("UUID"),
-        F.when(eid % 53 == 0, F.concat(F.lit(" "), base_name))
-        .when(eid % 59 == 0, F.concat(F.lit("_"), base_name))
-        .otherwise(base_name)
-        .alias("Name"),
-        F.when(eid % 37 == 0, F.lit("n/a"))
-        .when(eid % 41 == 0, F.concat(eid.cast("string"), F.lit(".5")))
-        .when(eid % 43 == 0, F.lit(None).cast("string"))
-        .when(eid % 47 == 0, F.lit("2000"))
-        .otherwise(F.floor(F.col("value") * 100).cast("string"))
-        .alias("Points"),
-    )
+    ev = spark.read.schema(EVENTS_COLUMNS).parquet(table_path(sf_dir, "events"))
+    return ev.selectExpr(*PARTICIPATION_EXPRS)
 
 
 def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products-feed stand-in from ``part``."""
-    part = spark.read.parquet(table_path(sf_dir, "part"))
-    return part.select(
-        F.col("p_partkey").cast("string").alias("1"),
-        F.col("p_type").alias("ChatMessage"),
-        F.col("p_name").alias("Mensagem_do_chat_da_Twitch"),
+    part = spark.read.schema(PART_COLUMNS).parquet(table_path(sf_dir, "part"))
+    return part.selectExpr(
+        "CAST(p_partkey AS STRING) AS `1`",
+        "p_type AS ChatMessage",
+        "p_name AS Mensagem_do_chat_da_Twitch",
     )
 
 
