@@ -133,5 +133,8 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {table}")
 
 
-def show_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {_quote(database)}")
+def show_tables(spark: SparkSession, database: str, include_temporary: bool = True) -> DataFrame:
+    """``SHOW TABLES IN db``; like the SQL command it also lists session views
+    unless ``include_temporary`` is off."""
+    out = spark.sql(f"SHOW TABLES IN {_quote(database)}")
+    return out if include_temporary else out.where(~F.col("isTemporary"))

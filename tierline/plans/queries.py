@@ -198,7 +198,7 @@ def q_show_tables(spark, sf_dir):
     t = _target(spark, "show_tables")
     run_layers(spark, {"customers.csv": staged_feed(spark, sf_dir, CUSTOMERS),
                        "products.csv": staged_feed(spark, sf_dir, PRODUCTS)}, t)
-    return show_tables(spark, t.database).select("namespace", "tableName")
+    return show_tables(spark, t.database, include_temporary=False).select("namespace", "tableName")
 
 
 # -- projections, predicates, functions ---------------------------------------
