@@ -192,7 +192,7 @@ def validation_report(
         per_key(F.min("_min")).alias(MIN),
         F.col(band).alias(BAND),
     )
-    return out.orderBy(F.col(COUNT).desc()) if ordered else out
+    return sort_desc(out, COUNT, KEY, NAME, BAND) if ordered else out
 
 
 def with_key_totals(
@@ -219,8 +219,9 @@ def with_key_totals(
         F.col("_min").alias("key_" + MIN),
         F.col("_max").alias("key_" + MAX),
     )
-    joined = df.join(totals, df[key].eqNullSafe(totals["_key"]), "inner")
-    return joined.drop("_key")
+    rows, per_key = df.alias("r"), totals.alias("k")
+    joined = rows.join(per_key, F.col(f"r.`{key}`").eqNullSafe(F.col("k._key")), "inner")
+    return joined.select("r.*", *[F.col(f"k.`{c}`") for c in totals.columns if c != "_key"])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -241,6 +242,11 @@ def group_by_all_sql(spark: SparkSession, view: str, key: str = "UUID", name: st
     )
 
 
-def sort_desc(df: DataFrame, column: str) -> DataFrame:
-    """Total order, descending (NULLs last); ties keep no particular order."""
-    return df.orderBy(F.col(column).desc())
+def sort_desc(df: DataFrame, column: str, *tiebreak: str) -> DataFrame:
+    """Total order on ``column`` descending (NULLs last), ties by ``tiebreak``.
+
+    The sort range-partitions on the whole sort key; without tie-breaking
+    columns every row sharing a popular value would fall into one range
+    partition (one task).
+    """
+    return df.orderBy(F.col(column).desc(), *[F.col(c).asc() for c in tiebreak])

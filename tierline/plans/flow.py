@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.operators.gold import gold_by_key_and_band, window_totals
+from tierline.operators.gold import gold_by_key_and_band, sort_desc, window_totals
 from tierline.operators.silver import silver_customers, silver_monolith, silver_products
 from tierline.operators.sinks import (
     DEFAULT_FORMAT,
@@ -101,8 +101,8 @@ def build_lab_silver(spark: SparkSession, target: Target) -> str:
 def build_lab_gold(spark: SparkSession, target: Target) -> str:
     """Key-wide totals per (key, band), ordered by count as written."""
     t = lab_tables(target)
-    gold = window_totals(read_layer(spark, t["silver"]))
-    return replace_table_as(spark, gold.orderBy(gold["participations"].desc()), t["gold"], target.fmt)
+    gold = sort_desc(window_totals(read_layer(spark, t["silver"])), "participations", "member_id", "band")
+    return replace_table_as(spark, gold, t["gold"], target.fmt)
 
 
 def rebuild_after_insert(spark: SparkSession, late: DataFrame, target: Target) -> str:

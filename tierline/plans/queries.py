@@ -364,7 +364,8 @@ def q_window_each_aggregate(spark, sf_dir):
 
 
 def q_sort_desc_alias(spark, sf_dir):
-    return G.sort_desc(G.validation_report(_lab_silver(spark, sf_dir), ordered=False), G.COUNT)
+    report = G.validation_report(_lab_silver(spark, sf_dir), ordered=False)
+    return G.sort_desc(report, G.COUNT, G.KEY, G.NAME, G.BAND)
 
 
 # -- composite flows ----------------------------------------------------------
