@@ -5,8 +5,10 @@ Scale notes (a key may hold a third of all rows):
 * Grouped aggregates use Spark's partial + final aggregation, so a hot key
   costs one combined row per map task, not its raw rows.
 * Nothing partitions **raw** rows by the member key for a window. The
-  window forms first collapse rows to (key, band, name) grain with map-side
-  combine; the window then runs over those few rows.
+  window form first collapses rows to one row per (key, band), so a window
+  group holds at most one row per band.
+* Where two aggregates need the same combined input (the validation join),
+  it is checkpointed once to the shared folder instead of scanned twice.
 * The per-row window form (:func:`with_key_totals`) aggregates per key and
   joins back; the join is left to the planner, which broadcasts only when the
   measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import stamp, to_decimal
+from tierline.session import checkpointed
 from tierline.sources.feeds import INGESTED_AT
 
 # Output names shared by every gold form.
@@ -86,6 +89,11 @@ def _avg(total: Column | str, n: Column | str) -> Column:
     return F.try_divide(F.col(total) if isinstance(total, str) else total, F.col(n) if isinstance(n, str) else n)
 
 
+def _key_band(silver: DataFrame, key: str, name: str, points: str, band: str) -> DataFrame:
+    """Statistics and max name at (key, band) grain, one row per group."""
+    return _merged(_stats(silver, [key, band], key, points, name), [key, band], name)
+
+
 def gold_by_key_and_band(
     silver: DataFrame,
     key: str = KEY,
@@ -101,7 +109,7 @@ def gold_by_key_and_band(
     Plan: hash aggregate at (key, band, name) with map-side combine, then a
     small merge to (key, band) that also takes the max name.
     """
-    m = _merged(_stats(silver, [key, band], key, points, name), [key, band], name)
+    m = _key_band(silver, key, name, points, band)
     cols: list[Column | str] = [
         F.col(key).alias(KEY),
         F.col("_name").alias(NAME),
@@ -128,28 +136,23 @@ def window_totals(
     """One row per (key, band) carrying **key-wide** totals.
 
     Same result as six ``agg(..) OVER (PARTITION BY key)`` columns over the
-    raw rows, band kept, then DISTINCT. Here the window runs over combined
-    (key, band, name) statistics instead of raw rows, so a hot key brings a
-    handful of rows to its window task, not all of its events. The DISTINCT
-    after the window needs no shuffle: the window's partitioning on the key
-    already clusters its rows.
+    raw rows, band kept, then DISTINCT. Here raw rows are first combined to
+    one row per (key, band) (hash partials, then the max name over those), so
+    the window holds at most one row per band for any key, however hot.
     """
-    st = _stats(silver, [key, band], key, points, name)
+    kb = _key_band(silver, key, name, points, band)
     w = Window.partitionBy(key)
     total = F.sum("_sum").over(w)
-    # DISTINCT while the key still carries its own name, so the planner sees
-    # that the window's hash partitioning on it already clusters the rows.
-    rows = st.select(
-        F.col(key),
-        F.max(name).over(w).alias(NAME),
+    return kb.select(
+        F.col(key).alias(KEY),
+        F.max("_name").over(w).alias(NAME),
         F.sum("_n_key").over(w).alias(COUNT),
         total.alias(TOTAL),
         to_decimal(_avg(total, F.sum("_n_pts").over(w)), precision).alias(AVG),
         F.min("_min").over(w).alias(MIN),
         F.max("_max").over(w).alias(MAX),
-        F.col(band),
-    ).distinct()
-    return rows.select(F.col(key).alias(KEY), NAME, COUNT, TOTAL, AVG, MIN, MAX, F.col(band).alias(BAND))
+        F.col(band).alias(BAND),
+    )
 
 
 def validation_report(
@@ -160,36 +163,39 @@ def validation_report(
     band: str = BAND,
     ordered: bool = True,
 ) -> DataFrame:
-    """Per-key totals LEFT-joined to silver groups, one row per (key, name, band).
+    """Silver groups LEFT JOIN per-key totals, one row per (key, name, band).
 
     Same result as joining every silver row to the per-key view (LEFT JOIN on
     the key) and grouping by all non-aggregate columns: inside a group the
     per-key values are constant, and a NULL key has no partner, so all of its
     totals (count included) are NULL.
 
-    Plan: one scan, combined to (key, name, band) with map-side combine; the
-    per-key totals are then a window over those combined rows, and the NULL
-    key is masked as the outer join leaves it. Building the per-key side as a
-    separate aggregate and joining would read the input twice (column pruning
-    makes the two sides different plans, so the exchange is not reused).
-    Sorted by the count, descending, when ``ordered``.
+    Plan: raw rows are combined once to (key, name, band) statistics and
+    checkpointed to the shared folder; the per-key totals are aggregated from
+    that copy and LEFT-joined back to it. The input is scanned once (two
+    aggregates over one source would otherwise each scan it, as column pruning
+    makes them different plans), and no key's rows have to meet in one task:
+    the planner broadcasts the totals only when their measured size is under
+    the broadcast threshold, otherwise AQE splits a hot key's partition of the
+    group side. Sorted by the count (ties by key, name, band) when ``ordered``.
     """
-    pre = _stats(silver, [key, name, band], key, points)
-    w = Window.partitionBy(key)
-    matched = F.col(key).isNotNull()
-
-    def per_key(agg: Column) -> Column:
-        return F.when(matched, agg.over(w))
-
-    total = F.sum("_sum")
-    out = pre.select(
+    pre = checkpointed(_stats(silver, [key, name, band], key, points))
+    totals = _merged(pre, [key]).select(
+        F.col(key).alias("_key"),
+        F.col("_n_key").alias(COUNT),
+        F.col("_sum").alias(TOTAL),
+        _avg("_sum", "_n_pts").alias(AVG),
+        F.col("_max").alias(MAX),
+        F.col("_min").alias(MIN),
+    )
+    out = pre.join(totals, pre[key] == totals["_key"], "left").select(
         F.col(key).alias(KEY),
         F.col(name).alias(NAME),
-        per_key(F.sum("_n_key")).alias(COUNT),
-        per_key(total).alias(TOTAL),
-        F.when(matched, _avg(total.over(w), F.sum("_n_pts").over(w))).alias(AVG),
-        per_key(F.max("_max")).alias(MAX),
-        per_key(F.min("_min")).alias(MIN),
+        COUNT,
+        TOTAL,
+        AVG,
+        MAX,
+        MIN,
         F.col(band).alias(BAND),
     )
     return sort_desc(out, COUNT, KEY, NAME, BAND) if ordered else out

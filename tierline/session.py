@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -69,3 +69,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where one computed input feeds two sides of a plan: both read the
+    written copy instead of recomputing (and re-scanning) it, and a lost
+    executor costs a re-read rather than a recomputation from the source.
+    """
+    workspace_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
