@@ -98,3 +98,26 @@ def test_derived_feeds_cover_edge_cases(spark):
     assert p.where("Points IS NULL").count() > 0 and p.where("Points = 'n/a'").count() > 0
     assert p.where("Points LIKE '%.5'").count() > 0 and p.where("Points = '2000'").count() > 0
     assert product_feed(spark, SF_SMALL).columns == ["1", "ChatMessage", "Mensagem_do_chat_da_Twitch"]
+
+
+def test_mixed_folder_unites_feeds_by_position(spark):
+    """Two feeds in one folder: the header of the largest file names the
+    columns and rows of both files line up by position (why production loads
+    read one feed per folder with a declared schema)."""
+    big = CUSTOMERS_TEXT + "".join(f"u{i};Name{i} x;{i}\n" for i in range(50))
+    d = _folder({"customers.csv": big, "products.csv": PRODUCTS_TEXT})
+    df = read_feed_inferred(spark, d)
+    assert df.columns[:3] == ["UUID", "Name", "Points"]
+    mixed = {r["file_name"]: r for r in df.collect()}
+    assert mixed["products.csv"]["Points"] in {"first reward", "list signed", "cubes", "recurring list"}
+    assert dict(df.dtypes)["Points"] == "string"
+
+
+def test_session_time_zone_is_the_callers(spark):
+    from tierline.session import build_session
+
+    same = build_session(time_zone="America/Sao_Paulo")  # returns the running session
+    try:
+        assert same.conf.get("spark.sql.session.timeZone") == "America/Sao_Paulo"
+    finally:
+        same.conf.unset("spark.sql.session.timeZone")

@@ -10,11 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, app_name: str = "tierline", shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None,
+    app_name: str = "tierline",
+    shuffle_partitions: int | None = None,
+    time_zone: str | None = None,
+) -> SparkSession:
     """A session with AQE on and the UI off.
 
     On a cluster pass ``master=None`` and let the launcher decide; partitions
-    then come from the cluster defaults and AQE coalescing.
+    then come from the cluster defaults and AQE coalescing. ``time_zone`` sets
+    the session zone that processing stamps are shown in (the caller's choice;
+    library functions never change it).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -29,6 +36,8 @@ def build_session(master: str | None = None, app_name: str = "tierline", shuffle
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if time_zone:
+        conf["spark.sql.session.timeZone"] = time_zone
     for k, v in conf.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
@@ -45,6 +54,8 @@ def workspace_dir(spark: SparkSession) -> str:
         sc_dir = spark.sparkContext.getCheckpointDir()
         current = sc_dir if sc_dir else None
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name storage shared by all executors")
         current = tempfile.mkdtemp(prefix="tierline-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, current)
     if not spark.sparkContext.getCheckpointDir():
