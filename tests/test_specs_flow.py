@@ -82,3 +82,25 @@ def test_gold_table_equals_frame(spark, target):
     build_lab_silver(spark, target)
     table = spark.table(build_lab_gold(spark, target))
     assert same_rows(table, window_totals(silver_monolith(feed)))
+
+
+def test_command_line_steps(spark):
+    from tierline.__main__ import main
+
+    from test_sources import CUSTOMERS_TEXT, PRODUCTS_TEXT, _folder
+
+    d = _folder({"customers.csv": CUSTOMERS_TEXT, "products.csv": PRODUCTS_TEXT})
+    db = f"tl_cli_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tempfile.mkdtemp(prefix='tierline-cli-')}'")
+    try:
+        assert main(["bronze", "--path", d, "--file", "customers.csv", "--schema", db]) == {
+            "bronze": f"`{db}`.`tab_customers_bronze`"}
+        main(["silver", "--file", "customers", "--schema", db])
+        gold = spark.table(main(["gold", "--schema", db])["gold"])
+        assert gold.count() == 3  # u1/below, u2/invalid, NULL/below
+        out = main(["all", "--path", d, "--schema", db])
+        assert spark.table(out["products_silver"]).count() == 4
+        with pytest.raises(SystemExit):
+            main(["bronze", "--schema", db])
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
