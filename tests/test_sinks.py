@@ -73,7 +73,7 @@ def test_append_evolving_creates_missing_table(spark, edge, db):
 
 
 def test_insert_partial_fills_null(spark, edge, db):
-    t = f"{db}.tab_lab_bronze"
+    t = f"{db}.tab_monolith_bronze"
     overwrite_table(edge, t)
     insert_values(spark, t, ["UUID", "Points"], [("a1", "250"), ("a2", "250"), ("a1", "250")])
     added = spark.table(t).where("Points = '250'")
@@ -81,7 +81,7 @@ def test_insert_partial_fills_null(spark, edge, db):
 
 
 def test_insert_unknown_column_raises(spark, edge, db):
-    t = f"{db}.tab_lab_bronze"
+    t = f"{db}.tab_monolith_bronze"
     overwrite_table(edge, t)
     with pytest.raises(ValueError):
         insert_by_name(spark.createDataFrame([("x",)], "nope string"), t)

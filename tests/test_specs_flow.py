@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, same_rows
 from tierline.operators.gold import window_totals
 from tierline.operators.silver import silver_monolith
-from tierline.plans.flow import Target, lab_tables, rebuild_after_insert, run_layers
+from tierline.plans.flow import Target, monolith_tables, rebuild_after_insert, run_layers
 from tierline.operators.sinks import overwrite_table
 from tierline.sources.derived import late_rows, participation, staged_feed
 from tierline.specs import CUSTOMERS, PRODUCTS, dataset_name, layer_table, spec_for
@@ -51,7 +51,7 @@ def test_run_layers_in_order(spark, target):
 
 def test_rebuild_after_insert_moves_totals(spark, target):
     feed = participation(spark, SF_SMALL)
-    overwrite_table(feed, lab_tables(target)["bronze"])
+    overwrite_table(feed, monolith_tables(target)["bronze"])
     before = window_totals(silver_monolith(feed)).where("member_id IS NOT NULL")
     late = late_rows(spark, SF_SMALL)
     gold = spark.table(rebuild_after_insert(spark, late, target)).where("member_id IS NOT NULL")
@@ -76,11 +76,11 @@ def test_library_leaves_session_time_zone_alone(spark, edge):
 
 def test_gold_table_equals_frame(spark, target):
     feed = participation(spark, SF_SMALL)
-    overwrite_table(feed, lab_tables(target)["bronze"])
-    from tierline.plans.flow import build_lab_gold, build_lab_silver
+    overwrite_table(feed, monolith_tables(target)["bronze"])
+    from tierline.plans.flow import build_monolith_gold, build_monolith_silver
 
-    build_lab_silver(spark, target)
-    table = spark.table(build_lab_gold(spark, target))
+    build_monolith_silver(spark, target)
+    table = spark.table(build_monolith_gold(spark, target))
     assert same_rows(table, window_totals(silver_monolith(feed)))
 
 

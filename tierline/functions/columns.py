@@ -16,7 +16,7 @@ ColumnOrName = Column | str
 # ---------------------------------------------------------------------------
 # Band bounds and labels.
 # The bounds 1000 and 2000 and the Portuguese label texts are the values the
-# original lab notebooks use; the English set is our default.
+# source notebooks use; the English set is our default.
 # ---------------------------------------------------------------------------
 BAND_BOUNDS = (1000, 2000)
 BAND_LABELS = ("below_1000", "1000_to_2000", "above_2000")

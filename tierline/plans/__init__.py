@@ -3,8 +3,8 @@
 from tierline.plans.flow import (
     Target,
     build_gold,
-    build_lab_gold,
-    build_lab_silver,
+    build_monolith_gold,
+    build_monolith_silver,
     build_silver,
     ingest_bronze,
     rebuild_after_insert,
@@ -14,8 +14,8 @@ from tierline.plans.flow import (
 __all__ = [
     "Target",
     "build_gold",
-    "build_lab_gold",
-    "build_lab_silver",
+    "build_monolith_gold",
+    "build_monolith_silver",
     "build_silver",
     "ingest_bronze",
     "rebuild_after_insert",

@@ -87,27 +87,27 @@ def run_layers(spark: SparkSession, feeds: dict[str, str], target: Target) -> di
     return out
 
 
-# -- single-table ("lab") flow ------------------------------------------------
+# -- single-table ("monolith") flow ------------------------------------------------
 
-def lab_tables(target: Target) -> dict[str, str]:
-    return {layer: target.table("lab", layer) for layer in ("bronze", "silver", "gold")}
+def monolith_tables(target: Target) -> dict[str, str]:
+    return {layer: target.table("monolith", layer) for layer in ("bronze", "silver", "gold")}
 
 
-def build_lab_silver(spark: SparkSession, target: Target) -> str:
-    t = lab_tables(target)
+def build_monolith_silver(spark: SparkSession, target: Target) -> str:
+    t = monolith_tables(target)
     return overwrite_table(silver_monolith(read_layer(spark, t["bronze"])), t["silver"], target.fmt)
 
 
-def build_lab_gold(spark: SparkSession, target: Target) -> str:
+def build_monolith_gold(spark: SparkSession, target: Target) -> str:
     """Key-wide totals per (key, band), ordered by count as written."""
-    t = lab_tables(target)
+    t = monolith_tables(target)
     gold = sort_desc(window_totals(read_layer(spark, t["silver"])), "participations", "member_id", "band")
     return replace_table_as(spark, gold, t["gold"], target.fmt)
 
 
 def rebuild_after_insert(spark: SparkSession, late: DataFrame, target: Target) -> str:
-    """Append late rows (a subset of bronze columns) to the lab bronze table,
+    """Append late rows (a subset of bronze columns) to the monolith bronze table,
     then rebuild silver and gold from it; returns the gold table."""
-    insert_by_name(late, lab_tables(target)["bronze"])
-    build_lab_silver(spark, target)
-    return build_lab_gold(spark, target)
+    insert_by_name(late, monolith_tables(target)["bronze"])
+    build_monolith_silver(spark, target)
+    return build_monolith_gold(spark, target)

@@ -16,6 +16,7 @@ Engine differences handled here (see SURVEY 5.3):
 
 from __future__ import annotations
 
+from tierline.functions.columns import BAND_LABELS, BAND_LABELS_PT, INVALID_LABEL, INVALID_LABEL_PT
 from tierline.plans.queries import ROWS_ONLY
 
 
@@ -34,7 +35,7 @@ FIRST_TOKEN = "upper(split_part(Name, ' ', 1))"
 
 
 def band_sql(p: str, closed_top: bool = False, guarded: bool = True,
-             labels=("below_1000", "1000_to_2000", "above_2000"), invalid: str = "invalid") -> str:
+             labels=BAND_LABELS, invalid: str = INVALID_LABEL) -> str:
     mid = f"{p} <= 2000" if closed_top else f"{p} < 2000"
     guard = f"WHEN {p} IS NULL THEN '{invalid}' " if guarded else ""
     return (
@@ -71,9 +72,9 @@ def typed(source: str = "participation") -> str:
     return f"typed AS (SELECT UUID, Name, Points, {POINTS_INT} AS points_int FROM {source})"
 
 
-def lab_silver(source: str = "participation") -> str:
+def monolith_silver(source: str = "participation") -> str:
     return (
-        f"{typed(source)},\nlab_silver AS (SELECT UUID, Name, Points, points_int, "
+        f"{typed(source)},\nmonolith_silver AS (SELECT UUID, Name, Points, points_int, "
         f"{band_sql('points_int', closed_top=True)} AS band, {FIRST_UNGUARDED} AS first_name_split, "
         f"{FIRST_GUARDED} AS first_name FROM typed)"
     )
@@ -94,7 +95,7 @@ FROM customers_silver GROUP BY member_id, band"""
 PER_KEY = """
 SELECT UUID AS member_id, AVG(points_int) AS avg_points, CAST(SUM(points_int) AS BIGINT) AS total_points,
        MIN(points_int) AS min_points, MAX(points_int) AS max_points, COUNT(UUID) AS participations
-FROM lab_silver GROUP BY UUID"""
+FROM monolith_silver GROUP BY UUID"""
 
 # Direct window form: six window aggregates per raw row, band kept, DISTINCT.
 WINDOW_GOLD = f"""
@@ -110,7 +111,7 @@ FROM (
          MIN(points_int) OVER (PARTITION BY UUID) AS min_points,
          MAX(points_int) OVER (PARTITION BY UUID) AS max_points,
          band
-  FROM lab_silver) w"""
+  FROM monolith_silver) w"""
 
 # Raw-row LEFT JOIN to the per-key view, then GROUP BY ALL.
 VALIDATION = """
@@ -119,7 +120,7 @@ SELECT A.UUID AS member_id, A.first_name_split AS first_name,
        MAX(B.participations) AS participations, MAX(B.total_points) AS total_points,
        MAX(B.avg_points) AS avg_points, MAX(B.max_points) AS max_points,
        MIN(B.min_points) AS min_points, A.band AS band
-FROM lab_silver A LEFT JOIN media B ON A.UUID = B.member_id
+FROM monolith_silver A LEFT JOIN media B ON A.UUID = B.member_id
 GROUP BY ALL"""
 
 
@@ -129,7 +130,7 @@ def _with(*ctes: str) -> str:
 
 def _validation(order: bool) -> str:
     body = VALIDATION.replace("WITH_MEDIA", "")
-    sql = _with(PARTICIPATION, lab_silver(), f"media AS ({PER_KEY})") + body
+    sql = _with(PARTICIPATION, monolith_silver(), f"media AS ({PER_KEY})") + body
     return sql + "\nORDER BY participations DESC" if order else sql
 
 
@@ -151,7 +152,7 @@ ORACLE: dict[str, str] = {
     "sink_ctas_replace": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
     "sink_insert_partial": _with(PARTICIPATION, LATE)
     + "SELECT UUID, Name, Points FROM participation UNION ALL SELECT UUID, Name, Points FROM late",
-    "temp_view": _with(PARTICIPATION, lab_silver()) + PER_KEY,
+    "temp_view": _with(PARTICIPATION, monolith_silver()) + PER_KEY,
     # projections, predicates, functions
     "project_star_plus": _with(PARTICIPATION) + "SELECT UUID, Name, Points, TRUE AS stamped FROM participation",
     "project_rename": f"SELECT {PRODUCT_FEED} AS item_code, p_type AS message_kind, p_name AS message_text FROM part",
@@ -172,7 +173,7 @@ ORACLE: dict[str, str] = {
     + "SELECT UUID, Points, points_int IS NULL AS invalid_points FROM typed",
     "case_when": _with(PARTICIPATION, typed())
     + "SELECT UUID, Points, "
-    + band_sql("points_int", labels=("Abaixo de 1000", "Entre 1000 e 2000", "Acima de 2000"), invalid="Valor Inválido")
+    + band_sql("points_int", labels=BAND_LABELS_PT, invalid=INVALID_LABEL_PT)
     + " AS band FROM typed",
     "band_half_open": _with(PARTICIPATION, typed()) + f"SELECT UUID, Points, {band_sql('points_int')} AS band FROM typed",
     "band_closed": _with(PARTICIPATION, typed())
@@ -184,28 +185,28 @@ ORACLE: dict[str, str] = {
     "first_token_upper": _with(PARTICIPATION) + f"SELECT Name, {FIRST_TOKEN} AS first_token FROM participation",
     "first_name_udf": _with(PARTICIPATION) + f"SELECT Name, {FIRST_GUARDED} AS first_name FROM participation",
     "try_cast_int": _with(PARTICIPATION) + f"SELECT Points, {POINTS_INT} AS points_int FROM participation",
-    "cast_decimal": _with(PARTICIPATION, lab_silver())
+    "cast_decimal": _with(PARTICIPATION, monolith_silver())
     + f"SELECT UUID AS member_id, {dec_avg('CAST(SUM(points_int) AS BIGINT)', 'COUNT(points_int)')} AS avg_points "
-    "FROM lab_silver GROUP BY UUID",
+    "FROM monolith_silver GROUP BY UUID",
     "split_get_item": _with(PARTICIPATION)
     + "SELECT Name, split_part(Name, ' ', 1) AS before_space, split_part(Name, '_', 1) AS before_underscore "
     "FROM participation",
     # aggregates, join, windows, sort
-    "agg_per_key": _with(PARTICIPATION, lab_silver()) + PER_KEY,
+    "agg_per_key": _with(PARTICIPATION, monolith_silver()) + PER_KEY,
     "gold_by_key_and_band": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
-    "group_by_all": _with(PARTICIPATION, lab_silver())
+    "group_by_all": _with(PARTICIPATION, monolith_silver())
     + "SELECT UUID AS member_id, first_name_split AS first_name, band, COUNT(UUID) AS participations, "
-    "CAST(SUM(points_int) AS BIGINT) AS total_points FROM lab_silver GROUP BY ALL",
-    "count_column_nulls": _with(PARTICIPATION, lab_silver())
+    "CAST(SUM(points_int) AS BIGINT) AS total_points FROM monolith_silver GROUP BY ALL",
+    "count_column_nulls": _with(PARTICIPATION, monolith_silver())
     + "SELECT UUID AS member_id, COUNT(UUID) AS key_count, COUNT(1) AS row_count, "
-    "CAST(SUM(points_int) AS BIGINT) AS total_points FROM lab_silver GROUP BY UUID",
+    "CAST(SUM(points_int) AS BIGINT) AS total_points FROM monolith_silver GROUP BY UUID",
     "agg_all_null_group": _with(PARTICIPATION, CUSTOMERS_SILVER, f"g AS ({GOLD})")
     + "SELECT * FROM g WHERE band = 'invalid'",
     "distinct_values": _with(PARTICIPATION) + "SELECT DISTINCT Points FROM participation",
     "validate_join_left": _validation(order=False),
-    "window_totals": _with(PARTICIPATION, lab_silver()) + WINDOW_GOLD,
-    "gold_window": _with(PARTICIPATION, lab_silver()) + WINDOW_GOLD,
-    "window_each_aggregate": _with(PARTICIPATION, lab_silver())
+    "window_totals": _with(PARTICIPATION, monolith_silver()) + WINDOW_GOLD,
+    "gold_window": _with(PARTICIPATION, monolith_silver()) + WINDOW_GOLD,
+    "window_each_aggregate": _with(PARTICIPATION, monolith_silver())
     + f"""SELECT UUID, first_name_split, points_int, key_first_name, key_participations, key_total_points,
        {dec_avg('s', 'c')} AS key_avg_points, key_min_points, key_max_points
 FROM (
@@ -217,19 +218,19 @@ FROM (
          COUNT(points_int) OVER (PARTITION BY UUID) AS c,
          MIN(points_int) OVER (PARTITION BY UUID) AS key_min_points,
          MAX(points_int) OVER (PARTITION BY UUID) AS key_max_points
-  FROM lab_silver) w""",
+  FROM monolith_silver) w""",
     "sort_desc_alias": _validation(order=True),
     # composite flows
     "bronze_customers": _with(PARTICIPATION) + "SELECT UUID, Name, Points, TRUE AS has_source_file FROM participation",
     "bronze_products": f'SELECT {PRODUCT_FEED} AS "1", p_type AS ChatMessage, p_name AS Mensagem_do_chat_da_Twitch, '
     "TRUE AS has_source_file FROM part",
     "silver_products": f"SELECT {PRODUCT_FEED} AS item_code, p_type AS message_kind, p_name AS message_text FROM part",
-    "silver_monolith": _with(PARTICIPATION, lab_silver()) + "SELECT * FROM lab_silver",
+    "silver_monolith": _with(PARTICIPATION, monolith_silver()) + "SELECT * FROM monolith_silver",
     "rebuild_after_insert": _with(
         PARTICIPATION,
         LATE,
         "bronze AS (SELECT UUID, Name, Points FROM participation UNION ALL SELECT UUID, Name, Points FROM late)",
-        lab_silver("bronze"),
+        monolith_silver("bronze"),
     )
     + WINDOW_GOLD,
     "layers_end_to_end": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,

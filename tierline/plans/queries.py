@@ -44,11 +44,11 @@ from tierline.operators.sinks import (
 )
 from tierline.plans.flow import (
     Target,
-    build_lab_gold,
-    build_lab_silver,
+    build_monolith_gold,
+    build_monolith_silver,
     build_silver,
     ingest_bronze,
-    lab_tables,
+    monolith_tables,
     rebuild_after_insert,
     run_layers,
 )
@@ -77,7 +77,7 @@ def _target(spark: SparkSession, name: str) -> Target:
     return Target(database=db, location=run_dir(spark, "warehouse", db)).ensure(spark)
 
 
-def _lab_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _monolith_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_monolith(participation(spark, sf_dir))
 
 
@@ -178,14 +178,14 @@ def q_sink_ctas_replace(spark, sf_dir):
 
 def q_sink_insert_partial(spark, sf_dir):
     t = _target(spark, "sink_insert_partial")
-    table = t.table("lab", "bronze")
+    table = t.table("monolith", "bronze")
     overwrite_table(participation(spark, sf_dir), table)
     insert_by_name(late_rows(spark, sf_dir), table)  # (UUID, Points) only: Name is NULL
     return read_layer(spark, table)
 
 
 def q_temp_view(spark, sf_dir):
-    return register_view(G.per_key_totals(_lab_silver(spark, sf_dir)), "tl_media_points")
+    return register_view(G.per_key_totals(_monolith_silver(spark, sf_dir)), "tl_media_points")
 
 
 def q_describe_table(spark, sf_dir):
@@ -300,7 +300,7 @@ def q_try_cast_int(spark, sf_dir):
 
 
 def q_cast_decimal(spark, sf_dir):
-    silver = _lab_silver(spark, sf_dir)
+    silver = _monolith_silver(spark, sf_dir)
     return silver.groupBy(F.col("UUID").alias(G.KEY)).agg(to_decimal(F.avg("points_int")).alias(G.AVG))
 
 
@@ -315,7 +315,7 @@ def q_split_get_item(spark, sf_dir):
 # -- aggregates, join, windows, sort ------------------------------------------
 
 def q_agg_per_key(spark, sf_dir):
-    return G.per_key_totals(_lab_silver(spark, sf_dir))
+    return G.per_key_totals(_monolith_silver(spark, sf_dir))
 
 
 def q_gold_by_key_and_band(spark, sf_dir):
@@ -323,12 +323,12 @@ def q_gold_by_key_and_band(spark, sf_dir):
 
 
 def q_group_by_all(spark, sf_dir):
-    register_view(_lab_silver(spark, sf_dir), "tl_lab_silver_v")
-    return G.group_by_all_sql(spark, "tl_lab_silver_v")
+    register_view(_monolith_silver(spark, sf_dir), "tl_monolith_silver_v")
+    return G.group_by_all_sql(spark, "tl_monolith_silver_v")
 
 
 def q_count_column_nulls(spark, sf_dir):
-    silver = _lab_silver(spark, sf_dir)
+    silver = _monolith_silver(spark, sf_dir)
     return silver.groupBy(F.col("UUID").alias(G.KEY)).agg(
         F.count("UUID").alias("key_count"), F.count(F.lit(1)).alias("row_count"), F.sum("points_int").alias(G.TOTAL)
     )
@@ -344,27 +344,27 @@ def q_distinct_values(spark, sf_dir):
 
 
 def q_validate_join_left(spark, sf_dir):
-    return G.validation_report(_lab_silver(spark, sf_dir), ordered=False)
+    return G.validation_report(_monolith_silver(spark, sf_dir), ordered=False)
 
 
 def q_window_totals(spark, sf_dir):
-    return G.window_totals(_lab_silver(spark, sf_dir))
+    return G.window_totals(_monolith_silver(spark, sf_dir))
 
 
 def q_gold_window(spark, sf_dir):
     t = _target(spark, "gold_window")
-    overwrite_table(participation(spark, sf_dir), lab_tables(t)["bronze"])
-    build_lab_silver(spark, t)
-    return read_layer(spark, build_lab_gold(spark, t))
+    overwrite_table(participation(spark, sf_dir), monolith_tables(t)["bronze"])
+    build_monolith_silver(spark, t)
+    return read_layer(spark, build_monolith_gold(spark, t))
 
 
 def q_window_each_aggregate(spark, sf_dir):
-    silver = _lab_silver(spark, sf_dir).select("UUID", "first_name_split", "points_int")
+    silver = _monolith_silver(spark, sf_dir).select("UUID", "first_name_split", "points_int")
     return G.with_key_totals(silver)
 
 
 def q_sort_desc_alias(spark, sf_dir):
-    report = G.validation_report(_lab_silver(spark, sf_dir), ordered=False)
+    report = G.validation_report(_monolith_silver(spark, sf_dir), ordered=False)
     return G.sort_desc(report, G.COUNT, G.KEY, G.NAME, G.BAND)
 
 
@@ -389,12 +389,12 @@ def q_silver_products(spark, sf_dir):
 
 
 def q_silver_monolith(spark, sf_dir):
-    return _lab_silver(spark, sf_dir)
+    return _monolith_silver(spark, sf_dir)
 
 
 def q_rebuild_after_insert(spark, sf_dir):
     t = _target(spark, "rebuild_after_insert")
-    overwrite_table(participation(spark, sf_dir), lab_tables(t)["bronze"])
+    overwrite_table(participation(spark, sf_dir), monolith_tables(t)["bronze"])
     gold = rebuild_after_insert(spark, late_rows(spark, sf_dir), t)
     return read_layer(spark, gold)
 

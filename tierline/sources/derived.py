@@ -1,6 +1,6 @@
 """Feeds derived from the driver's parquet tables.
 
-The lab's own feeds (a customers file and a products file) are not available,
+The source feeds (a customers file and a products file) are not available,
 so stand-ins are derived from the benchmark tables with plain expressions:
 
 * **participation** (customers feed: ``UUID;Name;Points``), one row per event;

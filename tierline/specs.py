@@ -34,7 +34,7 @@ class FeedSpec:
 
 # ---------------------------------------------------------------------------
 # The declared column names of the two feeds. They are the feed
-# contract of the original lab (bronze tables carry these names), kept as is.
+# contract of the source feeds (bronze tables carry these names), kept as is.
 # ---------------------------------------------------------------------------
 CUSTOMERS = FeedSpec(
     name="customers",

@@ -1,6 +1,6 @@
 """Streaming: intentionally empty.
 
-The source labs have no stream, watermark, window-over-time or state: every
+The source notebooks have no stream, watermark, window-over-time or state: every
 load is a bounded batch read followed by a full overwrite. Nothing here is
-built, so that no operator exists that the labs do not have.
+built, so that no operator exists that the source notebooks do not have.
 """
