@@ -124,3 +124,14 @@ def test_properties_of_rules(spark, values):
     again = spark.createDataFrame([(r["n1"],) for r in out if r["n1"]], "s string")
     if again.count():
         assert all(r["a"] == r["s"] for r in again.select("s", first_name("s").alias("a")).collect())
+
+
+def test_decimal_overflow_raises_and_precision_widens(spark):
+    from pyspark.errors import ArithmeticException
+    from pyspark.errors.exceptions.captured import SparkRuntimeException
+
+    df = spark.createDataFrame([(200000000.5,)], "v double")
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        with pytest.raises((ArithmeticException, SparkRuntimeException)):
+            df.select(to_decimal("v")).collect()
+    assert df.select(to_decimal("v", precision=12).alias("d")).first()["d"] == Decimal("200000000.50")

@@ -116,3 +116,15 @@ def test_view_resolves_case_insensitively(spark, edge):
     out = spark.sql("SELECT uuid, points FROM tl_ci_v")
     assert out.columns == ["uuid", "points"]  # output takes the query's spelling
     assert out.count() == 11
+
+
+def test_replace_refuses_to_read_its_own_target(spark, edge, db):
+    """Parquet tables cannot be overwritten by a query that reads them; the
+    flows always read one layer and write the next."""
+    from pyspark.errors import AnalysisException
+
+    t = f"{db}.tab_customers_bronze"
+    overwrite_table(edge, t)
+    with pytest.raises(AnalysisException):
+        replace_table_as(spark, spark.table(t).where("UUID IS NOT NULL"), t)
+    assert spark.table(t).count() == edge.count()  # the table is left as it was
