@@ -8,6 +8,7 @@ session; Spark parallelises inside each step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,18 +71,32 @@ def build_gold(spark: SparkSession, target: Target, dataset: str = CUSTOMERS.nam
     return replace_table_as(spark, gold, target.table(name, "gold"), target.fmt)
 
 
-def run_layers(spark: SparkSession, feeds: dict[str, str], target: Target) -> dict[str, str]:
-    """Whole flow, ordered by layer: ``feeds`` maps file name -> path.
+def run_layers(spark: SparkSession, feeds: dict[str, str], target: Target, parallel: bool = True) -> dict[str, str]:
+    """Whole flow along the job graph: ``feeds`` maps file name -> path.
 
-    Edges: bronze(x) -> silver(x) for each feed; both silvers -> customers gold.
-    Returns ``{'<dataset>_<layer>': table}``.
+    Edges: bronze(x) -> silver(x) for each feed; both silvers -> customers
+    gold. The per-feed branches have no edge between them, so with
+    ``parallel`` they are submitted as concurrent Spark jobs from two driver
+    threads (the cluster runs their tasks side by side); gold starts when
+    every branch is done. Returns ``{'<dataset>_<layer>': table}``.
     """
     target.ensure(spark)
+
+    def branch(file_name: str, path: str) -> dict[str, str]:
+        name = dataset_name(file_name)
+        return {
+            f"{name}_bronze": ingest_bronze(spark, path, file_name, target),
+            f"{name}_silver": build_silver(spark, file_name, target),
+        }
+
     out: dict[str, str] = {}
-    for file_name, path in feeds.items():
-        out[f"{dataset_name(file_name)}_bronze"] = ingest_bronze(spark, path, file_name, target)
-    for file_name in feeds:
-        out[f"{dataset_name(file_name)}_silver"] = build_silver(spark, file_name, target)
+    if parallel and len(feeds) > 1:
+        with ThreadPoolExecutor(max_workers=len(feeds), thread_name_prefix="tierline-branch") as pool:
+            for result in [pool.submit(branch, f, p) for f, p in feeds.items()]:
+                out.update(result.result())
+    else:
+        for file_name, path in feeds.items():
+            out.update(branch(file_name, path))
     if any(dataset_name(f) == CUSTOMERS.name for f in feeds):
         out["customers_gold"] = build_gold(spark, target)
     return out
