@@ -86,7 +86,7 @@ def _merged(stats: DataFrame, groups: list[str], name: str | None = None) -> Dat
 
 def _avg(total: Column | str, n: Column | str) -> Column:
     """``sum / count`` in double (what AVG of an int computes); NULL on 0 rows."""
-    return F.try_divide(F.col(total) if isinstance(total, str) else total, F.col(n) if isinstance(n, str) else n)
+    return F.try_divide(total, n)
 
 
 def _key_band(silver: DataFrame, key: str, name: str, points: str, band: str) -> DataFrame:
