@@ -160,7 +160,7 @@ ORACLE: dict[str, str] = {
     + f"SELECT UUID, Name, Points, {FIRST_GUARDED} AS first_name, {POINTS_INT} AS points_int FROM participation",
     "project_chained": _with(PARTICIPATION, typed())
     + f"SELECT UUID, Name, Points, points_int, {band_sql('points_int', closed_top=True)} AS band, "
-    f"({band_sql('points_int', closed_top=True)}) = 'above_2000' AS is_top FROM typed",
+    f"({band_sql('points_int', closed_top=True)}) = '{BAND_LABELS[-1]}' AS is_top FROM typed",
     "silver_customers": _with(PARTICIPATION, CUSTOMERS_SILVER) + "SELECT * FROM customers_silver",
     "project_drop": _with(PARTICIPATION) + "SELECT UUID, Name, Points FROM participation",
     "stamp_ingestion": _with(PARTICIPATION)
@@ -201,7 +201,7 @@ ORACLE: dict[str, str] = {
     + "SELECT UUID AS member_id, COUNT(UUID) AS key_count, COUNT(1) AS row_count, "
     "CAST(SUM(points_int) AS BIGINT) AS total_points FROM monolith_silver GROUP BY UUID",
     "agg_all_null_group": _with(PARTICIPATION, CUSTOMERS_SILVER, f"g AS ({GOLD})")
-    + "SELECT * FROM g WHERE band = 'invalid'",
+    + f"SELECT * FROM g WHERE band = '{INVALID_LABEL}'",
     "distinct_values": _with(PARTICIPATION) + "SELECT DISTINCT Points FROM participation",
     "validate_join_left": _validation(order=False),
     "window_totals": _with(PARTICIPATION, monolith_silver()) + WINDOW_GOLD,

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import (
+    BAND_LABELS,
     BAND_LABELS_PT,
+    INVALID_LABEL,
     INVALID_LABEL_PT,
     band,
     first_name,
@@ -226,7 +228,7 @@ def q_project_chained(spark, sf_dir):
         participation(spark, sf_dir)
         .withColumn("points_int", to_int("Points"))
         .withColumn("band", band("points_int", closed_top=True))
-        .withColumn("is_top", F.col("band") == F.lit("above_2000"))
+        .withColumn("is_top", F.col("band") == F.lit(BAND_LABELS[-1]))
     )
 
 
@@ -336,7 +338,7 @@ def q_count_column_nulls(spark, sf_dir):
 
 def q_agg_all_null_group(spark, sf_dir):
     gold = G.gold_by_key_and_band(_customers_silver(spark, sf_dir), with_stamp=False)
-    return gold.where(F.col(G.BAND) == F.lit("invalid"))
+    return gold.where(F.col(G.BAND) == F.lit(INVALID_LABEL))
 
 
 def q_distinct_values(spark, sf_dir):
