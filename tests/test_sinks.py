@@ -118,13 +118,21 @@ def test_view_resolves_case_insensitively(spark, edge):
     assert out.count() == 11
 
 
-def test_replace_refuses_to_read_its_own_target(spark, edge, db):
-    """Parquet tables cannot be overwritten by a query that reads them; the
-    flows always read one layer and write the next."""
-    from pyspark.errors import AnalysisException
+def test_replace_may_read_its_own_target(spark, edge, db):
+    """The new rows are written aside first, so a query may read the table it
+    replaces (a plain parquet overwrite refuses that)."""
+    t = f"{db}.tab_customers_bronze"
+    overwrite_table(edge, t)
+    replace_table_as(spark, spark.table(t).where("UUID IS NOT NULL"), t)
+    assert spark.table(t).count() == edge.where("UUID IS NOT NULL").count()
+    assert [r["tableName"] for r in show_tables(spark, db, include_temporary=False).collect()] == ["tab_customers_bronze"]
 
+
+def test_failed_overwrite_keeps_the_old_table(spark, edge, db):
+    """A write job that fails leaves the previous table whole."""
     t = f"{db}.tab_customers_bronze"
     overwrite_table(edge, t)
-    with pytest.raises(AnalysisException):
-        replace_table_as(spark, spark.table(t).where("UUID IS NOT NULL"), t)
-    assert spark.table(t).count() == edge.count()  # the table is left as it was
+    bad = edge.select(F.col("UUID"), F.assert_true(F.lit(False), "boom").alias("x"))
+    with pytest.raises(Exception):
+        overwrite_table(bad, t)
+    assert same_rows(spark.table(t), edge)

@@ -29,14 +29,38 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     return database
 
 
-def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
-    """Replace a table's rows **and** schema (create it if missing)."""
+def _write(df: DataFrame, table: str, fmt: str, partition_by: Sequence[str]) -> None:
     writer = df.write.format(fmt).mode("overwrite")
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
+
+
+def _sibling(table: str, suffix: str) -> str:
+    """``db.t`` -> ``db.t<suffix>`` (quoted or not)."""
+    return table[:-1] + suffix + "`" if table.endswith("`") else table + suffix
+
+
+def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
+    """Replace a table's rows **and** schema (create it if missing).
+
+    A file table is replaced in two steps: the new rows are written to a
+    sibling table first, then the old table is dropped and the sibling
+    renamed into its place (catalog operations plus one directory rename).
+    A write job that fails (an executor lost beyond retries, a bad row)
+    therefore leaves the old table whole, and the query may read the table it
+    replaces. Delta replaces atomically on its own.
+    """
+    spark = df.sparkSession
+    if fmt == "delta" or not spark.catalog.tableExists(table):
+        _write(df, table, fmt, partition_by)
+        return table
+    staged = _sibling(table, "__next")
+    _write(df, staged, fmt, partition_by)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
     return table
 
 
@@ -113,8 +137,9 @@ def replace_table_as(spark: SparkSession, query: str | DataFrame, table: str, fm
     """Create or replace ``table`` from a query.
 
     Formats with atomic replace run ``CREATE OR REPLACE TABLE .. AS``; the
-    built-in file tables have no REPLACE, so the query result overwrites the
-    table instead. The query must not read ``table`` itself.
+    built-in file tables have no REPLACE, so the query result replaces the
+    table through :func:`overwrite_table` (write aside, then swap), which also
+    lets the query read the table it replaces.
     """
     if fmt == "delta" and isinstance(query, str):
         spark.sql(f"CREATE OR REPLACE TABLE {table} USING delta AS {query}")
