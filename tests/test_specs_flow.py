@@ -104,3 +104,16 @@ def test_command_line_steps(spark):
             main(["bronze", "--schema", db])
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_shuffle_partitions_are_raised_for_large_inputs(spark):
+    from tierline.session import input_bytes, size_shuffle_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, f"{SF_SMALL}/events.parquet") > 0
+        assert size_shuffle_partitions(spark, 1000) == int(before)  # small input: unchanged
+        assert size_shuffle_partitions(spark, 50 * (128 << 20)) == max(50, int(before))  # 50 x 128 MB
+        assert size_shuffle_partitions(spark, 1000) == max(50, int(before))  # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

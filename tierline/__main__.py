@@ -17,7 +17,7 @@ import argparse
 import sys
 
 from tierline.plans.flow import Target, build_gold, build_silver, ingest_bronze, run_layers
-from tierline.session import build_session
+from tierline.session import build_session, input_bytes, size_shuffle_partitions
 from tierline.specs import FEEDS
 
 
@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     folder = (args.path or "").rstrip("/")
     if args.step in ("bronze", "all") and not folder:
         raise SystemExit("--path is required for bronze and all")
+    if folder:
+        size_shuffle_partitions(spark, input_bytes(spark, folder))
     if args.step == "bronze":
         return {"bronze": ingest_bronze(spark, f"{folder}/{args.file}", args.file, target)}
     if args.step == "silver":

@@ -93,3 +93,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     workspace_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below ``paths`` (Hadoop file-system listing)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, total_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``total_bytes``
+    gets partitions of about ``target_bytes``; never lowers it.
+
+    AQE coalesces small shuffles at run time but cannot add partitions, so the
+    initial count has to fit the largest shuffle (here: the input size, an
+    upper bound for any shuffle of the layer flow). Returns the setting in use.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(spark.sparkContext.defaultParallelism, -(-total_bytes // target_bytes))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current
