@@ -33,8 +33,19 @@ def test_entry_runs(spark):
 
 
 def test_registry_covers_inventory():
+    from tierline.plans.queries import INVENTORY
+
     assert set(E.queries()) == SURVEY_KEYS
     assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(INVENTORY) == SURVEY_KEYS
+    ids = {i for v in INVENTORY.values() for i in v.split()}
+    unit_only = {"S12", "C10"}  # spec selection and session time zone: unit tests
+    expected = {f"{p}{n}" for p, n in [("S", i) for i in range(1, 12)] + [("K", i) for i in range(1, 10)]
+                + [("P", i) for i in range(1, 10)] + [("F", i) for i in range(1, 5)] + [("B", i) for i in range(1, 4)]
+                + [("N", i) for i in range(1, 4)] + [("X", i) for i in range(1, 8)] + [("A", i) for i in range(1, 10)]
+                + [("W", i) for i in range(1, 4)] + [("O", i) for i in range(1, 3)] + [("C", i) for i in range(1, 11)]}
+    expected |= {"J1", "U1"}
+    assert expected - unit_only <= ids, sorted(expected - unit_only - ids)
 
 
 @pytest.fixture(scope="module")
