@@ -463,7 +463,7 @@ INVENTORY: dict[str, str] = {
     "count_column_nulls": "A5",
     "agg_all_null_group": "A6",
     "distinct_values": "A8",
-    "validate_join_left": "J1 A4 P9 C7",
+    "validate_join_left": "J1 A4 C7",
     "window_totals": "W1 A9",
     "gold_window": "W2 O2 C6",
     "window_each_aggregate": "W3 P9",
