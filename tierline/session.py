@@ -31,9 +31,6 @@ def build_session(
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # coalesce small shuffles to the advisory size instead of keeping many
-        # tiny partitions for parallelism (Spark's advice for shared clusters)
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # remove reliable checkpoint files once their data is no longer referenced
