@@ -121,3 +121,40 @@ def test_session_time_zone_is_the_callers(spark):
         assert same.conf.get("spark.sql.session.timeZone") == "America/Sao_Paulo"
     finally:
         same.conf.unset("spark.sql.session.timeZone")
+
+
+def test_without_a_configured_checkpoint_folder(tmp_path):
+    """A session with no ``spark.checkpoint.dir`` (no defaults file): a local
+    folder is chosen once, feeds are staged and published there, and the
+    checkpointing validation report runs."""
+    import subprocess
+    import sys
+    import textwrap
+
+    from conftest import ROOT
+
+    conf_dir = tmp_path / "conf"
+    conf_dir.mkdir()
+    script = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {str(ROOT)!r})
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+        assert spark.conf.get("spark.checkpoint.dir", None) is None
+        from tierline.session import path_exists, workspace_dir
+        from tierline.sources.derived import staged_feed
+        from tierline.operators.gold import validation_report
+        from tierline.operators.silver import silver_monolith
+        from tierline.sources.derived import participation
+        from tierline.specs import PRODUCTS
+        ws = workspace_dir(spark)
+        assert workspace_dir(spark) == ws and spark.sparkContext.getCheckpointDir()
+        path = staged_feed(spark, {SF_SMALL!r}, PRODUCTS)
+        assert path.startswith(ws) and path_exists(spark, path + "/_SUCCESS")
+        assert staged_feed(spark, {SF_SMALL!r}, PRODUCTS) == path
+        assert validation_report(silver_monolith(participation(spark, {SF_SMALL!r}))).count() > 0
+        print("FALLBACK-OK")
+    """)
+    env = {**__import__("os").environ, "SPARK_CONF_DIR": str(conf_dir)}
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600, env=env)
+    assert "FALLBACK-OK" in out.stdout, out.stdout[-2000:] + out.stderr[-4000:]

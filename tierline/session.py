@@ -45,24 +45,29 @@ def build_session(
     return builder.getOrCreate()
 
 
+_CHOSEN: dict[str, str] = {}
+
+
 def workspace_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage every executor can reach.
-    Only when it is unset (local tests) do we create a folder and set it.
+    Only when it is unset (local tests) is a folder created; it becomes the
+    context's checkpoint folder and is reused for the rest of the application.
     """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _CHOSEN:
+        return _CHOSEN[app]
     current = spark.conf.get(_CHECKPOINT_KEY, None)
     if not current:
-        sc_dir = spark.sparkContext.getCheckpointDir()
-        current = sc_dir if sc_dir else None
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(f"{_CHECKPOINT_KEY} must name storage shared by all executors")
         current = tempfile.mkdtemp(prefix="tierline-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
-    return current.rstrip("/")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    _CHOSEN[app] = current.rstrip("/")
+    return _CHOSEN[app]
 
 
 def run_dir(spark: SparkSession, *parts: str) -> str:

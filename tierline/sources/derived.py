@@ -15,6 +15,7 @@ are written in SQL in :mod:`tierline.plans.oracle` for the DuckDB check.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +129,17 @@ def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> str:
         f"{DERIVATION_VERSION}|{spec.name}|{_source_fingerprint(spark, source)}".encode()
     ).hexdigest()[:16]
     path = shared_dir(spark, "feeds", f"{spec.name}-{digest}")
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_feed(derive_feed(spark, sf_dir, spec), path, spec)
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    # Write a private copy, then publish it with one directory rename, so a
+    # concurrent run never reads a half-written or overwritten feed.
+    jvm = spark.sparkContext._jvm
+    staging = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+    write_feed(derive_feed(spark, sf_dir, spec), staging, spec)
+    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst) and not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        fs.delete(dst, True)  # an earlier run died before finishing this folder
+    if not fs.rename(src, dst):
+        fs.delete(src, True)  # another run published first; use its copy
     return path
