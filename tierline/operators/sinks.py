@@ -43,6 +43,26 @@ def _sibling(table: str, suffix: str) -> str:
     return table[:-1] + suffix + "`" if table.endswith("`") else table + suffix
 
 
+def _name_parts(table: str) -> list[str]:
+    """Split a dotted table name; dots inside backticks belong to the part."""
+    parts, current, quoted = [], [], False
+    for ch in table:
+        if ch == "`":
+            quoted = not quoted
+        elif ch == "." and not quoted:
+            parts.append("".join(current))
+            current = []
+        else:
+            current.append(ch)
+    parts.append("".join(current))
+    return parts
+
+
+def _rename_target(table: str) -> str:
+    """``RENAME TO`` takes at most ``db.table`` (no catalog part)."""
+    return ".".join(_quote(p) for p in _name_parts(table)[-2:])
+
+
 def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
     """Replace a table's rows **and** schema (create it if missing).
 
@@ -60,7 +80,7 @@ def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partit
     staged = _sibling(table, "__next")
     _write(df, staged, fmt, partition_by)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {_rename_target(table)}")
     return table
 
 
