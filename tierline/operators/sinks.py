@@ -22,10 +22,12 @@ def _quote(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
-def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> str:
-    """``CREATE DATABASE IF NOT EXISTS``; managed tables go below ``location``."""
+def ensure_database(spark: SparkSession, database: str, location: str | None = None, catalog: str | None = None) -> str:
+    """``CREATE DATABASE IF NOT EXISTS [catalog.]database``; managed tables go
+    below ``location``."""
     loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(database)}{loc}")
+    name = ".".join(_quote(p) for p in (catalog, database) if p)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
     return database
 
 

@@ -39,7 +39,7 @@ class Target:
         return layer_table(dataset, layer, self.database, self.catalog)
 
     def ensure(self, spark: SparkSession) -> Target:
-        ensure_database(spark, self.database, self.location)
+        ensure_database(spark, self.database, self.location, self.catalog)
         return self
 
 
