@@ -83,6 +83,10 @@ def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partit
     _write(df, staged, fmt, partition_by)
     spark.sql(f"DROP TABLE {table}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {_rename_target(table)}")
+    if partition_by:
+        # the rename moves the folder but the catalog keeps each partition's
+        # old location: drop the stale entries, register the moved folders
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     return table
 
 
