@@ -85,6 +85,8 @@ def test_insert_unknown_column_raises(spark, edge, db):
     overwrite_table(edge, t)
     with pytest.raises(ValueError):
         insert_by_name(spark.createDataFrame([("x",)], "nope string"), t)
+    with pytest.raises(ValueError):
+        insert_values(spark, t, ["UUID", "nope"], [("a", "b")])
 
 
 def test_replace_table_as_from_sql_and_frame(spark, edge, db):

@@ -118,6 +118,9 @@ def insert_by_name(df: DataFrame, table: str) -> str:
 def insert_values(spark: SparkSession, table: str, columns: Sequence[str], rows: Iterable[Sequence]) -> str:
     """``INSERT INTO t (cols) VALUES ..``: a few literal rows naming a column subset."""
     target = {f.name.lower(): f for f in spark.table(table).schema}
+    unknown = [c for c in columns if c.lower() not in target]
+    if unknown:
+        raise ValueError(f"columns not in target table: {unknown}")
     schema = StructType([target[c.lower()] for c in columns])
     return insert_by_name(spark.createDataFrame(list(rows), schema), table)
 
