@@ -23,7 +23,7 @@ def test_spec_for_and_naming():
     with pytest.raises(ValueError):
         spec_for("orders.csv")
     assert dataset_name("Customers.csv") == "customers"
-    assert layer_table("customers.csv", "gold", "estudos", "workspace") == "`workspace`.`estudos`.`tab_customers_gold`"
+    assert layer_table("customers.csv", "gold", "analytics", "main") == "`main`.`analytics`.`tab_customers_gold`"
     with pytest.raises(ValueError):
         layer_table("customers", "platinum")
 

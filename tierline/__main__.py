@@ -1,9 +1,9 @@
 """Command-line entry for one layer step, or the whole ordered flow.
 
-    spark-submit -m tierline bronze --path /feeds/ --file customers.csv --schema estudos
-    python -m tierline silver --file customers --schema estudos
-    python -m tierline gold --schema estudos
-    python -m tierline all --path /feeds/ --schema estudos
+    spark-submit -m tierline bronze --path /feeds/ --file customers.csv --schema analytics
+    python -m tierline silver --file customers --schema analytics
+    python -m tierline gold --schema analytics
+    python -m tierline all --path /feeds/ --schema analytics
 
 Each call is one Spark application step whose hand-over to the next is the
 stored table, so an external scheduler can run them as dependent tasks
