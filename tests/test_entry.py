@@ -35,7 +35,8 @@ def test_entry_runs(spark):
 def test_registry_covers_inventory():
     from tierline.plans.queries import INVENTORY
 
-    assert set(E.queries()) == SURVEY_KEYS
+    extra = set() if E._llm is None else {*E._llm.QUERIES, "pipeline"}
+    assert set(E.queries()) == SURVEY_KEYS | extra
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(INVENTORY) == SURVEY_KEYS
     ids = {i for v in INVENTORY.values() for i in v.split()}
