@@ -1,0 +1,84 @@
+"""The automaton against a plain model of the same smoothing."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.llm import lm_score
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def tokens(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [*WORD.findall(lower), None]
+
+
+def plain(rows):
+    """(key, held_out, n_tokens, n_known, train_tokens, base, score) from (key, text, train) rows."""
+    count, pair, after = Counter(), Counter(), defaultdict(Counter)
+    for _, text, train in rows:
+        if train:
+            t = tokens(text)
+            count.update(t)
+            pair.update(zip(t, t[1:]))
+    for (a, b), n in pair.items():
+        after[a][b] = n
+    total, kinds = sum(count.values()), len(count)
+    once, twice = sum(n == 1 for n in pair.values()), sum(n == 2 for n in pair.values())
+    discount = once / max(1, once + 2 * twice) or 0.5
+    p = lambda w: (count[w] + 0.1) / (total + 0.1 * (kinds + 1))
+    out = []
+    for key, text, train in rows:
+        t, base, score, before = tokens(text), 0.0, 0.0, None
+        for i, w in enumerate(t):
+            base += math.log10(p(w))
+            seen = after.get(before) if i else None
+            if seen:
+                size = sum(seen.values())
+                score += math.log10(max(0, seen[w] - discount if w in seen else 0) / size + discount * len(seen) / size * p(w))
+            else:
+                score += math.log10(p(w))
+            before = w
+        out.append((key, not train, len(t), sum(w in count for w in t), total, base, score))
+    return out
+
+
+def same(got, want):
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
+    got, want = sorted(map(tuple, got), key=key), sorted(want, key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 24, 3000])
+def test_table(spark, block_bytes):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(10)) != 0
+    got = lm_score.score(docs, fold, block_bytes=block_bytes * 10, bucket_bytes=block_bytes * 20).collect()
+    want = plain([(r.doc_id, r.text, zlib.crc32(str(r.doc_id).encode()) % 10 != 0) for r in docs.collect()])
+    same(got, want)
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = odd_docs.collect()
+    got = lm_score.held_out_scores(odd_docs, folds=3, held=1)
+    assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    train = lambda i: i is None or zlib.crc32(str(i).encode()) % 3 != 1
+    same(got.collect(), plain([(r.doc_id, r.text, train(r.doc_id)) for r in rows]))
+    assert lm_score.held_out_scores(no_docs).count() == 0
+    untrained = lm_score.score(odd_docs, F.lit(False)).collect()
+    assert {(r.train_tokens, r.n_known, r.base_score, r.score) for r in untrained} == {(0, 0, 0.0, 0.0)}
+
+
+def test_pairs_beat_words_on_copies(spark):
+    docs = spark.createDataFrame([(i, "a b c d e f g h " * 20) for i in range(40)], "doc_id long, text string")
+    rows = [r for r in lm_score.held_out_scores(docs).collect() if r.held_out]
+    assert rows and all(r.score > 0.1 * r.base_score for r in rows)

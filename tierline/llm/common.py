@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +49,17 @@ def append_columns(
     return kept.mapInArrow(run, schema)
 
 
+def runs(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``size`` bytes of one text column, so a task's memory has a bound."""
+    if not batch.num_rows:
+        return
+    bytes_of = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    of = np.cumsum(bytes_of, dtype=np.int64) // size
+    starts = np.flatnonzero(np.diff(of, prepend=of[0] - 1))
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(int(a), int(b - a))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below the shared checkpoint folder and read back.
 
