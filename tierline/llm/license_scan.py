@@ -2,8 +2,8 @@
 
 A text's words are aligned with a template's: words that both have exactly once
 are anchors, the longest increasing run of them is kept, and the gaps between
-anchors are aligned the same way (a gap without anchors takes its longest common
-run of words). Matches that stand close together in the text make a hit if they
+anchors are aligned the same way, first the words next to the anchors (a gap
+without anchors takes its longest common run of words). Matches that stand close together in the text make a hit if they
 cover enough of the template; the text before and after a hit is searched again,
 so a repeated notice gives a hit each time.
 
@@ -102,6 +102,12 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
+        while a0 and a0 < a1 and b0 < b1 and a[a0] == b[b0]:  # next to the anchor before
+            out.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while a1 < len(a) and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:  # next to the anchor after
+            a1, b1 = a1 - 1, b1 - 1
+            out.append((a1, b1))
         if a0 >= a1 or b0 >= b1:
             continue
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
