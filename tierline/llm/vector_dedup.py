@@ -232,8 +232,8 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshol
     # pairs of balls that overlap the threshold: the members of u against those of v, in parts of u
     unsure = settled.where("verdict = 'some'").select("u", "v")
     left = in_parts(members.join(unsure.select(F.col("u").alias("ball")).distinct(), "ball").select("id", "vector", F.col("ball").alias("u")), ["u"], part_rows)
-    parts = left.select("u", "part").distinct()
-    right = unsure.join(members.select(F.col("ball").alias("v"), "id", "vector"), "v").join(parts, "u")
+    parts = left.select(F.col("u").alias("_u"), F.col("part").alias("_part")).distinct()
+    right = unsure.join(members.select(F.col("ball").alias("v"), F.col("vector").alias("other")), "v").join(parts, F.col("u") == F.col("_u")).select("_u", "_part", "v", "other")
 
     def count(_, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
@@ -242,11 +242,11 @@ def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshol
         for v, some in b.groupby("v"):
             n = np.zeros(len(a), np.int64)
             for i in range(0, len(some), 2000):
-                n += (x @ unit(np.stack(some["vector"].iloc[i : i + 2000])).T >= threshold).sum(axis=1)
+                n += (x @ unit(np.stack(some["other"].iloc[i : i + 2000])).T >= threshold).sum(axis=1)
             out.append(pd.DataFrame({"id": a["id"].to_numpy(), "n": n, "v": v})[n > 0])
         return pd.concat(out)
 
-    counted = left.groupBy("u", "part").cogroup(right.groupBy("u", "part")).applyInPandas(count, "id long, n long, v long")
+    counted = left.groupBy("u", "part").cogroup(right.groupBy("_u", "_part")).applyInPandas(count, "id long, n long, v long")
     some = stored(counted, "member-links")
 
     whole = settled.where("verdict = 'all'")
