@@ -208,16 +208,17 @@ def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: Dat
     sets = stored(sets_of(docs, wanted), "sets")
     parts = members.groupBy("g").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
     dealt = members.join(parts, "g").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).join(sets, "id")
-    asked = queries.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets, "id")
-    columns = ["g", "part", "id", "own", "set"]
+    asked = queries.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets.select("id", F.col("set").alias("other")), "id")
+    asked = asked.select(F.col("g").alias("_g"), F.col("part").alias("_part"), "id", "own", "other")
 
     def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        of = [[(i, np.frombuffer(s, np.uint64)) for i, s in zip(x["id"].tolist(), x["set"], strict=True)] for x in (left, right)]
+        of = [[(i, np.frombuffer(s, np.uint64)) for i, s in zip(x["id"].tolist(), x[c], strict=True)] for x, c in ((left, "other"), (right, "set"))]
         known = {i: g for x in (left, right) for i, g in zip(x["id"].tolist(), x["own"].tolist(), strict=True)}
         links = compare(of[0], of[1], threshold, known)
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    return asked.select(*columns).groupBy("g", "part").cogroup(dealt.select(*columns).groupBy("g", "part")).applyInPandas(run, "a long, b long")
+    dealt = dealt.select("g", "part", "id", "own", "set")
+    return asked.groupBy("_g", "_part").cogroup(dealt.groupBy("g", "part")).applyInPandas(run, "a long, b long")
 
 
 def rare_tokens(docs: DataFrame, tokens: int, threshold: int, buckets: int) -> DataFrame:
