@@ -14,8 +14,8 @@ from tierline.llm import jaccard_join, language_id, packing, quality
 from tierline.llm.common import stored, table
 from tierline.llm.queries import WORD_VOCABULARY
 
-#: A text whose words speak less than this for any one language is rejected.
-LANGUAGE_SCORE = 0.4
+#: A text whose words speak less than this for any one language (chance among four) is rejected.
+LANGUAGE_SCORE = 0.25
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
