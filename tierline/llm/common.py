@@ -41,19 +41,25 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = compute(batch.column(batch.schema.get_field_index(column)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *made], names=[*batch.schema.names, *outputs.fieldNames()]
-            )
+            at = batch.schema.get_field_index(column)
+            for some in runs(batch, at):
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, *compute(some.column(at))], names=[*batch.schema.names, *outputs.fieldNames()]
+                )
 
     return kept.mapInArrow(run, schema)
 
 
 def runs(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in runs of about ``size`` bytes of one text column, so a task's memory has a bound."""
+    """The rows of a batch in runs of about ``size`` bytes of one column, so a task's memory has a bound."""
     if not batch.num_rows:
         return
-    bytes_of = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    values, kind = batch.column(column), batch.schema.field(column).type
+    if pa.types.is_primitive(kind):
+        yield batch
+        return
+    length = pc.multiply(pc.list_value_length(values), 4) if pa.types.is_list(kind) else pc.binary_length(values)
+    bytes_of = pc.fill_null(length, 0).to_numpy(zero_copy_only=False)
     of = np.cumsum(bytes_of, dtype=np.int64) // size
     starts = np.flatnonzero(np.diff(of, prepend=of[0] - 1))
     for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):

@@ -117,7 +117,7 @@ class ByWord:
     special token. A chunk is a word or more that nothing around it can change.
     """
 
-    def __init__(self, vocabulary: Vocabulary, make: Callable[[list[str]], list], join: Callable[[list], object], special: Callable[[int], object], limit: int = 500_000):
+    def __init__(self, vocabulary: Vocabulary, make: Callable[[list[str]], list], join: Callable[[list], object], special: Callable[[int], object], limit: int = 300_000):
         self.vocabulary, self.make, self.join, self.special = vocabulary, make, join, special
         self.chunks, self.words = Recent(limit), Recent(limit // 2)
 
