@@ -6,7 +6,8 @@ For each query the initial physical plan (before AQE re-planning, so the
 counts do not depend on the tiny test sizes) is inspected for: file scans
 and their read schema, shuffles, join strategies, sort- vs hash-based
 aggregation on the map side, windows, Python UDFs and pushed filters.
-Queries that write tables report the plan of the final read-back only.
+For queries that write tables, the plan of every write is reported, in order,
+and then that of the final read-back.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def shape(plan: str) -> dict[str, str]:
     scans = re.findall(r"FileScan (\w+)", plan) + ["checkpoint"] * plan.count("Scan ExistingRDD")
     exchanges = re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", plan)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
-                       r"[^\n]*?(Inner|LeftOuter|RightOuter|FullOuter|LeftSemi|LeftAnti)", plan)
+                       r"[^\n]*?(Inner|LeftOuter|RightOuter|FullOuter|LeftSemi|LeftAnti)(?:, (Build\w+))?", plan)
     # map side = everything below the deepest exchange
     below = plan[plan.rindex("Exchange"):] if "Exchange" in plan else plan
     map_agg = "sort" if "SortAggregate" in below else ("hash" if "HashAggregate" in below else "-")
@@ -35,7 +36,7 @@ def shape(plan: str) -> dict[str, str]:
         "scans": ", ".join(scans) or "-",
         "exchanges": f"{len(exchanges)} ({', '.join(sorted(set(e.replace('partitioning', '') for e in exchanges)))})"
         if exchanges else "0",
-        "joins": ", ".join(f"{j} {t}" for j, t in joins) or "-",
+        "joins": ", ".join(f"{j} {t} {side}".strip() for j, t, side in joins) or "-",
         "map-side agg": map_agg,
         "window": "yes" if "Window [" in plan else "-",
         "python": "Arrow UDF" if "ArrowEvalPython" in plan else ("row UDF" if "BatchEvalPython" in plan else "-"),
@@ -46,7 +47,8 @@ def shape(plan: str) -> dict[str, str]:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from tierline.operators import sinks
+    from tierline.plans.queries import QUERIES, drop_databases
 
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
@@ -58,7 +60,8 @@ def main() -> None:
         "query (before AQE re-planning). `scans` lists file scans; `checkpoint` is a read",
         "of a checkpointed intermediate. `map-side agg` is the aggregate below the deepest",
         "exchange: `hash` means map-side combine without sorting raw rows.",
-        "Queries that write tables show the plan of their final read-back.",
+        "Queries that write tables show the plan of every write, numbered in order (those of",
+        "concurrent branches as they came), and then that of the final read-back. Joins name the side that is built.",
         "Join strategies are what Catalyst picks from its size estimates at this scale",
         "(sf0.01, where everything is small enough to broadcast). On large inputs the",
         "static choice is a sort-merge join, and AQE switches to a broadcast only when",
@@ -70,8 +73,20 @@ def main() -> None:
         "| --- | " + " | ".join("---" for _ in cols) + " |",
     ]
     details = ["", "## Read schemas and pushed filters", ""]
-    for name, fn in sorted(E.queries().items()):
+    written: list = []
+    write = sinks.write_version
+
+    def recorded(df, *rest):
+        written.append(df)
+        write(df, *rest)
+
+    sinks.write_version = recorded
+    for name, fn in sorted(QUERIES.items()):
+        written.clear()
         df = fn(spark, sf_dir)
+        for i, one in enumerate(written, 1):
+            s = shape(one._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1])
+            lines.append(f"| {name}, write {i} | " + " | ".join(s.get(c, "-") for c in cols) + " |")
         plan = df._jdf.queryExecution().executedPlan().toString()
         initial = plan.split("== Initial Plan ==")[-1]
         s = shape(initial)
@@ -86,6 +101,7 @@ def main() -> None:
                 spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         lines.append(f"| {name} | " + " | ".join(s[c] for c in cols) + " |")
         details.append(f"* **{name}**: read `{s['read schema']}`; pushed `{s['pushed filters']}`")
+    drop_databases(spark)
     spark.stop()
     (ROOT / "PLANS.md").write_text("\n".join(lines + details) + "\n")
     print(f"wrote {ROOT / 'PLANS.md'}")

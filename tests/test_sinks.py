@@ -17,6 +17,7 @@ from tierline.operators.sinks import (
     insert_values,
     overwrite_table,
     register_view,
+    remove_old_versions,
     replace_table_as,
     save_table,
     show_tables,
@@ -140,13 +141,56 @@ def test_failed_overwrite_keeps_the_old_table(spark, edge, db):
     assert same_rows(spark.table(t), edge)
 
 
-def test_name_parts_and_rename_target():
-    from tierline.operators.sinks import _name_parts, _rename_target
+def _location(spark, table):
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
+def test_same_columns_are_replaced_without_absence(spark, edge, db, monkeypatch):
+    """The table keeps its catalog entry: one change of its location, and no data moves."""
+    t = f"{db}.tab_customers_bronze"
+    overwrite_table(edge, t)
+    first, said = _location(spark, t), []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), sql(self, q, *a, **k))[1])
+    overwrite_table(edge.union(edge), t)
+    monkeypatch.undo()
+    assert [q.split()[0:2] for q in said] == [["ALTER", "TABLE"]] and "SET LOCATION" in said[0]
+    assert spark.table(t).count() == 2 * edge.count() and _location(spark, t) != first
+    assert spark.read.parquet(first).count() == edge.count()  # the old version stays for its readers
+
+
+def test_two_writers_use_separate_folders(spark, edge, db):
+    from concurrent.futures import ThreadPoolExecutor
+
+    t = f"{db}.tab_customers_bronze"
+    overwrite_table(edge, t)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda n: overwrite_table(edge.limit(n), t), (3, 7)))
+    assert spark.table(t).count() in (3, 7)
+
+
+def test_old_versions_are_removed_on_demand(spark, edge, db):
+    t = f"{db}.tab_customers_bronze"
+    for _ in range(3):
+        overwrite_table(edge, t)
+    assert remove_old_versions(spark, t) == []  # too young
+    assert len(remove_old_versions(spark, t, older_than_hours=0)) == 2
+    assert same_rows(spark.table(t), edge)
+
+
+def test_a_managed_table_is_replaced_too(spark, edge, db):
+    t = f"{db}.tab_old"
+    edge.write.saveAsTable(t)
+    overwrite_table(edge.select("UUID"), t)
+    overwrite_table(edge, t)
+    assert same_rows(spark.table(t), edge)
+
+
+def test_name_parts():
+    from tierline.operators.sinks import _name_parts
 
     assert _name_parts("`spark_catalog`.`db`.`t.x`") == ["spark_catalog", "db", "t.x"]
     assert _name_parts("db.t") == ["db", "t"]
-    assert _rename_target("`spark_catalog`.`db`.`t`") == "`db`.`t`"
-    assert _rename_target("t") == "`t`"
 
 
 def test_three_part_names(spark, edge, db):
@@ -155,7 +199,7 @@ def test_three_part_names(spark, edge, db):
 
     t = layer_table("customers", "bronze", db, "spark_catalog")
     overwrite_table(edge, t)
-    overwrite_table(edge.union(edge), t)  # replaces through the sibling swap
+    overwrite_table(edge.union(edge), t)  # another version
     assert spark.table(t).count() == 2 * edge.count()
     append_evolving(spark.createDataFrame([("z", "new")], "UUID string, extra string"), t)
     assert spark.table(t).columns == ["UUID", "Name", "Points", "extra"]

@@ -11,7 +11,9 @@ from conftest import SF_SMALL, rows
 from tierline.sources.derived import participation, product_feed, staged_feed
 from tierline.sources.feeds import (
     file_inventory,
+    malformed_rows,
     only_source_file,
+    only_source_files,
     preview_feed,
     read_feed,
     read_feed_inferred,
@@ -64,6 +66,19 @@ def test_only_source_file_filters_at_scan(spark):
     assert "DataFilters: [" in plan and "customers_2.csv" in plan.split("FileScan")[1]
 
 
+def test_lines_with_other_field_counts_are_reported(spark):
+    d = _folder({"customers.csv": CUSTOMERS_TEXT + "u8;Too;1;many\nu9;few\n"})
+    found = {(r["file_name"], r["line"]) for r in malformed_rows(spark, d, CUSTOMERS).collect()}
+    assert found == {("customers.csv", "u8;Too;1;many"), ("customers.csv", "u9;few")}
+
+
+def test_rows_of_an_inventorys_files(spark):
+    d = _folder({"customers.csv": CUSTOMERS_TEXT, "customers_2.csv": CUSTOMERS_TEXT.replace("u1", "z1")})
+    files = file_inventory(spark, d).where("name LIKE '%2.csv'")
+    df = only_source_files(read_feed(spark, d, CUSTOMERS), files)
+    assert sorted(r["UUID"] or "" for r in df.collect()) == ["", "u2", "z1"]
+
+
 def test_preview_and_inference(spark):
     d = _folder({"customers.csv": CUSTOMERS_TEXT})
     prev = preview_feed(spark, d)

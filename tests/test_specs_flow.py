@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, same_rows
 from tierline.operators.gold import window_totals
 from tierline.operators.silver import silver_monolith
-from tierline.plans.flow import Target, monolith_tables, rebuild_after_insert, run_layers
+from tierline.plans.flow import Target, build_gold, monolith_tables, rebuild_after_insert, run_layers
 from tierline.operators.sinks import overwrite_table
 from tierline.sources.derived import late_rows, participation, staged_feed
 from tierline.specs import CUSTOMERS, PRODUCTS, dataset_name, layer_table, spec_for
@@ -96,7 +96,7 @@ def test_command_line_steps(spark):
         assert main(["bronze", "--path", d, "--file", "customers.csv", "--schema", db]) == {
             "bronze": f"`{db}`.`tab_customers_bronze`"}
         main(["silver", "--file", "customers", "--schema", db])
-        gold = spark.table(main(["gold", "--schema", db])["gold"])
+        gold = spark.table(main(["gold", "--file", "customers.csv", "--schema", db])["gold"])
         assert gold.count() == 3  # u1/below, u2/invalid, NULL/below
         out = main(["all", "--path", d, "--schema", db])
         assert spark.table(out["products_silver"]).count() == 4
@@ -106,14 +106,52 @@ def test_command_line_steps(spark):
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
-def test_shuffle_partitions_are_raised_for_large_inputs(spark):
-    from tierline.session import input_bytes, size_shuffle_partitions
+def test_a_table_of_each_layer_for_every_file(spark, target):
+    """Two customers files of one schema: neither replaces the other."""
+    from test_sources import CUSTOMERS_TEXT, _folder
 
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    d = _folder({"customers_jan.csv": CUSTOMERS_TEXT, "customers_feb.csv": CUSTOMERS_TEXT.replace("u1", "z1")})
+    out = run_layers(spark, {f: f"{d}/{f}" for f in ("customers_jan.csv", "customers_feb.csv")}, target)
+    assert {r.UUID for r in spark.table(out["customers_jan_bronze"]).collect()} == {"u1", "u2", None}
+    assert {r.UUID for r in spark.table(out["customers_feb_bronze"]).collect()} == {"z1", "u2", None}
+    assert {r.member_id for r in spark.table(out["customers_feb_gold"]).collect()} == {"z1", "u2", None}
+    assert len(out) == 6
+    with pytest.raises(ValueError):
+        build_gold(spark, target, "products.csv")
+
+
+def test_precision_reaches_gold(spark, target):
+    from test_sources import _folder
+
+    d = _folder({"customers.csv": "UUID;Name;Points\nu1;Ana x;2147483647\n"})
+    run = lambda **k: run_layers(spark, {"customers.csv": f"{d}/customers.csv"}, target, **k)
+    if spark.conf.get("spark.sql.ansi.enabled") == "true":
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+            run()
+    assert str(spark.table(run(precision=12)["customers_gold"]).first().avg_points) == "2147483647.00"
+
+
+def test_monolith_command(spark):
+    from tierline.__main__ import main
+
+    from test_sources import CUSTOMERS_TEXT, _folder
+
+    db = f"tl_mono_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tempfile.mkdtemp(prefix='tierline-mono-')}'")
+    try:
+        out = main(["monolith", "--path", _folder({"customers.csv": CUSTOMERS_TEXT}), "--schema", db])
+        assert spark.table(out["bronze"]).columns == ["UUID", "Name", "Points", "file_name", "ingested_at"]
+        assert not {"file_name", "ingested_at"} & set(spark.table(out["silver"]).columns)
+        assert spark.table(out["gold"]).count() == 3
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_initial_partitions_are_the_callers(spark):
+    from tierline.session import build_session
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
-        assert input_bytes(spark, f"{SF_SMALL}/events.parquet") > 0
-        assert size_shuffle_partitions(spark, 1000) == int(before)  # small input: unchanged
-        assert size_shuffle_partitions(spark, 50 * (128 << 20)) == max(50, int(before))  # 50 x 128 MB
-        assert size_shuffle_partitions(spark, 1000) == max(50, int(before))  # never lowered
+        assert build_session(initial_partitions=64).conf.get(key) == "64"
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset(key)

@@ -8,7 +8,7 @@ Scale notes (a key may hold a third of all rows):
   window form first collapses rows to one row per (key, band), so a window
   group holds at most one row per band.
 * Where two aggregates need the same combined input (the validation join),
-  it is checkpointed once to the shared folder instead of scanned twice.
+  it is written once to the shared folder instead of computed twice.
 * The per-row window form (:func:`with_key_totals`) aggregates per key and
   joins back; the join is left to the planner, which broadcasts only when the
   measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import stamp, to_decimal
-from tierline.session import checkpointed
+from tierline.session import stored
 from tierline.sources.feeds import INGESTED_AT
 
 # Output names shared by every gold form.
@@ -171,15 +171,15 @@ def validation_report(
     totals (count included) are NULL.
 
     Plan: raw rows are combined once to (key, name, band) statistics and
-    checkpointed to the shared folder; the per-key totals are aggregated from
-    that copy and LEFT-joined back to it. The input is scanned once (two
+    written to the shared folder (the job runs when the report is built); the
+    per-key totals are aggregated from that copy and LEFT-joined back to it. The input is scanned once (two
     aggregates over one source would otherwise each scan it, as column pruning
     makes them different plans), and no key's rows have to meet in one task:
     the planner broadcasts the totals only when their measured size is under
     the broadcast threshold, otherwise AQE splits a hot key's partition of the
     group side. Sorted by the count (ties by key, name, band) when ``ordered``.
     """
-    pre = checkpointed(_stats(silver, [key, name, band], key, points))
+    pre = stored(_stats(silver, [key, name, band], key, points), "validation")
     totals = _merged(pre, [key]).select(
         F.col(key).alias("_key"),
         F.col("_n_key").alias(COUNT),
@@ -214,7 +214,8 @@ def with_key_totals(
     unbounded frame, computed as a per-key aggregate joined back on the key
     with NULL-safe equality (NULL keys form one partition, as in a window).
     A window would hold a hot key's raw rows in one task; this keeps raw rows
-    out of any single-task buffer.
+    out of any single-task buffer. Every row has its partner, so a left join
+    gives the same rows, and can only ever build from the totals.
     """
     totals = _merged(_stats(df, [key], key, points, name), [key], name).select(
         F.col(key).alias("_key"),
@@ -226,7 +227,7 @@ def with_key_totals(
         F.col("_max").alias("key_" + MAX),
     )
     rows, per_key = df.alias("r"), totals.alias("k")
-    joined = rows.join(per_key, F.col(f"r.`{key}`").eqNullSafe(F.col("k._key")), "inner")
+    joined = rows.join(per_key, F.col(f"r.`{key}`").eqNullSafe(F.col("k._key")), "left")
     return joined.select("r.*", *[F.col(f"k.`{c}`") for c in totals.columns if c != "_key"])
 
 

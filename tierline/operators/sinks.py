@@ -1,7 +1,8 @@
 """Table sinks and catalog helpers.
 
-Writes go through the session catalog (``saveAsTable`` / ``insertInto``), so
-they run as ordinary Spark write jobs: one task per input partition, files
+Tables live in the session catalog. Replaced rows are written as files of their
+own and then published in the catalog; inserts use ``insertInto``. Both run as
+ordinary Spark write jobs: one task per input partition, files
 committed by the output committer, no driver-side data. The table format is a
 parameter: ``parquet`` works everywhere; ``delta`` when its package is on the
 class path (then schema options are passed straight through).
@@ -9,13 +10,19 @@ class path (then schema options are passed straight through).
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierline.session import file_system
+
 DEFAULT_FORMAT = "parquet"
+#: Folder below a database's location that holds the versions of its tables.
+VERSIONS = "_versions"
 
 
 def _quote(name: str) -> str:
@@ -31,20 +38,6 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     return database
 
 
-def _write(df: DataFrame, table: str, fmt: str, partition_by: Sequence[str]) -> None:
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
-
-
-def _sibling(table: str, suffix: str) -> str:
-    """``db.t`` -> ``db.t<suffix>`` (quoted or not)."""
-    return table[:-1] + suffix + "`" if table.endswith("`") else table + suffix
-
-
 def _name_parts(table: str) -> list[str]:
     """Split a dotted table name; dots inside backticks belong to the part."""
     parts, current, quoted = [], [], False
@@ -60,36 +53,83 @@ def _name_parts(table: str) -> list[str]:
     return parts
 
 
-def _rename_target(table: str) -> str:
-    """``RENAME TO`` takes at most ``db.table`` (no catalog part)."""
-    return ".".join(_quote(p) for p in _name_parts(table)[-2:])
+def _new_version(spark: SparkSession, table: str) -> str:
+    """A fresh folder for one version of a table, below its database's location."""
+    *where, name = _name_parts(table)
+    if where:
+        base = spark.catalog.getDatabase(".".join(_quote(p) for p in where)).locationUri
+    else:
+        base = spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/{VERSIONS}/{name}/{uuid.uuid4().hex}"
+
+
+def write_version(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]) -> None:
+    """Write one version of a table; the only place where rows of a replaced table are written."""
+    writer = df.write.format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+
+def _same_shape(spark: SparkSession, table: str, df: DataFrame) -> bool:
+    """Whether the table is unpartitioned and has the columns of ``df``, so that its location alone may change."""
+    now = [(f.name, f.dataType) for f in spark.table(table).schema]
+    plain = not any(c.isPartition for c in spark.catalog.listColumns(table))
+    return plain and now == [(f.name, f.dataType) for f in df.schema]
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
     """Replace a table's rows **and** schema (create it if missing).
 
-    A file table is replaced in two steps: the new rows are written to a
-    sibling table first, then the old table is dropped and the sibling
-    renamed into its place (catalog operations plus one directory rename).
-    A write job that fails (an executor lost beyond retries, a bad row)
-    therefore leaves the old table whole, and the query may read the table it
-    replaces. Delta replaces atomically on its own.
+    The rows of a file table are written to a fresh folder first, which no
+    other writer uses; then the catalog is pointed at it. No data moves. With
+    the same columns that is one ``SET LOCATION``, so the table is never absent
+    to a reader; with others the table is dropped and created at the new
+    folder, and is absent between these two catalog calls. A write job that
+    fails leaves the old table whole, and the query may read the table that it
+    replaces. The last writer wins. Folders of earlier versions stay for their
+    readers until :func:`remove_old_versions`. Delta replaces atomically on its own.
     """
     spark = df.sparkSession
-    if fmt == "delta" or not spark.catalog.tableExists(table):
-        _write(df, table, fmt, partition_by)
+    if fmt == "delta":
+        writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+        return table
+    exists = spark.catalog.tableExists(table)
+    path = _new_version(spark, table)
+    write_version(df, path, fmt, partition_by)
+    if exists and not partition_by and _same_shape(spark, table, df):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
         return table
-    staged = _sibling(table, "__next")
-    _write(df, staged, fmt, partition_by)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {_rename_target(table)}")
+    if exists:
+        spark.sql(f"DROP TABLE {table}")
+    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+    by = f" PARTITIONED BY ({', '.join(map(_quote, partition_by))})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by} LOCATION '{path}'")
     if partition_by:
-        # the rename moves the folder but the catalog keeps each partition's
-        # old location: drop the stale entries, register the moved folders
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
     return table
 
 
+def remove_old_versions(spark: SparkSession, table: str, older_than_hours: float = 168) -> list[str]:
+    """Delete folders of earlier versions of ``table`` last written before that; returns them.
+
+    Give a time that no reader or writer still needs: a version that a writer
+    has not yet published is as old as its last file.
+    """
+    at = _new_version(spark, table).rpartition("/")[0]
+    fs, folder = file_system(spark, at)
+    if not fs.exists(folder):
+        return []
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    limit, gone = (time.time() - older_than_hours * 3600) * 1000, []
+    for status in fs.listStatus(folder):
+        path = status.getPath()
+        if path.getName() != location.rstrip("/").rpartition("/")[2] and status.getModificationTime() < limit:
+            fs.delete(path, True)
+            gone.append(path.getName())
+    return gone
+
+
 def _aligned_to(df: DataFrame, target: StructType) -> DataFrame:
     """Select ``df`` in the target's column order; absent columns become typed NULLs.
 
@@ -167,8 +207,8 @@ def replace_table_as(spark: SparkSession, query: str | DataFrame, table: str, fm
 
     Formats with atomic replace run ``CREATE OR REPLACE TABLE .. AS``; the
     built-in file tables have no REPLACE, so the query result replaces the
-    table through :func:`overwrite_table` (write aside, then swap), which also
-    lets the query read the table it replaces.
+    table through :func:`overwrite_table` (write aside, then publish), which
+    also lets the query read the table it replaces.
     """
     if fmt == "delta" and isinstance(query, str):
         spark.sql(f"CREATE OR REPLACE TABLE {table} USING delta AS {query}")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.operators.gold import gold_by_key_and_band, sort_desc, window_totals
+from tierline.operators.gold import BAND, COUNT, KEY, gold_by_key_and_band, sort_desc, window_totals
 from tierline.operators.silver import silver_customers, silver_monolith, silver_products
 from tierline.operators.sinks import (
     DEFAULT_FORMAT,
@@ -22,7 +22,7 @@ from tierline.operators.sinks import (
     overwrite_table,
     replace_table_as,
 )
-from tierline.sources.feeds import read_feed, read_layer
+from tierline.sources.feeds import read_feed, read_feed_inferred, read_layer
 from tierline.specs import CUSTOMERS, PRODUCTS, dataset_name, layer_table, spec_for
 
 
@@ -44,38 +44,37 @@ class Target:
 
 
 def ingest_bronze(spark: SparkSession, path: str, file_name: str, target: Target) -> str:
-    """Feed file or folder -> ``tab_<dataset>_bronze`` (schema chosen by name)."""
-    spec = spec_for(file_name)
-    return overwrite_table(read_feed(spark, path, spec), target.table(spec.name, "bronze"), target.fmt)
+    """Feed file or folder -> ``tab_<file name>_bronze``, one table per file; the
+    schema is that of the spec whose name the file name contains."""
+    df = read_feed(spark, path, spec_for(file_name))
+    return overwrite_table(df, target.table(file_name, "bronze"), target.fmt)
 
 
 def build_silver(spark: SparkSession, dataset: str, target: Target) -> str:
     """``tab_<dataset>_bronze`` -> ``tab_<dataset>_silver``."""
-    name = dataset_name(dataset)
-    bronze = read_layer(spark, target.table(name, "bronze"))
-    if name == CUSTOMERS.name:
-        silver = silver_customers(bronze)
-    elif name == PRODUCTS.name:
-        silver = silver_products(bronze)
-    else:
-        raise ValueError(f"no silver rule for dataset {dataset!r}")
-    return overwrite_table(silver, target.table(name, "silver"), target.fmt)
+    rule = {CUSTOMERS.name: silver_customers, PRODUCTS.name: silver_products}[spec_for(dataset).name]
+    silver = rule(read_layer(spark, target.table(dataset, "bronze")))
+    return overwrite_table(silver, target.table(dataset, "silver"), target.fmt)
+
 
+def build_gold(spark: SparkSession, target: Target, dataset: str = CUSTOMERS.name, precision: int = 10) -> str:
+    """``tab_<dataset>_silver`` of a customers feed -> its gold table at (key, band) grain.
 
-def build_gold(spark: SparkSession, target: Target, dataset: str = CUSTOMERS.name) -> str:
-    """``tab_customers_silver`` -> ``tab_customers_gold`` at (key, band) grain."""
-    name = dataset_name(dataset)
-    if name != CUSTOMERS.name:
-        raise ValueError("only the customers feed has a gold table")
-    gold = gold_by_key_and_band(read_layer(spark, target.table(name, "silver")))
-    return replace_table_as(spark, gold, target.table(name, "gold"), target.fmt)
+    An average beyond ``precision`` digits raises under ANSI; widen it for large points.
+    """
+    if spec_for(dataset) is not CUSTOMERS:
+        raise ValueError(f"only customers feeds have a gold table, {dataset!r} is none")
+    gold = gold_by_key_and_band(read_layer(spark, target.table(dataset, "silver")), precision=precision)
+    return replace_table_as(spark, gold, target.table(dataset, "gold"), target.fmt)
 
 
-def run_layers(spark: SparkSession, feeds: dict[str, str], target: Target, parallel: bool = True) -> dict[str, str]:
+def run_layers(
+    spark: SparkSession, feeds: dict[str, str], target: Target, parallel: bool = True, precision: int = 10
+) -> dict[str, str]:
     """Whole flow along the job graph: ``feeds`` maps file name -> path.
 
-    Edges: bronze(x) -> silver(x) for each feed; both silvers -> customers
-    gold. The per-feed branches have no edge between them, so with
+    Edges: bronze(x) -> silver(x) for each feed; all silvers -> the gold of each
+    customers feed. The per-feed branches have no edge between them, so with
     ``parallel`` they are submitted as concurrent Spark jobs from two driver
     threads (the cluster runs their tasks side by side); gold starts when
     every branch is done. Returns ``{'<dataset>_<layer>': table}``.
@@ -97,8 +96,9 @@ def run_layers(spark: SparkSession, feeds: dict[str, str], target: Target, paral
     else:
         for file_name, path in feeds.items():
             out.update(branch(file_name, path))
-    if any(dataset_name(f) == CUSTOMERS.name for f in feeds):
-        out["customers_gold"] = build_gold(spark, target)
+    for file_name in feeds:
+        if spec_for(file_name) is CUSTOMERS:
+            out[f"{dataset_name(file_name)}_gold"] = build_gold(spark, target, file_name, precision)
     return out
 
 
@@ -108,21 +108,36 @@ def monolith_tables(target: Target) -> dict[str, str]:
     return {layer: target.table("monolith", layer) for layer in ("bronze", "silver", "gold")}
 
 
+def ingest_monolith_bronze(spark: SparkSession, path: str, target: Target) -> str:
+    """Folder of feed files, read with header names and inferred types -> the
+    monolith bronze table, with each row's file name and a stamp."""
+    return overwrite_table(read_feed_inferred(spark, path), monolith_tables(target)["bronze"], target.fmt)
+
+
 def build_monolith_silver(spark: SparkSession, target: Target) -> str:
     t = monolith_tables(target)
     return overwrite_table(silver_monolith(read_layer(spark, t["bronze"])), t["silver"], target.fmt)
 
 
-def build_monolith_gold(spark: SparkSession, target: Target) -> str:
-    """Key-wide totals per (key, band), ordered by count as written."""
+def build_monolith_gold(spark: SparkSession, target: Target, precision: int = 10) -> str:
+    """Key-wide totals per (key, band). A table has no order; see :func:`read_monolith_gold`."""
     t = monolith_tables(target)
-    gold = sort_desc(window_totals(read_layer(spark, t["silver"])), "participations", "member_id", "band")
+    gold = window_totals(read_layer(spark, t["silver"]), precision=precision)
     return replace_table_as(spark, gold, t["gold"], target.fmt)
 
 
+def read_monolith_gold(spark: SparkSession, target: Target) -> DataFrame:
+    """The gold table ordered by count, ties by key and band."""
+    return sort_desc(read_layer(spark, monolith_tables(target)["gold"]), COUNT, KEY, BAND)
+
+
 def rebuild_after_insert(spark: SparkSession, late: DataFrame, target: Target) -> str:
     """Append late rows (a subset of bronze columns) to the monolith bronze table,
-    then rebuild silver and gold from it; returns the gold table."""
+    then rebuild silver and gold from it; returns the gold table.
+
+    The insert comes first and is not undone: after a failed rebuild repeat the
+    two build steps, not this call, or the rows are inserted twice.
+    """
     insert_by_name(late, monolith_tables(target)["bronze"])
     build_monolith_silver(spark, target)
     return build_monolith_gold(spark, target)

@@ -1,8 +1,8 @@
 """DuckDB SQL for each registered query, over the same parquet tables.
 
 Where the Spark side uses a rewritten plan (pre-aggregated windows, joined-back
-totals), the SQL here keeps the direct textbook form (window over raw rows,
-raw-row LEFT JOIN + GROUP BY ALL), so the comparison checks the rewrite too.
+totals), the SQL here states the definition over raw rows, so the comparison
+checks the rewrite too.
 
 Engine differences handled here (see SURVEY 5.3):
 
@@ -17,7 +17,7 @@ Engine differences handled here (see SURVEY 5.3):
 from __future__ import annotations
 
 from tierline.functions.columns import BAND_LABELS, BAND_LABELS_PT, INVALID_LABEL, INVALID_LABEL_PT
-from tierline.plans.queries import ROWS_ONLY
+from tierline.plans.queries import INLINE_ROWS
 
 
 def dec_avg(s: str, c: str) -> str:
@@ -62,6 +62,15 @@ participation AS (
   FROM (SELECT *, event_type || '_' || CAST(user_id AS VARCHAR) || ' x' AS base_name FROM events) e
 )"""
 
+
+
+def of_events(where: str) -> str:
+    """The feed of a part of the events."""
+    return PARTICIPATION.replace("FROM events)", f"FROM events WHERE {where})")
+
+
+INLINE = ", ".join(f"('{k}', {'NULL' if p is None else repr(p)})" for k, p in INLINE_ROWS)
+
 LATE = """
 late AS (
   SELECT DISTINCT UUID, CAST(NULL AS VARCHAR) AS Name, '250' AS Points FROM participation WHERE UUID IS NOT NULL
@@ -85,43 +94,37 @@ CUSTOMERS_SILVER = (
     f"points_int AS points, {band_sql('points_int')} AS band FROM typed)"
 )
 
+# Customers gold: what a (member, band) group holds, then the columns of the contract.
 GOLD = f"""
-SELECT member_id, MAX(first_name) AS first_name, COUNT(member_id) AS participations,
-       CAST(SUM(points) AS BIGINT) AS total_points,
-       {dec_avg('CAST(SUM(points) AS BIGINT)', 'COUNT(points)')} AS avg_points,
-       MIN(points) AS min_points, MAX(points) AS max_points, band
-FROM customers_silver GROUP BY member_id, band"""
+SELECT band, member_id, first_name, min_points, max_points, participations, total_points,
+       {dec_avg('total_points', 'valued')} AS avg_points
+FROM (
+  SELECT band, member_id, COUNT(points) AS valued, COUNT(member_id) AS participations,
+         SUM(points)::BIGINT AS total_points, MIN(points) AS min_points, MAX(points) AS max_points,
+         MAX(first_name) AS first_name
+  FROM customers_silver GROUP BY ALL) of_group"""
 
 PER_KEY = """
 SELECT UUID AS member_id, AVG(points_int) AS avg_points, CAST(SUM(points_int) AS BIGINT) AS total_points,
        MIN(points_int) AS min_points, MAX(points_int) AS max_points, COUNT(UUID) AS participations
 FROM monolith_silver GROUP BY UUID"""
 
-# Direct window form: six window aggregates per raw row, band kept, DISTINCT.
+# Key-wide totals over raw rows by one named window, then one row per member and band.
 WINDOW_GOLD = f"""
-SELECT DISTINCT member_id, first_name, participations, total_points,
-       {dec_avg('s', 'c')} AS avg_points, min_points, max_points, band
+SELECT DISTINCT band, member_id, first_name, min_points, max_points, participations, total_points,
+       {dec_avg('total_points', 'valued')} AS avg_points
 FROM (
-  SELECT UUID AS member_id,
-         MAX(first_name_split) OVER (PARTITION BY UUID) AS first_name,
-         COUNT(UUID) OVER (PARTITION BY UUID) AS participations,
-         CAST(SUM(points_int) OVER (PARTITION BY UUID) AS BIGINT) AS total_points,
-         CAST(SUM(points_int) OVER (PARTITION BY UUID) AS BIGINT) AS s,
-         COUNT(points_int) OVER (PARTITION BY UUID) AS c,
-         MIN(points_int) OVER (PARTITION BY UUID) AS min_points,
-         MAX(points_int) OVER (PARTITION BY UUID) AS max_points,
-         band
-  FROM monolith_silver) w"""
+  SELECT band, UUID AS member_id, COUNT(points_int) OVER of_key AS valued, COUNT(UUID) OVER of_key AS participations,
+         (SUM(points_int) OVER of_key)::BIGINT AS total_points, MIN(points_int) OVER of_key AS min_points,
+         MAX(points_int) OVER of_key AS max_points, MAX(first_name_split) OVER of_key AS first_name
+  FROM monolith_silver WINDOW of_key AS (PARTITION BY UUID)) of_row"""
 
-# Raw-row LEFT JOIN to the per-key view, then GROUP BY ALL.
+# By definition: the distinct (member, name, band) groups, each with its member's totals if there are any.
 VALIDATION = """
-WITH_MEDIA
-SELECT A.UUID AS member_id, A.first_name_split AS first_name,
-       MAX(B.participations) AS participations, MAX(B.total_points) AS total_points,
-       MAX(B.avg_points) AS avg_points, MAX(B.max_points) AS max_points,
-       MIN(B.min_points) AS min_points, A.band AS band
-FROM monolith_silver A LEFT JOIN media B ON A.UUID = B.member_id
-GROUP BY ALL"""
+SELECT seen.member_id, seen.first_name, seen.band, per_key.min_points, per_key.max_points, per_key.avg_points,
+       per_key.total_points, per_key.participations
+FROM (SELECT DISTINCT UUID AS member_id, first_name_split AS first_name, band FROM monolith_silver) seen
+LEFT JOIN per_key USING (member_id)"""
 
 
 def _with(*ctes: str) -> str:
@@ -129,8 +132,7 @@ def _with(*ctes: str) -> str:
 
 
 def _validation(order: bool) -> str:
-    body = VALIDATION.replace("WITH_MEDIA", "")
-    sql = _with(PARTICIPATION, monolith_silver(), f"media AS ({PER_KEY})") + body
+    sql = _with(PARTICIPATION, monolith_silver(), f"per_key AS ({PER_KEY})") + VALIDATION
     return sql + "\nORDER BY participations DESC" if order else sql
 
 
@@ -142,6 +144,9 @@ ORACLE: dict[str, str] = {
     "scan_csv_infer_dir": _with(PARTICIPATION)
     + "SELECT CAST(UUID AS INTEGER) AS UUID, Name, Points, TRUE AS has_source_file FROM participation",
     "scan_csv_preview": _with(PARTICIPATION) + "SELECT UUID, Name, Points FROM participation",
+    "scan_file_provenance": _with(PARTICIPATION)
+    + "SELECT UUID, Name, Points, TRUE AS file_listed, TRUE AS file_dated, TRUE AS stamped FROM participation",
+    "filter_by_source_file": _with(of_events("event_id % 2 = 0")) + "SELECT UUID, Name, Points FROM participation",
     "scan_layer_table": _with(PARTICIPATION) + "SELECT UUID, Name, Points FROM participation",
     # sinks
     "sink_overwrite": _with(PARTICIPATION) + "SELECT UUID, Name, Points FROM participation",
@@ -149,9 +154,13 @@ ORACLE: dict[str, str] = {
     "sink_append_evolve": _with(PARTICIPATION, LATE)
     + "SELECT UUID, Name, Points, CAST(NULL AS VARCHAR) AS arrival FROM participation "
     "UNION ALL SELECT UUID, Name, Points, 'late' AS arrival FROM late",
-    "sink_ctas_replace": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
+    "sink_ctas_replace": _with(PARTICIPATION, CUSTOMERS_SILVER)
+    + "SELECT band, first_name, COUNT(*) AS entries, CAST(SUM(points) AS BIGINT) AS points FROM customers_silver GROUP BY ALL",
     "sink_insert_partial": _with(PARTICIPATION, LATE)
     + "SELECT UUID, Name, Points FROM participation UNION ALL SELECT UUID, Name, Points FROM late",
+    "sink_insert_values": _with(PARTICIPATION)
+    + "SELECT UUID, Name, Points, TRUE AS has_file, TRUE AS stamped FROM participation "
+    f"UNION ALL SELECT k, NULL, p, FALSE, FALSE FROM (VALUES {INLINE}) v(k, p)",
     "temp_view": _with(PARTICIPATION, monolith_silver()) + PER_KEY,
     # projections, predicates, functions
     "project_star_plus": _with(PARTICIPATION) + "SELECT UUID, Name, Points, TRUE AS stamped FROM participation",
@@ -163,8 +172,10 @@ ORACLE: dict[str, str] = {
     f"({band_sql('points_int', closed_top=True)}) = '{BAND_LABELS[-1]}' AS is_top FROM typed",
     "silver_customers": _with(PARTICIPATION, CUSTOMERS_SILVER) + "SELECT * FROM customers_silver",
     "project_drop": _with(PARTICIPATION) + "SELECT UUID, Name, Points FROM participation",
-    "stamp_ingestion": _with(PARTICIPATION)
-    + "SELECT CAST(1 AS BIGINT) AS distinct_stamps, COUNT(*) AS row_count FROM participation",
+    "stamp_ingestion": _with(PARTICIPATION, CUSTOMERS_SILVER, f"gold AS ({GOLD})")
+    + "SELECT layer, COUNT(*) AS row_count, COUNT(k) AS keyed_rows, CAST(1 AS BIGINT) AS stamps, TRUE AS in_order FROM ("
+    "SELECT 'bronze' AS layer, UUID AS k FROM participation UNION ALL SELECT 'silver', member_id FROM customers_silver "
+    "UNION ALL SELECT 'gold', member_id FROM gold) l GROUP BY layer",
     "case_insensitive_columns": _with(PARTICIPATION)
     + f"SELECT UUID AS uuid, Name AS name, {POINTS_INT} AS points_int FROM participation",
     "predicate_range": _with(PARTICIPATION, typed())
@@ -233,7 +244,16 @@ FROM (
         monolith_silver("bronze"),
     )
     + WINDOW_GOLD,
+    "monolith_end_to_end": _with(
+        PARTICIPATION,
+        f"bronze AS (SELECT CAST(UUID AS INTEGER) AS UUID, Name, Points FROM participation "
+        f"UNION ALL SELECT CAST(k AS INTEGER), NULL, p FROM (VALUES {INLINE}) v(k, p))",
+        monolith_silver("bronze"),
+    )
+    + WINDOW_GOLD,
+    "layers_two_files": " UNION ALL ".join(
+        f"SELECT '{part}' AS part, * FROM ({_with(of_events(f'event_id % 2 {keep} 0'), CUSTOMERS_SILVER)}{GOLD}) {part}"
+        for part, keep in (("even", "="), ("odd", "<>"))
+    ),
     "layers_end_to_end": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
 }
-
-assert not (set(ORACLE) & ROWS_ONLY)

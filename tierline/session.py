@@ -15,13 +15,16 @@ def build_session(
     app_name: str = "tierline",
     shuffle_partitions: int | None = None,
     time_zone: str | None = None,
+    initial_partitions: int | None = None,
 ) -> SparkSession:
     """A session with AQE on and the UI off.
 
     On a cluster pass ``master=None`` and let the launcher decide; partitions
     then come from the cluster defaults and AQE coalescing. ``time_zone`` sets
     the session zone that processing stamps are shown in (the caller's choice;
-    library functions never change it).
+    library functions never change it). ``initial_partitions`` is the partition
+    count that a shuffle starts with before AQE coalesces it; choose about the
+    largest expected shuffle / 128 MB, within what one driver can track.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -40,6 +43,8 @@ def build_session(
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if time_zone:
         conf["spark.sql.session.timeZone"] = time_zone
+    if initial_partitions:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
     for k, v in conf.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
@@ -59,7 +64,8 @@ def workspace_dir(spark: SparkSession) -> str:
     app = sc.applicationId
     if app in _CHOSEN:
         return _CHOSEN[app]
-    current = spark.conf.get(_CHECKPOINT_KEY, None)
+    # the setting, or the folder that the caller gave to setCheckpointDir
+    current = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not current:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"{_CHECKPOINT_KEY} must name storage shared by all executors")
@@ -81,49 +87,26 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([workspace_dir(spark), "tierline", "shared", *parts])
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and its path object (classic sessions only)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of ``path``."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = file_system(spark, path)
     return bool(fs.exists(hpath))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def stored(df: DataFrame, *parts: str) -> DataFrame:
+    """``df`` written as parquet below this run's folder and read back.
 
-    Used where one computed input feeds two sides of a plan: both read the
-    written copy instead of recomputing (and re-scanning) it, and a lost
-    executor costs a re-read rather than a recomputation from the source.
-    """
-    workspace_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Total size of the files below ``paths`` (Hadoop file-system listing)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for path in paths:
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(conf)
-        if fs.exists(hpath):
-            total += fs.getContentSummary(hpath).getLength()
-    return int(total)
-
-
-def size_shuffle_partitions(spark: SparkSession, total_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so a shuffle of ``total_bytes``
-    gets partitions of about ``target_bytes``; never lowers it.
-
-    AQE coalesces small shuffles at run time but cannot add partitions, so the
-    initial count has to fit the largest shuffle (here: the input size, an
-    upper bound for any shuffle of the layer flow). Returns the setting in use.
+    Used where one computed input feeds two sides of a plan: each side reads
+    only its columns of the written copy, and a lost executor costs a re-read
+    rather than a recomputation from the source.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(spark.sparkContext.defaultParallelism, -(-total_bytes // target_bytes))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current
+    spark = df.sparkSession
+    path = run_dir(spark, *parts, uuid.uuid4().hex[:12])
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

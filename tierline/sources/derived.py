@@ -15,16 +15,19 @@ are written in SQL in :mod:`tierline.plans.oracle` for the DuckDB check.
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.session import path_exists, shared_dir
+from tierline.session import file_system, shared_dir
 from tierline.specs import CUSTOMERS, PRODUCTS, FeedSpec
 
 # Bump when a derivation rule changes, so staged copies are not reused.
-DERIVATION_VERSION = "1"
+DERIVATION_VERSION = "2"
+#: Unfinished staging folders of other runs older than this are removed.
+STALE_HOURS = 24
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -51,7 +54,7 @@ PARTICIPATION_EXPRS = (
 )
 
 
-def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def participation(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
     """Customers-feed stand-in from ``events``; every column is a string.
 
     The event id picks edge cases deterministically (no row is dropped):
@@ -59,13 +62,13 @@ def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
     and NULL points, and the band boundary 2000.
     """
     ev = spark.read.schema(EVENTS_COLUMNS).parquet(table_path(sf_dir, "events"))
-    return ev.selectExpr(*PARTICIPATION_EXPRS)
+    return (ev.where(where) if where else ev).selectExpr(*PARTICIPATION_EXPRS)
 
 
-def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def product_feed(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
     """Products-feed stand-in from ``part``."""
     part = spark.read.schema(PART_COLUMNS).parquet(table_path(sf_dir, "part"))
-    return part.selectExpr(
+    return (part.where(where) if where else part).selectExpr(
         "CAST(p_partkey AS STRING) AS `1`",
         "p_type AS ChatMessage",
         "p_name AS Mensagem_do_chat_da_Twitch",
@@ -86,21 +89,22 @@ def late_rows(spark: SparkSession, sf_dir: str, points: str = "250") -> DataFram
     )
 
 
-def derive_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> DataFrame:
+def derive_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | None = None) -> DataFrame:
     if spec.name == CUSTOMERS.name:
-        return participation(spark, sf_dir)
+        return participation(spark, sf_dir, where)
     if spec.name == PRODUCTS.name:
-        return product_feed(spark, sf_dir)
+        return product_feed(spark, sf_dir, where)
     raise ValueError(f"no derivation for feed {spec.name!r}")
 
 
 def _source_fingerprint(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(hpath)
-    status = fs.getFileStatus(hpath)
-    return f"{path}|{summary.getLength()}|{summary.getFileCount()}|{status.getModificationTime()}"
+    """Path, length and time of every file of a table; a folder's own time says little on object stores."""
+    fs, hpath = file_system(spark, path)
+    files, seen = fs.listFiles(hpath, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return "\n".join(sorted(seen))
 
 
 def write_feed(df: DataFrame, path: str, spec: FeedSpec) -> None:
@@ -118,28 +122,30 @@ def write_feed(df: DataFrame, path: str, spec: FeedSpec) -> None:
     )
 
 
-def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec) -> str:
-    """Path of the derived feed written as CSV under the shared work folder.
+def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | None = None) -> str:
+    """Path of the derived feed (of the source rows that ``where`` keeps) written as CSV under the shared work folder.
 
-    The folder name is a digest of the source table's path, size and time, so
-    a finished copy (``_SUCCESS`` present) is reused instead of rewritten.
+    The folder name is a digest of the source table's files, so a finished copy
+    is reused. Each run writes into a folder of its own and then marks it as the
+    feed's by a small file; what no run marked is removed by the next one.
     """
     source = table_path(sf_dir, "events" if spec.name == CUSTOMERS.name else "part")
     digest = hashlib.sha1(
-        f"{DERIVATION_VERSION}|{spec.name}|{_source_fingerprint(spark, source)}".encode()
+        f"{DERIVATION_VERSION}|{spec.name}|{where}|{_source_fingerprint(spark, source)}".encode()
     ).hexdigest()[:16]
-    path = shared_dir(spark, "feeds", f"{spec.name}-{digest}")
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return path
-    # Write a private copy, then publish it with one directory rename, so a
-    # concurrent run never reads a half-written or overwritten feed.
-    jvm = spark.sparkContext._jvm
-    staging = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
-    write_feed(derive_feed(spark, sf_dir, spec), staging, spec)
-    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
-    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(dst) and not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
-        fs.delete(dst, True)  # an earlier run died before finishing this folder
-    if not fs.rename(src, dst):
-        fs.delete(src, True)  # another run published first; use its copy
-    return path
+    root = shared_dir(spark, "feeds", f"{spec.name}-{digest}")
+    fs, hpath = file_system(spark, root)
+    current = file_system(spark, f"{root}/current")[1]
+    if fs.exists(current):
+        return f"{root}/{fs.listStatus(current)[0].getPath().getName()}"
+    name = f"v-{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+    if fs.exists(hpath):
+        own = f"v-{spark.sparkContext.applicationId}-"
+        limit = (time.time() - STALE_HOURS * 3600) * 1000
+        for status in fs.listStatus(hpath):  # left by runs that died
+            left = status.getPath().getName()
+            if left != "current" and not left.startswith(own) and status.getModificationTime() < limit:
+                fs.delete(status.getPath(), True)
+    write_feed(derive_feed(spark, sf_dir, spec, where), f"{root}/{name}", spec)
+    fs.create(file_system(spark, f"{root}/current/{name}")[1], True).close()
+    return f"{root}/{name}"

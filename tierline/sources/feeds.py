@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tierline.functions.columns import stamp
 from tierline.specs import FeedSpec
@@ -27,13 +28,13 @@ def provenance(with_modified: bool = False) -> list[Column]:
 
 def read_feed(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     spec: FeedSpec,
     with_provenance: bool = True,
     with_modified: bool = False,
     stamp_column: str | None = INGESTED_AT,
 ) -> DataFrame:
-    """Read a delimited feed (file or folder) with the spec's declared schema.
+    """Read a delimited feed (file or folder, or several) with the spec's declared schema.
 
     Names bind by position; the header line, if any, is skipped. Provenance
     (file name, optionally modification time) and an ingest stamp are added.
@@ -89,6 +90,23 @@ def only_source_file(df: DataFrame, file_name: str, column: str = FILE_NAME) ->
     return df.where(F.col(column) == F.lit(file_name))
 
 
+def only_source_files(df: DataFrame, files: DataFrame, column: str = FILE_NAME) -> DataFrame:
+    """Keep rows read from the files of an inventory (or a filtered part of one)."""
+    return df.join(files.select(F.col("name").alias("_name")), F.col(column) == F.col("_name"), "left_semi")
+
+
+def malformed_rows(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+    """Lines whose number of fields is not the spec's: the columns as read, file name and line.
+
+    A positional read drops surplus fields and fills missing ones with NULL;
+    this reports such lines before a load.
+    """
+    schema = StructType([*spec.schema.fields, StructField("_line", StringType())])
+    options = spec.reader_options() | {"columnNameOfCorruptRecord": "_line"}
+    df = spark.read.schema(schema).options(**options).csv(path)
+    return df.where(F.col("_line").isNotNull()).select("*", F.col("_metadata.file_name").alias(FILE_NAME), F.col("_line").alias("line")).drop("_line")
+
+
 def read_layer(spark: SparkSession, table: str) -> DataFrame:
     """Scan a layer table by name."""
     return spark.read.table(table)
