@@ -45,10 +45,10 @@ def library_encoder(path: str) -> ByWord:
     t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
     def make(words: list[str]) -> list[bytes]:
-        made = t.encode_batch(words, add_special_tokens=False)
+        made = t.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
-    return ByWord(v, make, b"".join, lambda i: np.uint32(i).astype("<u4").tobytes())
+    return ByWord(v, make, b"".join, lambda i: np.uint32(i).astype("<u4").tobytes(), limit=800_000)
 
 
 def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:

@@ -133,14 +133,23 @@ class ByWord:
                 split.append([x for p in parts for x in ([p] if isinstance(p, int) else v.chunks(p))])
         chunks.trim()
         words.trim()
-        new = {c: self.words_of(c) for c in set().union(*split) if c not in chunks and isinstance(c, str)}
+        for i in v.special.values():
+            chunks[i] = self.special(i)
+        out, holes, missing = [list(map(chunks.get, c)) for c in split], [], set()
+        for c, made in zip(split, out, strict=True):
+            if None in made:
+                at = [k for k, x in enumerate(made) if x is None]
+                holes.append((c, made, at))
+                missing.update(map(c.__getitem__, at))
+        new = {c: self.words_of(c) for c in missing}
         unseen = [w for w in set().union(*new.values()) if w not in words]
         words.update(zip(unseen, self.make(unseen), strict=True))
         for c, of in new.items():
             chunks[c] = words[of[0]] if len(of) == 1 else self.join([words[w] for w in of])
-        for i in v.special.values():
-            chunks[i] = self.special(i)
-        return [list(map(chunks.__getitem__, c)) for c in split]
+        for c, made, at in holes:
+            for k in at:
+                made[k] = chunks[c[k]]
+        return out
 
     def words_of(self, chunk: str) -> list[str]:
         plain = chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha()
