@@ -56,6 +56,7 @@ def made(seed=0):
             w[rnd.randrange(len(w))] = rnd.choice(words)
         texts.append(" ".join(w).upper() if n % 7 == 0 else " ".join(w))
     texts += [passage + " " + " ".join(rnd.choices(words, k=rnd.choice((5, 15, 25, 80)))) for _ in range(60)]
+    texts += [" ".join(rnd.choice(words) if rnd.random() < 0.02 else w for w in base[0].split()) for _ in range(60)]
     texts += [passage] * 30 + ["one", "one", "One", "", None, " \n", "a b c d", "A b\tc d", "a b c d e", "a b c d e f"]
     return list(enumerate(texts))
 

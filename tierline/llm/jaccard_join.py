@@ -2,14 +2,16 @@
 
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words.
 Documents of one set are a class. Classes are partitioned into groups of similar
-ones: they meet by min-hash, are compared exactly with the first of those that
-they meet, and what is linked forms a group. The token-group matrix has, for
+ones: they meet by min-hash, are compared exactly with a few of those that they
+meet, and what is linked forms a group. The token-group matrix has, for
 each token, the groups whose union of tokens has it; it is kept for the tokens
 that can make a difference only: if two sets reach the threshold, each has a
 token in common with the other among its rarest ``n - ceil(t n) + 1``. A class
-is a query against another group if the matrix has them share such a token, and
-if it can reach the threshold with a set of a size that the group has. A group
-that is opened is still not compared with queries that have too few tokens in
+is a query against another group, if its own is the smaller, if the matrix has them share such a token, and
+if it can reach the threshold with a set of a size that the group has, and, for
+a group of up to ``FEW`` members, if signatures of 128 min-hashes don't rule them
+all out (a pair at the threshold would be ruled out with a chance of 1e-12). A
+group that is opened is still not compared with queries that have too few tokens in
 its union; of the others, members already linked with the query are passed over.
 
 No link between two sets is lost: only pairs that can't reach the threshold, or
@@ -24,6 +26,7 @@ of their sets by fingerprint. Rows with a null id are left out. An empty table g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +41,9 @@ from tierline.llm.components import components
 
 SHINGLE = 5
 MEETINGS = 3
-SIGNATURE = 64
+CENTRES = 4
+SIGNATURE = 128
+FEW = 16
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,52 +62,58 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str | None, words: Words) -> np.ndarray:
-    """Sorted distinct hashes of the runs of SHINGLE words; of all words, if there are fewer."""
-    found = (text or "").encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-    n = min(SHINGLE, len(h))
-    total = np.full(len(h) - n + 1, n, np.uint64)
-    for k in range(n):
-        total = mixed(total * ODD + h[k : len(h) - n + 1 + k])
-    return np.unique(total)
-
-
-def fixed_table(df: DataFrame, column: str, slots: int, slot, kind: str) -> np.ndarray:
-    """Counters (kind ``count``) or marks (``mark``) by slot; as large for any input.
-
-    ``slot(value)`` gives the slots that a row's value adds to. Tasks add up
-    their own rows and send what they have in parts, which are added by part.
-    """
-    parts, width = max(1, slots >> 16), min(slots, 1 << 16)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(slots, np.uint32)
-        for batch in batches:
-            for some in runs(batch, 0):
-                hit = slot(some.column(0))
-                if len(hit):
-                    own += np.bincount(hit, minlength=slots).astype(np.uint32)
-        for p in range(parts):
-            mine = own[p * width : (p + 1) * width]
-            if mine.any():
-                at = np.flatnonzero(mine)
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([mine[at].tobytes()], pa.binary())], names=["part", "at", "n"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(width, np.int64)
-        for at, n in zip(rows["at"], rows["n"], strict=True):
-            out[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint32)
-        level = np.ceil(np.log2(out + 1) * 4).astype(np.uint8) if kind == "count" else (out > 0).astype(np.uint8)
-        return pd.DataFrame({"part": [rows["part"].iloc[0]], "level": [level.tobytes()]})
-
-    made = df.select(column).mapInArrow(gather, "part int, at binary, n binary").groupBy("part").applyInPandas(add, "part int, level binary")
-    table = np.zeros(slots, np.uint8)
-    for r in made.collect():  # one byte a slot
-        table[r.part * width : (r.part + 1) * width] = np.frombuffer(r.level, np.uint8)
-    return table
+def shingles(texts: list[str | None], words: Words) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its runs of SHINGLE words; of all words, if there are fewer."""
+    split = [(t or "").encode().lower().split() for t in texts]
+    size = np.array([len(w) for w in split], np.int64)
+    look = words.__getitem__
+    h = np.concatenate([np.fromiter(map(look, w), np.uint64, len(w)) for w in split] or [np.zeros(0, np.uint64)])
+    width = np.minimum(SHINGLE, size)
+    count = np.where(size > 0, size - width + 1, 0)
+    begin = np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    width = np.repeat(width, count)
+    total = width.astype(np.uint64)
+    for k in range(int(width.max(initial=0))):
+        step = mixed(total * ODD + h[np.minimum(begin + k, len(h) - 1)])
+        total = np.where(k < width, step, total)
+    ends = np.cumsum(count)
+    return [np.unique(total[a:b]) for a, b in zip(ends - count, ends, strict=True)]
+
+
+class Counters:
+    """Counters by slot, as many for any input; a task sends what it has in parts of 2^16."""
+
+    schema = "part int, at binary, n binary"
+
+    def __init__(self, slots: int):
+        self.own = np.zeros(slots, np.uint32)
+
+    def add(self, slots: np.ndarray) -> None:
+        if len(slots):
+            self.own += np.bincount(slots, minlength=len(self.own)).astype(np.uint32)
+
+    def parts(self) -> Iterator[tuple[int, bytes, bytes]]:
+        for p in range(-(-len(self.own) >> 16)):
+            mine = self.own[p << 16 : (p + 1) << 16]
+            at = np.flatnonzero(mine)
+            if len(at):
+                yield p, at.astype(np.uint16).tobytes(), mine[at].tobytes()
+
+    @staticmethod
+    def collected(sent: DataFrame, slots: int, level) -> np.ndarray:
+        """One byte for each slot: ``level`` of the sum over tasks."""
+        width = min(slots, 1 << 16)
+
+        def add(rows: pd.DataFrame) -> pd.DataFrame:
+            out = np.zeros(width, np.int64)
+            for at, n in zip(rows["at"], rows["n"], strict=True):
+                out[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint32)
+            return pd.DataFrame({"part": [rows["part"].iloc[0]], "level": [level(out).astype(np.uint8).tobytes()]})
+
+        table = np.zeros(slots, np.uint8)
+        for r in sent.groupBy("part").applyInPandas(add, "part int, level binary").collect():
+            table[r.part * width : (r.part + 1) * width] = np.frombuffer(r.level, np.uint8)
+        return table
 
 
 def power(n: float, low: int, high: int) -> int:
@@ -113,40 +124,57 @@ def slots_of(x: np.ndarray, slots: int) -> np.ndarray:
     return (x >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
 
 
-def described(docs: DataFrame) -> DataFrame:
-    """By document: size and fingerprint of its set, MEETINGS min-hashes, and a signature of SIGNATURE small ones."""
+def described(docs: DataFrame, slots: int) -> DataFrame:
+    """By document: size and fingerprint of its set, MEETINGS min-hashes, and a signature of SIGNATURE small ones.
+
+    Rows without an id hold how often tokens of a slot occur, by task.
+    """
     seeds = mixed(np.arange(1, SIGNATURE + MEETINGS + 1, dtype=np.uint64) * ODD) | np.uint64(1)
+    kinds = [("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("meet", pa.list_(pa.int64())), ("sign", pa.list_(pa.int16())), ("part", pa.int32()), ("at", pa.binary()), ("count", pa.binary())]
+
+    def batch_of(**columns) -> pa.RecordBatch:
+        rows = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in kinds], names=[c for c, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, counters = Words(), Counters(slots)
         for batch in batches:
             for some in runs(batch, 1):
-                n, prints, meet, sign = [], [], [], []
-                for text in some.column(1).to_pylist():
-                    s = shingles(text, words)
-                    n.append(len(s))
-                    prints.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                sets = shingles(some.column(1).to_pylist(), words)
+                counters.add(slots_of(np.concatenate(sets), slots))
+                meet, sign = [], []
+                for s in sets:
                     low = np.full(len(seeds), np.iinfo(np.uint64).max)
                     for i in range(0, len(s), 8192):
                         low = np.minimum(low, (s[i : i + 8192, None] * seeds[None, :]).min(axis=0))
-                    meet.append(low[:MEETINGS].view(np.int64).tolist())
-                    sign.append((mixed(low[MEETINGS:]) & np.uint64(0xFFFF)).astype(np.int16).tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(meet, pa.list_(pa.int64())), pa.array(sign, pa.list_(pa.int16()))],
-                    names=["id", "n", "print", "meet", "sign"],
-                )
+                    meet.append(low[:MEETINGS].view(np.int64))
+                    sign.append((mixed(low[MEETINGS:]) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16))
+                prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                yield batch_of(id=some.column(0), n=[len(s) for s in sets], print=prints, meet=meet, sign=sign)
+        for part, at, count in counters.parts():
+            yield batch_of(part=[part], at=[at], count=[count])
 
-    return docs.mapInArrow(run, "id long, n long, print binary, meet array<long>, sign array<short>")
+    return docs.mapInArrow(run, "id long, n long, print binary, meet array<long>, sign array<short>, part int, at binary, count binary")
 
 
 def met(classes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b): each class with the first that has a min-hash in common, if they look similar enough."""
-    keyed = classes.select("id", "n", "sign", F.posexplode("meet").alias("_j", "_key"))
-    first = keyed.groupBy("_j", "_key").agg(F.min(F.struct("id", "n", "sign")).alias("_to"), F.count("*").alias("_c")).where("_c > 1")
-    pairs = keyed.join(first, ["_j", "_key"]).where(F.col("id") != F.col("_to.id"))
-    alike = F.size(F.filter(F.zip_with("sign", "_to.sign", lambda x, y: x == y), lambda x: x))
-    sized = (100 * F.least("n", "_to.n") >= threshold * F.greatest("n", "_to.n")) & (100 * alike >= (threshold - 10) * SIGNATURE)
-    return pairs.where(sized).select(F.col("_to.id").alias("a"), F.col("id").alias("b")).distinct()
+    """Pairs (a, b): each class with up to CENTRES others that have a min-hash in common, if they look similar enough.
+
+    Those are the ones whose min-hashes most classes have, as the original of a
+    family of edited copies does; they are the same for all classes that meet.
+    """
+    keyed = classes.select("id", F.posexplode("meet").alias("_j", "_key"))
+    crowd = keyed.groupBy("_j", "_key").agg(F.count("*").alias("_c")).where("_c > 1")
+    keyed = keyed.join(crowd, ["_j", "_key"])
+    shared = keyed.join(keyed.groupBy(F.col("id").alias("_id")).agg(F.sum("_c").alias("_known")), F.col("id") == F.col("_id"))
+    order = [F.min(F.struct(-F.col("_known"), F.xxhash64("id", F.lit(k)), F.col("id").alias("to")))["to"] for k in range(CENTRES)]
+    centres = shared.groupBy("_j", "_key").agg(F.array_distinct(F.array(*order)).alias("_to"))
+    pairs = keyed.join(centres, ["_j", "_key"]).select("id", F.explode("_to").alias("_to")).where("id <> _to").distinct()
+    left = classes.select("id", "n", "sign")
+    right = classes.select(F.col("id").alias("_to"), F.col("n").alias("_n"), F.col("sign").alias("_sign"))
+    pairs = pairs.join(left, "id").join(right, "_to")
+    alike = (100 * F.least("n", "_n") >= threshold * F.greatest("n", "_n")) & (100 * agreement("sign", "_sign") >= (threshold - 10) * SIGNATURE)
+    return pairs.where(alike).select(F.col("_to").alias("a"), F.col("id").alias("b"))
 
 
 def compare(queries: list[tuple[int, np.ndarray]], members: list[tuple[int, np.ndarray]], threshold: int, known: dict[int, int]) -> list[tuple[int, int]]:
@@ -182,8 +210,17 @@ def compare(queries: list[tuple[int, np.ndarray]], members: list[tuple[int, np.n
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, slots: int = 1 << 25) -> DataFrame:
-    """(id, set) of the wanted classes (id, print). Marks in a table of fixed size let most other texts be passed over."""
-    marks = fixed_table(wanted.select(F.xxhash64("id").alias("h")), "h", slots, lambda c: slots_of(c.to_numpy().view(np.uint64), slots), "mark")
+    """(id, print, set) of the wanted ids and of few others. Marks in a table of
+    fixed size let most other texts be passed over."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Counters(slots)
+        for batch in batches:
+            own.add(slots_of(batch.column(0).to_numpy().view(np.uint64), slots))
+        for part, at, n in own.parts():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.binary()), pa.array([n], pa.binary())], names=["part", "at", "n"])
+
+    marks = Counters.collected(wanted.select(F.xxhash64("id").alias("h")).mapInArrow(mark, Counters.schema), slots, lambda n: n > 0)
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))  # slots / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,45 +229,42 @@ def sets_of(docs: DataFrame, wanted: DataFrame, slots: int = 1 << 25) -> DataFra
             at = slots_of(batch.column(2).to_numpy().view(np.uint64), slots)
             asked = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
             for some in runs(asked, 1):
-                sets = [shingles(t, words).tobytes() for t in some.column(1).to_pylist()]
+                sets = [s.tobytes() for s in shingles(some.column(1).to_pylist(), words)]
                 prints = [xxhash.xxh3_128_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], names=["id", "print", "set"])
 
-    made = docs.withColumn("h", F.xxhash64("id")).mapInArrow(run, "id long, print binary, set binary")
-    return made.join(wanted, ["id", "print"], "left_semi").dropDuplicates(["id"]).select("id", "set")
+    return docs.withColumn("h", F.xxhash64("id")).mapInArrow(run, "id long, print binary, set binary")
 
 
 def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: DataFrame, threshold: int, part_rows: int) -> DataFrame:
-    """Links (a, b) between the queries (g, id, own) of each group and its members (g, id, own); ``own``: group before."""
+    """Links (a, b) between the queries (g, id, own) of each group and its members (g, id, own); ``own``: group before.
+
+    Queries and members go to the parts of the group; each gets its set there in one join.
+    """
     members = stored(members.select("g", "id", "own"), "members")
     queries = stored(queries.select("g", "id", "own"), "queries")
-    wanted = stored(classes.select("id", "print").join(members.select("id").union(queries.select("id")).distinct(), "id"), "wanted")
-    sets = stored(sets_of(docs, wanted), "sets")
     parts = members.groupBy("g").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
-    dealt = members.join(parts, "g").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).join(sets, "id")
-    asked = queries.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets.select("id", F.col("set").alias("other")), "id")
-    asked = asked.select(F.col("g").alias("_g"), F.col("part").alias("_part"), "id", "own", "other")
-
-    def run(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        of = [[(i, np.frombuffer(s, np.uint64)) for i, s in zip(x["id"].tolist(), x[c], strict=True)] for x, c in ((left, "other"), (right, "set"))]
-        known = {i: g for x in (left, right) for i, g in zip(x["id"].tolist(), x["own"].tolist(), strict=True)}
-        links = compare(of[0], of[1], threshold, known)
+    dealt = members.join(parts, "g").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("asks", F.lit(False))
+    asked = queries.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
+    columns = ["g", "part", "id", "own", "asks"]
+    rows = dealt.select(*columns).union(asked.select(*columns)).join(classes.select("id", "print"), "id")
+    wanted = members.select("id").union(queries.select("id")).distinct()
+    sets = sets_of(docs, wanted)
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.drop_duplicates(["id", "asks"])  # rows of one id
+        sets = [(i, np.frombuffer(s, np.uint64)) for i, s in zip(part["id"].tolist(), part["set"], strict=True)]
+        asks = part["asks"].to_numpy(bool)
+        known = dict(zip(part["id"].tolist(), part["own"].tolist(), strict=True))
+        links = compare([x for x, a in zip(sets, asks, strict=True) if a], [x for x, a in zip(sets, asks, strict=True) if not a], threshold, known)
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    dealt = dealt.select("g", "part", "id", "own", "set")
-    return asked.groupBy("_g", "_part").cogroup(dealt.groupBy("g", "part")).applyInPandas(run, "a long, b long")
+    return rows.join(sets, ["id", "print"]).drop("print").groupBy("g", "part").applyInPandas(run, "a long, b long")
 
 
-def rare_tokens(docs: DataFrame, tokens: int, threshold: int, buckets: int) -> DataFrame:
+def rare_tokens(docs: DataFrame, levels: np.ndarray, threshold: int, buckets: int) -> DataFrame:
     """(token, id): for each document its rarest tokens that decide, if another set has them among its own."""
-    slots = power(tokens / 32, 16, 26)
-
-    def every(column: pa.Array) -> np.ndarray:
-        words = Words()
-        found = [slots_of(shingles(t, words), slots) for t in column.to_pylist()]
-        return np.concatenate(found) if found else np.zeros(0, np.int64)
-
-    levels = fixed_table(docs, "text", slots, every, "count")
+    slots = len(levels)
     shared = docs.sparkSession.sparkContext.broadcast(levels)  # at most 64 MB
     bounds = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
 
@@ -238,16 +272,15 @@ def rare_tokens(docs: DataFrame, tokens: int, threshold: int, buckets: int) -> D
         words = Words()
         for batch in batches:
             for some in runs(batch, 1, 8 << 20):
-                kept, owner, prints = [], [], []
-                for i, text in enumerate(some.column(1).to_pylist()):
-                    s = shingles(text, words)
+                kept, owner = [], []
+                for i, s in enumerate(shingles(some.column(1).to_pylist(), words)):
                     keep = len(s) - (threshold * len(s) + 99) // 100 + 1 if len(s) else 0
-                    s = s[np.lexsort((s, shared.value[slots_of(s, slots)]))[:keep]]
+                    rarity = (shared.value[slots_of(s, slots)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
+                    s = s[np.argsort(rarity, kind="stable")[:keep]]
                     kept.append(s)
                     owner.append(np.full(len(s), i, np.int32))
                 ids = some.column(0).to_numpy()
-                tokens = np.concatenate(kept) if kept else np.zeros(0, np.uint64)
-                owners = np.concatenate(owner) if owner else np.zeros(0, np.int32)
+                tokens, owners = np.concatenate(kept), np.concatenate(owner)
                 order = np.argsort(tokens, kind="stable")
                 tokens, owners = tokens[order], owners[order]
                 cut = np.concatenate([[0], np.searchsorted(tokens, bounds), [len(tokens)]])
@@ -275,27 +308,55 @@ def rare_tokens(docs: DataFrame, tokens: int, threshold: int, buckets: int) -> D
     return sent.groupBy("bucket").applyInPandas(shared_only, "token long, id long")
 
 
+def least_agreement(threshold: int) -> int:
+    """So many places of two signatures agree, but for a chance of 1e-12, if the sets reach the threshold."""
+    p, below = threshold / 100, 0.0
+    for k in range(SIGNATURE + 1):
+        below += math.comb(SIGNATURE, k) * p**k * (1 - p) ** (SIGNATURE - k)
+        if below > 1e-12:
+            return k
+    return SIGNATURE
+
+
+def agreement(x, y):
+    return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
+
+
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 75, part_rows: int = 500, bucket_tokens: int = 1_000_000) -> DataFrame:
     """(id, n, component) by document: the size of its set, and the smallest id that links lead to."""
     docs = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    told = stored(described(docs), "sets")
-    by_id = told.groupBy("id").agg(F.max_by(F.struct("n", "print", "meet", "sign"), F.struct("print", "n")).alias("_r"), F.count("*").alias("_c")).select("id", "_r.*")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = power(size / 200, 16, 26)
+    told = stored(described(docs, slots), "sets")
+    sets = told.where("id IS NOT NULL")
+    by_id = sets.groupBy("id").agg(F.max_by(F.struct("n", "print", "meet", "sign"), F.struct("print", "n")).alias("_r")).select("id", "_r.*")
     linkable = by_id.where("n > 0")
     classes = stored(linkable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("meet").alias("meet"), F.first("sign").alias("sign")), "classes")
 
     pairs = met(classes, threshold)
     near = stored(opened(docs, classes, pairs.select(F.col("a").alias("g"), F.col("a").alias("id"), F.col("a").alias("own")).distinct(), pairs.select(F.col("a").alias("g"), F.col("b").alias("id"), F.col("b").alias("own")), threshold, part_rows), "links")
     grouped = components(near).withColumnRenamed("component", "g")
-    groups = stored(classes.select("id", "n").join(grouped.withColumnRenamed("node", "id"), "id", "left").withColumn("g", F.coalesce("g", "id")), "groups")
-
-    tokens = told.agg(F.sum("n")).first()[0] or 0
-    rare = rare_tokens(docs, tokens, threshold, max(1, -(-tokens // (4 * bucket_tokens))))
+    many = grouped.groupBy("g").agg(F.count("*").alias("m"))
+    of = grouped.join(many, "g").withColumnRenamed("node", "id")
+    groups = classes.select("id", "n").join(of, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("m", F.lit(1)).alias("m"))
+    groups = stored(groups, "groups")
+
+    counted = told.where("part IS NOT NULL").select("part", "at", F.col("count").alias("n"))
+    levels = Counters.collected(counted, slots, lambda n: np.minimum(255, np.ceil(np.log2(n + 1) * 8)))
+    rare = rare_tokens(docs, levels, threshold, max(1, -(-size // (24 * bucket_tokens))))
     entries = rare.join(groups, "id")  # one document of each class
     crossing = entries.groupBy("token").agg(F.min("g").alias("_lo"), F.max("g").alias("_hi")).where("_lo < _hi").select("token")
     entries = stored(entries.join(crossing, "token"), "matrix")
-    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
+    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("_low"), F.max("n").alias("_high"), F.first("m").alias("_m"))
+    smaller = F.struct("m", "own") < F.struct("_m", "g")
     can = (100 * F.col("n") >= threshold * F.col("_low")) & (100 * F.col("_high") >= threshold * F.col("n"))
-    asked = entries.withColumnRenamed("g", "own").join(matrix, "token").where((F.col("own") < F.col("g")) & can).select("g", "id", "own").distinct()
+    asked = entries.withColumnRenamed("g", "own").join(matrix, "token").where(smaller & can).select("g", "id", "own").distinct()
+
+    # groups of few members: a query whose signature agrees with none of theirs can't reach the threshold
+    signs = groups.where(F.col("m") <= FEW).join(classes.select("id", "sign"), "id").groupBy("g").agg(F.collect_list("sign").alias("_signs"))
+    least = least_agreement(threshold)
+    might = F.col("_signs").isNull() | F.exists("_signs", lambda y: agreement(F.col("sign"), y) >= least)
+    asked = asked.join(classes.select("id", "sign"), "id").join(signs, "g", "left").where(might).select("g", "id", "own")
     asked = stored(asked, "asked")
     inside = groups.join(asked.select("g").distinct(), "g", "left_semi").withColumn("own", F.col("g"))
     across = opened(docs, classes, asked, inside, threshold, part_rows)
