@@ -71,7 +71,7 @@ def test_all_pairs(spark, part_rows, bucket_tokens):
 
 def test_without_meeting(spark, monkeypatch):
     """What min-hash doesn't bring together is found through the matrix alone."""
-    monkeypatch.setattr(jaccard_join, "met", lambda classes, _: classes.selectExpr("id AS a", "id AS b").where("false"))
+    monkeypatch.setattr(jaccard_join, "met", lambda classes, *_: classes.selectExpr("id AS a", "id AS b").where("false"))
     rows = made(1)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, jaccard_join.link(df, part_rows=20).collect())) == brute_force(rows)

@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words.
 Documents of one set are a class. Classes are partitioned into groups of similar
 ones: they meet by min-hash, are compared exactly with a few of those that they
-meet, and what is linked forms a group. The token-group matrix has, for
+meet, in two turns, and what is linked forms a group. The token-group matrix has, for
 each token, the groups whose union of tokens has it; it is kept for the tokens
 that can make a difference only: if two sets reach the threshold, each has a
 token in common with the other among its rarest ``n - ceil(t n) + 1``. A class
@@ -42,6 +42,7 @@ from tierline.llm.components import components
 SHINGLE = 5
 MEETINGS = 3
 CENTRES = 4
+TURNS = 2
 SIGNATURE = 128
 FEW = 16
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -51,7 +52,7 @@ class Words(dict):
     """64-bit hashes of words, each made once."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -157,17 +158,18 @@ def described(docs: DataFrame, slots: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, print binary, meet array<long>, sign array<short>, part int, at binary, count binary")
 
 
-def met(classes: DataFrame, threshold: int) -> DataFrame:
+def met(classes: DataFrame, threshold: int, turn: int = 0) -> DataFrame:
     """Pairs (a, b): each class with up to CENTRES others that have a min-hash in common, if they look similar enough.
 
     Those are the ones whose min-hashes most classes have, as the original of a
-    family of edited copies does; they are the same for all classes that meet.
+    family of edited copies does; they are the same for all classes that meet,
+    and others in another turn.
     """
     keyed = classes.select("id", F.posexplode("meet").alias("_j", "_key"))
     crowd = keyed.groupBy("_j", "_key").agg(F.count("*").alias("_c")).where("_c > 1")
     keyed = keyed.join(crowd, ["_j", "_key"])
     shared = keyed.join(keyed.groupBy(F.col("id").alias("_id")).agg(F.sum("_c").alias("_known")), F.col("id") == F.col("_id"))
-    order = [F.min(F.struct(-F.col("_known"), F.xxhash64("id", F.lit(k)), F.col("id").alias("to")))["to"] for k in range(CENTRES)]
+    order = [F.min(F.struct(-F.col("_known"), F.xxhash64("id", F.lit(turn * CENTRES + k)), F.col("id").alias("to")))["to"] for k in range(CENTRES)]
     centres = shared.groupBy("_j", "_key").agg(F.array_distinct(F.array(*order)).alias("_to"))
     pairs = keyed.join(centres, ["_j", "_key"]).select("id", F.explode("_to").alias("_to")).where("id <> _to").distinct()
     left = classes.select("id", "n", "sign")
@@ -333,12 +335,21 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int
     linkable = by_id.where("n > 0")
     classes = stored(linkable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("meet").alias("meet"), F.first("sign").alias("sign")), "classes")
 
-    pairs = met(classes, threshold)
-    near = stored(opened(docs, classes, pairs.select(F.col("a").alias("g"), F.col("a").alias("id"), F.col("a").alias("own")).distinct(), pairs.select(F.col("a").alias("g"), F.col("b").alias("id"), F.col("b").alias("own")), threshold, part_rows), "links")
-    grouped = components(near).withColumnRenamed("component", "g")
+    near, of = None, classes.select(F.col("id").alias("node"), F.col("id").alias("component"))
+    for turn in range(TURNS):  # what the first turn leaves apart meets other centres in the next
+        own = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"own_{c}"))  # noqa: B023, E731
+        pairs = met(classes, threshold, turn).join(own("a"), "a", "left").join(own("b"), "b", "left")
+        pairs = pairs.withColumns({f"own_{c}": F.coalesce(f"own_{c}", c) for c in "ab"})
+        pairs = stored(pairs.where("own_a <> own_b"), "pairs")
+        asking = pairs.select(F.col("a").alias("g"), F.col("a").alias("id"), F.col("own_a").alias("own")).distinct()
+        answering = pairs.select(F.col("a").alias("g"), F.col("b").alias("id"), F.col("own_b").alias("own"))
+        found = stored(opened(docs, classes, asking, answering, threshold, part_rows), "links")
+        near = found if near is None else near.unionByName(found)
+        of = components(near)
+    grouped = of.withColumnRenamed("component", "g")
     many = grouped.groupBy("g").agg(F.count("*").alias("m"))
-    of = grouped.join(many, "g").withColumnRenamed("node", "id")
-    groups = classes.select("id", "n").join(of, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("m", F.lit(1)).alias("m"))
+    sized = grouped.join(many, "g").withColumnRenamed("node", "id")
+    groups = classes.select("id", "n").join(sized, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("m", F.lit(1)).alias("m"))
     groups = stored(groups, "groups")
 
     counted = told.where("part IS NOT NULL").select("part", "at", F.col("count").alias("n"))
