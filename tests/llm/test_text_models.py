@@ -63,6 +63,14 @@ def test_quality_held_out(spark, docs):
     assert np.mean([(s >= 0.5) == y for s, y in held]) > 0.9
 
 
+def test_words_of_one_look_have_the_same_features():
+    words = "reed*** shin*** Thing. THE!! the the, a A Éa éa, über! x|y x1 foo-bar (foo) aaa aab | || *** Aé".split()
+    seen = {}
+    for w in words + [w[::-1] for w in words]:
+        key = quality.look(w)
+        assert (seen.setdefault(key, quality.word_features(w)) == quality.word_features(w)).all(), w
+
+
 def test_quality_gradient():
     rng = np.random.default_rng(0)
     bags = [rng.normal(size=(k, quality.WIDTH)) for k in (1, 3, 2)]

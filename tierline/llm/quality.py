@@ -14,6 +14,7 @@ all documents score the share of label 1 (0.5 without any).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.llm.common import append_columns, slices
-from tierline.llm.vocabulary import Recent
 
 PASSAGE = 64
 SHAPES = 40
@@ -51,25 +51,54 @@ def word_features(word: str) -> np.ndarray:
     return out
 
 
+TAIL = ".,;:!?*$%&#@|\"'"
+_THREE = re.compile(r"(.)\1\1")
+
+
+def look(word: str) -> tuple | str:
+    """What decides a word's features: for letters of one case and a tail, no more than that; else the word."""
+    core = word.rstrip(TAIL)
+    case = "a" if core.islower() else "A" if core.isupper() else "Aa" if core.istitle() else ""
+    if not case or not core.isalpha():
+        return word
+    return case, len(core), word.isascii(), word[len(core) :], bool(_THREE.search(word))
+
+
 class Encoder:
-    """Passage features of texts; words met again are looked up."""
+    """Passage features of texts; words and looks met again are looked up."""
 
     def __init__(self, limit: int = 300_000):
-        self.at, self.limit = Recent(limit), limit
-        self.rows = np.zeros((limit + 1, FLAGS + SHAPES), np.float32)
+        self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.looks: dict[tuple | str, int] = {}
+        self.look_of = np.zeros(self.limit, np.int32)  # by word
+        self.rows = np.zeros((1024, FLAGS + SHAPES), np.float32)  # by look
+
+    def learn(self, word: str) -> None:
+        key = look(word)
+        row = self.looks.get(key)
+        if row is None:
+            row = self.looks[key] = len(self.looks)
+            if row == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[row] = word_features(word)
+        if len(self.at) == len(self.look_of):
+            self.look_of = np.concatenate([self.look_of, np.zeros_like(self.look_of)])
+        self.look_of[len(self.at)] = row
+        self.at[word] = len(self.at)
 
     def bags(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        new = set().union(*split)
-        if len(self.at) + len(new) > self.limit:
-            self.at.clear()
-        new = [c for c in new if c not in self.at]
-        if len(self.at) + len(new) >= len(self.rows):  # one run of very many words
-            self.rows = np.zeros((len(self.at) + len(new) + 1, FLAGS + SHAPES), np.float32)
-        for c in new:
-            self.rows[len(self.at)] = word_features(c)
-            self.at[c] = len(self.at)
-        return [self.bag(np.fromiter(map(self.at.__getitem__, s), np.int64, len(s)), t.count("\n")) for s, t in zip(split, texts, strict=True)]
+        if len(self.at) > self.limit:
+            self.forget()
+        split, at = [t.split() for t in texts], self.at
+        for words in split:
+            for word in words:
+                if word not in at:
+                    self.learn(word)
+        return [self.bag(np.fromiter(map(at.__getitem__, s), np.int64, len(s)), t.count("\n")) for s, t in zip(split, texts, strict=True)]
 
     def bag(self, ids: np.ndarray, lines: int) -> np.ndarray:
         """Rows of features, one for each passage."""
@@ -81,7 +110,7 @@ class Encoder:
         starts = np.arange(0, n, PASSAGE)
         size = np.diff(np.append(starts, n)).astype(np.float32)
         out = np.zeros((len(starts), WIDTH), np.float32)
-        out[:, : FLAGS + SHAPES] = np.add.reduceat(self.rows[ids], starts, axis=0) / size[:, None]
+        out[:, : FLAGS + SHAPES] = np.add.reduceat(self.rows[self.look_of[ids]], starts, axis=0) / size[:, None]
         again = np.zeros(n, np.float32)
         again[1:] = ids[1:] == ids[:-1]
         three = (ids * 1_000_003 + np.roll(ids, 1)) * 1_000_003 + np.roll(ids, 2)
