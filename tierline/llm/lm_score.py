@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import slices
+from tierline.llm.common import slices, stored
 
 HOT_SHARE = 2000
 SALTS = 32
@@ -78,6 +78,7 @@ def hot_words(df: DataFrame, text: str) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([0, *words.view(np.int64).tolist()]), pa.array([n, *counts.tolist()]), pa.array([True] + [False] * len(words))], names=["word", "n", "total"])
 
     seen = df.select(text).mapInArrow(run, "word long, n long, total boolean").groupBy("total", "word").agg(F.sum("n").alias("n"))
+    seen = stored(seen, "common-words")  # read twice
     limit = seen.where("total").agg(F.sum("n").alias("all"))
     hot = seen.where(~F.col("total")).join(limit).where(F.col("n") * HOT_SHARE >= F.col("all")).select("word")  # limit has one row
     return np.sort(np.array([r.word for r in hot.collect()], np.int64).view(np.uint64))
