@@ -99,22 +99,30 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
 class Scorer:
     """Scores texts by a model; words met again are looked up."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
+    def __init__(self, model: Model, limit: int = 300_000):
         self.model, n = model, len(model.languages)
         self.rows = np.zeros((limit + 1, 2 * n + 1))  # by chunk: log frequencies, probabilities, words
         self.at = Recent(limit)
+        self.words: dict[str, np.ndarray] = {}
         self.limit = limit
 
-    def chunk(self, chunk: str) -> np.ndarray:
-        n, out = len(self.model.languages), np.zeros(2 * len(self.model.languages) + 1)
-        for word in LETTERS.findall(chunk):
+    def word(self, word: str) -> np.ndarray:
+        """A word's log frequencies, probabilities, and 1."""
+        out = self.words.get(word)
+        if out is None:
+            if len(self.words) >= self.limit:
+                self.words.clear()
             logs = self.model.word(word)
             p = np.exp(logs - logs.max())
-            out[:n] += logs
-            out[n : 2 * n] += p / p.sum()
-            out[-1] += 1
+            out = self.words[word] = np.concatenate([logs, p / p.sum(), [1.0]])
         return out
 
+    def chunk(self, chunk: str) -> np.ndarray:
+        words = [chunk] if chunk.isalpha() else LETTERS.findall(chunk)
+        if len(words) == 1:
+            return self.word(words[0])
+        return sum(map(self.word, words), np.zeros(2 * len(self.model.languages) + 1))
+
     def score(self, texts: list[str]) -> list[tuple[str, float]]:
         n = len(self.model.languages)
         if not n:
