@@ -98,6 +98,24 @@ def test_adaptive_scan_keeps_what_is_near():
     assert len(a) >= 0.95 * 200
 
 
+def test_scan_keeps_equal_rows():
+    """Copies of a query are all at distance 0, whatever rounding makes of it; the smallest ids win."""
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        v = rng.normal(size=(1, 64))
+        x = np.repeat(v, 50, axis=0)
+        ids = rng.permutation(50) + 1
+        turn = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+        a, _ = ann_search.surviving(unit(v) @ turn, unit(x) @ turn, np.zeros(1))
+        assert len(a) == 50
+        index = ann_search.Index(unit(v), turn, ids, x, 5)
+        [(_, near, _)] = index.from_sample(np.array([0]), v)
+        assert sorted(near) == [1, 2, 3, 4, 5]
+        limit = np.array([2 - 2 * (1 + 2e-16)])
+        got = next(ann_search.scan_list(index, np.array([0]), v, limit, ids, x))
+        assert sorted(got.vec_id) == [1, 2, 3, 4, 5]
+
+
 @pytest.mark.parametrize("part_rows", [4000, 40])
 def test_dedup_brute_force(spark, part_rows):
     x = clustered()

@@ -34,6 +34,7 @@ from tierline.llm.vectors import cosine, matrix, unit, usable
 
 BLOCK = 16
 DOUBT = 2.1  # standard errors of the test
+SLACK = 1e-9  # rounding of squared distances and cosines
 
 
 def centroids(x: np.ndarray, lists: int, rounds: int = 8, seed: int = 11) -> np.ndarray:
@@ -53,6 +54,26 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.concatenate([np.argmax(x[i : i + 4096] @ c.T, axis=1) for i in range(0, len(x), 4096)])
 
 
+def first_rows(near: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact cosines of the ``k`` ids of ``x`` nearest to ``q`` (ties: by id); ``near``: their cosines but for rounding, -inf if out."""
+    want = k
+    while True:
+        least = np.partition(near, max(0, len(near) - want))[max(0, len(near) - want)]
+        some = np.flatnonzero((near >= least - SLACK) & np.isfinite(near))
+        if want >= len(near) or len(np.unique(ids[some])) >= k:
+            break
+        want *= 2
+    score = cosine(np.broadcast_to(q, (len(some), x.shape[1])), x[some])
+    order = np.lexsort((ids[some], -score))
+    order = order[np.sort(np.unique(ids[some][order], return_index=True)[1])][:k]
+    return some[order], score[order]
+
+
+def squared(score: np.ndarray) -> np.ndarray:
+    """Squared distances of unit vectors by their cosines."""
+    return np.maximum(0.0, 2 - 2 * score)
+
+
 @dataclass
 class Index:
     """What is the same for every task; its size has a bound (sample_rows rows, at most as many centroids)."""
@@ -72,9 +93,8 @@ class Index:
             near = unit(x[i : i + 256]) @ u.T
             near[ids[i : i + 256, None] == self.sample_ids[None, :]] = -np.inf
             for r in range(len(near)):
-                top = np.argpartition(-near[r], min(self.k, len(u) - 1))[: self.k]
-                top = top[np.isfinite(near[r][top])]
-                yield i + r, self.sample_ids[top], cosine(np.broadcast_to(x[i + r], (len(top), x.shape[1])), self.sample[top])
+                top, score = first_rows(near[r], self.sample_ids, x[i + r], self.sample, self.k)
+                yield i + r, self.sample_ids[top], score
 
 
 def surviving(q: np.ndarray, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,14 +103,14 @@ def surviving(q: np.ndarray, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarr
     near = slice(0, BLOCK)
     part = (q[:, near] ** 2).sum(1)[:, None] + (x[:, near] ** 2).sum(1)[None, :] - 2 * q[:, near] @ x[:, near].T
     seen = min(BLOCK, d)
-    keep = part * (d / seen) <= limit[:, None] * (1 + DOUBT / np.sqrt(seen)) ** 2 if seen < d else part <= limit[:, None] + 1e-9
+    keep = part * (d / seen) <= limit[:, None] * (1 + DOUBT / np.sqrt(seen)) ** 2 + SLACK if seen < d else part <= limit[:, None] + SLACK
     a, b = np.nonzero(keep)
     so_far = part[a, b]
     while seen < d:
         step = slice(seen, seen + BLOCK)
         so_far = so_far + ((q[a, step] - x[b, step]) ** 2).sum(1)
         seen = min(seen + BLOCK, d)
-        keep = so_far * (d / seen) <= limit[a] * (1 + DOUBT / np.sqrt(seen)) ** 2 if seen < d else so_far <= limit[a] + 1e-9
+        keep = so_far * (d / seen) <= limit[a] * (1 + DOUBT / np.sqrt(seen)) ** 2 + SLACK if seen < d else so_far <= limit[a] + SLACK
         a, b, so_far = a[keep], b[keep], so_far[keep]
     return a, b
 
@@ -115,7 +135,7 @@ def scan_list(index: Index, q_ids: np.ndarray, q: np.ndarray, limit: np.ndarray,
             found = [best]
             full = best.groupby("_q")["score"].agg(["size", "min"])
             full = full[full["size"] >= index.k]
-            bound[full.index] = np.minimum(bound[full.index], 2 - 2 * full["min"].to_numpy())
+            bound[full.index] = np.minimum(bound[full.index], squared(full["min"].to_numpy()))
         if found:
             yield found[0][["query_id", "vec_id", "score"]]
 
@@ -157,7 +177,7 @@ def search(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id", vec
             limit = np.full(len(q), 4.0)
             for i, _, scores in index.from_sample(q_ids, q):
                 if len(scores) >= k:
-                    limit[i] = 2 - 2 * np.sort(scores)[-k]
+                    limit[i] = squared(np.sort(scores)[-k])
             order = np.argsort(-(unit(q) @ index.centres.T), axis=1, kind="stable")[:, : index.probes] if len(q) else np.zeros((0, 0), int)
             out = [(i, of, p) for i in range(len(q)) for of in order[i].tolist() for p in range(index.parts[of])]
             at = np.array([x[0] for x in out], np.int64)
@@ -198,11 +218,11 @@ def brute_force(listed: DataFrame, q_ids: np.ndarray, q: np.ndarray, k: int) ->
                 continue
             ids, near = b.column(0).to_numpy(), unit(q) @ unit(matrix(b.column(1))).T
             near[q_ids[:, None] == ids[None, :]] = -np.inf
-            top = np.argpartition(-near, min(k, near.shape[1] - 1), axis=1)[:, :k]
-            at = np.repeat(np.arange(len(q)), top.shape[1])
-            fine = np.isfinite(near[at, top.ravel()])
+            x = matrix(b.column(1))
+            top = [first_rows(near[i], ids, q[i], x, k) for i in range(len(q))]
+            at, of = np.repeat(np.arange(len(q)), [len(t[0]) for t in top]), np.concatenate([t[0] for t in top])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at[fine]), pa.array(ids[top.ravel()][fine]), b.column(2).take(pa.array(top.ravel()[fine])), pa.array(near[at, top.ravel()][fine])],
+                [pa.array(at), pa.array(ids[of]), b.column(2).take(pa.array(of)), pa.array(np.concatenate([t[1] for t in top]))],
                 names=["query", "vec_id", "list", "score"],
             )
 
