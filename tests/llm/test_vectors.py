@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,56 @@ def test_adaptive_scan_keeps_what_is_near():
     assert len(a) >= 0.95 * 200
 
 
+def far_pairs(seed=4, n=1500, dim=64):
+    """Random vectors of many dimensions, where lists and tests lose neighbours if nothing sees to it."""
+    return np.random.default_rng(seed).normal(size=(n, dim))
+
+
+def test_search_small_sample(spark):
+    """The sample is 40 of 1500 rows, so lists, probes and tests must find the neighbours themselves."""
+    x = far_pairs()
+    got = {}
+    for r in ann_search.search(frame(spark, x), F.col("id") % 30 == 0, sample_rows=40, recall=1.0).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    near = unit(x) @ unit(x).T
+    np.fill_diagonal(near, -2)
+    assert sorted(got) == list(range(0, 1500, 30))
+    for q, ids in got.items():  # all 50 queries are audited, so none may lack a neighbour
+        assert set(ids) == set(np.argsort(-near[q], kind="stable")[:5].tolist())
+
+
+def test_search_audits_the_finished_scan(spark, monkeypatch):
+    """A scan that loses every other row while its tests are on is noticed and repeated."""
+    real = ann_search.scan_list
+
+    def lossy(index, q_ids, q, limit, ids, x):
+        kept = ids % 2 >= (getattr(index, "doubt", 0) < 8)
+        return real(index, q_ids, q, limit, ids[kept], x[kept])
+
+    monkeypatch.setattr(ann_search, "scan_list", lossy)
+    x = far_pairs(n=400)
+    got = {(r.query_id, r.vec_id) for r in ann_search.search(frame(spark, x), F.col("id") % 20 == 0, sample_rows=40).collect()}
+    near = unit(x) @ unit(x).T
+    np.fill_diagonal(near, -2)
+    want = {(q, int(j)) for q in range(0, 400, 20) for j in np.argsort(-near[q], kind="stable")[:5]}
+    assert len(got) == len(want) and len(got & want) >= 0.95 * len(want)
+
+
+def test_fit_loosens_tests_that_abandon_neighbours():
+    x = far_pairs()
+    index = ann_search.Index(unit(x[:30]), np.eye(64), np.arange(30), x[:30], 5, doubt=-3.0)
+    near = unit(x[:20]) @ unit(x).T
+    near[np.arange(20), np.arange(20)] = -2
+    top = np.argsort(-near, axis=1)[:, :5]
+    at = np.repeat(np.arange(20), 5)
+    true = pd.DataFrame({"query": at, "vec_id": top.ravel(), "vector": list(x[top.ravel()]), "list": ann_search.nearest(unit(x[top.ravel()]), index.centres), "score": near[at, top.ravel()]})
+    probes, doubt = ann_search.fitted(index, np.arange(20), x[:20], true, 0.9)
+    turned, limit = unit(x), 2 - 2 * near[np.arange(20), top[:, 4]]
+    a, b = ann_search.surviving(unit(x[:20]), turned, limit, doubt)
+    kept = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert 1 <= probes <= 30 and sum((i, j) in kept for i, j in zip(at.tolist(), top.ravel().tolist(), strict=True)) >= 90
+
+
 def test_scan_keeps_equal_rows():
     """Copies of a query are all at distance 0, whatever rounding makes of it; the smallest ids win."""
     rng = np.random.default_rng(2)
