@@ -190,6 +190,30 @@ def test_dedup_columns_and_odd_tables(spark):
     assert sorted(map(tuple, vector_dedup.near_duplicates(frame(spark, [], bad(16)[:2])).collect())) == [(1000, 0, 1000, True), (1001, 0, 1001, True)]
 
 
+def test_audit_sees_lost_pairs(spark):
+    """Of 40 isolated pairs among 2000 vectors the graph has 4; the audit is not to take its leaders from those."""
+    x = np.random.default_rng(6).normal(size=(2000, 64))
+    x[1:80:2] = x[0:80:2] + 0.05 * np.random.default_rng(7).normal(size=(40, 64))
+    nodes = frame(spark, x).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    edges = spark.createDataFrame([(2 * i, 2 * i + 1, 0.99) for i in range(4)], "u long, v long, s double")
+    assert vector_dedup.audited(nodes, edges, 0.9, 256) < 0.3
+    assert vector_dedup.audited(nodes, edges.limit(0), 0.9, 256) == 0
+    assert vector_dedup.audited(nodes.where("id >= 80"), edges, 0.9, 256) == 1
+
+
+def test_lists_saturated_at_the_end_are_finished(spark):
+    """150 vectors near each other, and lists of 2 after a single round."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 32))
+    x[:150] = x[0] + 0.3 * rng.normal(size=(150, 32))
+    nodes = frame(spark, x).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+    links = true_links(np.array(x, np.float32).astype(float), 0.85)
+    got = vector_dedup.neighbour_graph(nodes, 0.85, 2, 1, 64, 0.95).select("u", "v").collect()
+    got = {(min(r), max(r)) for r in got}
+    want = {(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(links)), strict=True)}
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
 def test_balls_are_tight():
     x = clustered()
     of = vector_dedup.balls_of(np.arange(500), x, 0.97)

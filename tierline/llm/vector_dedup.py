@@ -7,7 +7,11 @@ hyperplanes and from random groups; each round joins the neighbours of a node
 (and the nodes that it is a neighbour of) with each other, and keeps for each
 node the best. A list is saturated if its last entry could still hold links;
 it is enlarged then. Rounds go on while they find edges of links, and until an
-audit of ``audit_nodes`` leaders against all leaders finds ``recall`` of theirs.
+audit finds ``recall``: leaders drawn from all alike are compared with all
+leaders, and those that have links count, each by the share of them that the
+graph has. An audit that fails adds new random candidates. What is left after
+the last round is settled exactly: lists still saturated, or all leaders if the
+audit still fails, are compared with all leaders in blocks.
 
 Edges between balls are settled by angle: all pairs are links, or none, or the
 members are compared exactly, in double precision.
@@ -78,12 +82,12 @@ def balls_of(ids: np.ndarray, x: np.ndarray, least: float) -> np.ndarray:
     return back
 
 
-def first_graph(nodes: DataFrame, n: int, k: int, part_rows: int = 400) -> DataFrame:
-    """Some near neighbours (u, v, s) of each node, and some random ones."""
+def first_graph(nodes: DataFrame, n: int, k: int, part_rows: int = 400, draw: int = 0) -> DataFrame:
+    """Some near neighbours (u, v, s) of each node, and some random ones; another ``draw`` gives others."""
     bits = int(np.clip(np.ceil(np.log2(max(1, n) / 100)), 0, 40))
-    tables = [hyperplane_buckets(nodes, bits, seed).withColumn("table", F.lit(seed)) for seed in (1, 2, 3)]
+    tables = [hyperplane_buckets(nodes, bits, seed + 1000 * draw).withColumn("table", F.lit(seed)) for seed in (1, 2, 3)]
     many = max(1, n // part_rows)
-    tables.append(nodes.select("id", "vector", F.pmod(F.xxhash64(F.lit("random"), "id"), F.lit(many)).alias("bucket"), F.lit(0).alias("table")))
+    tables.append(nodes.select("id", "vector", F.pmod(F.xxhash64(F.lit(f"random{draw or ''}"), "id"), F.lit(many)).alias("bucket"), F.lit(0).alias("table")))
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.unionByName(t)
@@ -109,15 +113,20 @@ def best_of(edges: DataFrame, sizes: DataFrame) -> DataFrame:
     return kept.select("u", "v", "s", "fresh")
 
 
+def with_draw(edges: DataFrame, sizes: DataFrame, turn: int) -> DataFrame:
+    """``edges`` and whether this round uses them from their end too: of each node's, about as many as its list holds."""
+    degree = edges.groupBy("v").agg(F.count("*").alias("_in")).join(sizes, F.col("v") == sizes.id).select("v", (F.col("k") / F.col("_in")).alias("_share"))
+    draw = F.pmod(F.xxhash64("u", "v", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    return edges.join(degree, "v").select("u", "v", "s", "fresh", (draw < F.col("_share")).alias("drawn"))
+
+
 def descend(edges: DataFrame, nodes: DataFrame, sizes: DataFrame, n: int, turn: int, block_nodes: int = 1000) -> DataFrame:
     """One round: better neighbours (u, v, s) for nodes, found among neighbours of neighbours."""
     last = edges.groupBy("u").agg(F.min("s").alias("_last"), F.count("*").alias("_n"))
     limits = sizes.join(last, sizes.id == last.u, "left").select("id", F.when(F.col("_n") >= F.col("k"), F.col("_last")).otherwise(-2.0).alias("limit"))
     known = nodes.join(limits, "id")
     forward = edges.select(F.col("u").alias("centre"), F.col("v").alias("id"), "fresh")
-    degree = edges.groupBy("v").agg(F.count("*").alias("_in")).join(sizes, F.col("v") == sizes.id).select("v", (F.col("k") / F.col("_in")).alias("_share"))
-    draw = F.pmod(F.xxhash64("u", "v", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    backward = edges.join(degree, "v").where(draw < F.col("_share")).select(F.col("v").alias("centre"), F.col("u").alias("id"), "fresh")
+    backward = with_draw(edges, sizes, turn).where("drawn").select(F.col("v").alias("centre"), F.col("u").alias("id"), "fresh")
     around = forward.union(backward).groupBy("centre", "id").agg(F.max("fresh").alias("fresh"))
     blocks = max(1, -(-n // block_nodes))
     rows = around.join(known, "id").withColumn("block", F.pmod(F.xxhash64("centre"), F.lit(blocks)))
@@ -145,48 +154,85 @@ def descend(edges: DataFrame, nodes: DataFrame, sizes: DataFrame, n: int, turn:
     return rows.groupBy("block").applyInPandas(join, "u long, v long, s double")
 
 
-def audited(nodes: DataFrame, edges: DataFrame, least: float, count: int) -> float:
-    """Share of the edges of at least ``least`` of some nodes that the graph has (in either direction)."""
-    some = nodes.join(edges.where(F.col("s") >= least).select(F.col("u").alias("id")).distinct(), "id", "left_semi")
-    drawn = some.orderBy(F.xxhash64(F.lit("audit"), "id"), "id").limit(count // 2).union(nodes.orderBy(F.xxhash64(F.lit("any"), "id"), "id").limit(count // 2)).dropDuplicates(["id"]).toArrow()
-    if not len(drawn):
-        return 1.0
-    ids, q = drawn["id"].to_numpy(), unit(matrix(drawn["vector"]))
+def links_of(nodes: DataFrame, ids: np.ndarray, q: np.ndarray, least: float, block: int = 256) -> DataFrame:
+    """All edges (u, v, s) of at least ``least`` from a few nodes (ids, unit vectors)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                other = b.column(0).to_numpy()
-                i, j = np.nonzero(q @ unit(matrix(b.column(1))).T >= least)
-                fine = ids[i] != other[j]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i][fine]), pa.array(other[j][fine])], names=["u", "v"])
+            if not b.num_rows:
+                continue
+            other, x = b.column(0).to_numpy(), unit(matrix(b.column(1)))
+            for a in range(0, len(q), block):
+                near = q[a : a + block] @ x.T
+                i, j = np.nonzero((near >= least) & (ids[a : a + block, None] != other[None, :]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a + i]), pa.array(other[j]), pa.array(near[i, j])], names=["u", "v", "s"])
+
+    return nodes.select("id", "vector").mapInArrow(compare, "u long, v long, s double")
+
+
+def exact_links(nodes: DataFrame, some: DataFrame, least: float, block_nodes: int = 8192) -> list[DataFrame]:
+    """All edges of at least ``least`` from the nodes of ``some`` (id), found in blocks of them."""
+    asked = nodes.join(some.select("id"), "id", "left_semi").select("id", "vector")
+    blocks, made = -(-asked.count() // block_nodes), []
+    for p in range(blocks):
+        drawn = asked.where(F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(blocks)) == p).toArrow()
+        if len(drawn):
+            made.append(stored(links_of(nodes, drawn["id"].to_numpy(), unit(matrix(drawn["vector"])), least), "exact-links"))
+    return made
+
+
+def audited(nodes: DataFrame, edges: DataFrame, least: float, count: int, most: int = 16_384) -> float:
+    """Share of its edges of at least ``least`` that the graph has (in either direction), on average over drawn nodes that have any.
 
-    true = nodes.select("id", "vector").mapInArrow(compare, "u long, v long")
+    ``count`` nodes are drawn from all alike, and more, up to ``most``, while fewer than a quarter of ``count`` have edges.
+    """
     both = edges.where(F.col("s") >= least - 1e-9).select("u", "v")
     both = both.union(both.select("v", "u")).distinct().withColumn("_found", F.lit(1))
-    got = true.join(both, ["u", "v"], "left").agg(F.count("*"), F.count("_found")).first()
-    return got[1] / got[0] if got[0] else 1.0
+    order, n = nodes.orderBy(F.xxhash64(F.lit("any"), "id"), "id"), nodes.count()
+    while n:
+        drawn = order.limit(count).toArrow()
+        true = links_of(nodes, drawn["id"].to_numpy(), unit(matrix(drawn["vector"])), least)
+        by = true.join(both, ["u", "v"], "left").groupBy("u").agg((F.count("_found") / F.count("*")).alias("share"))
+        met, got = by.agg(F.count("*"), F.avg("share")).first()
+        if count >= min(n, most) or met >= count // 4:
+            return got if met else 1.0
+        count = min(16 * count, most)
+    return 1.0
 
 
 def neighbour_graph(nodes: DataFrame, least: float, k: int, max_rounds: int, audit_nodes: int, recall: float) -> DataFrame:
     """Edges (u, v, s) of at least ``least`` between nodes, each in one direction or both."""
     n = nodes.count()
     sizes = nodes.select("id", F.lit(k).alias("k"))
-    edges = stored(first_graph(nodes, n, k), "graph")
+    edges, links, passed, late = stored(first_graph(nodes, n, k), "graph"), -1, False, nodes.select("id").limit(0)
     for turn in range(max_rounds):
         better = descend(edges, nodes, sizes, n, turn)
+        used = with_draw(edges, sizes, turn).withColumn("fresh", F.col("fresh") & ~F.col("drawn")).drop("drawn")
         held = edges.groupBy("u").agg(F.min("s").alias("_last"), F.count("*").alias("_n"))
         full = (F.col("_n") >= F.col("k")) & (F.col("_last") >= least)
         sizes = stored(sizes.join(held.withColumnRenamed("u", "id"), "id", "left").select("id", F.when(full, 2 * F.col("k")).otherwise(F.col("k")).alias("k"), F.coalesce(full, F.lit(False)).alias("saturated")), "list-sizes")
-        saturated = not sizes.where("saturated").isEmpty()
-        sizes = sizes.select("id", "k")
-        merged = edges.withColumn("fresh", F.lit(False)).unionByName(better.withColumn("fresh", F.lit(True)))
-        edges = stored(best_of(merged, sizes), "graph")
-        if saturated or not edges.where(F.col("fresh") & (F.col("s") >= least)).isEmpty():
+        late, sizes = sizes.where("saturated").select("id"), sizes.select("id", "k")
+        saturated = not late.isEmpty()
+        edges = stored(best_of(used.unionByName(better.withColumn("fresh", F.lit(True))), sizes), "graph")
+        before, links = links, edges.where(F.col("s") >= least).count()
+        if saturated or links != before:
             continue
-        if audited(nodes, edges, least, audit_nodes) >= recall:
+        passed = audited(nodes, edges, least, audit_nodes) >= recall
+        if passed:
             break
-    return edges.where(F.col("s") >= least).select("u", "v", "s")
+        edges = stored(best_of(edges.unionByName(first_graph(nodes, n, k, draw=turn + 1)), sizes), "graph")
+        links = -1
+    found = edges.where(F.col("s") >= least).select("u", "v", "s")
+    if passed:
+        return found
+    held = edges.groupBy("u").agg(F.min("s").alias("_last"), F.count("*").alias("_n")).withColumnRenamed("u", "id")
+    full = sizes.join(held, "id").where((F.col("_n") >= F.col("k")) & (F.col("_last") >= least)).select("id")
+    for more in exact_links(nodes, late.union(full).distinct(), least):
+        found = found.unionByName(more)
+    if audited(nodes, found, least, audit_nodes) < recall:
+        for more in exact_links(nodes, nodes, least):
+            found = found.unionByName(more)
+    return found
 
 
 def link(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, k: int = 8, max_rounds: int = 12, audit_nodes: int = 256, recall: float = 0.95, part_rows: int = 4000) -> DataFrame:
