@@ -127,6 +127,34 @@ def test_license_hits(text, want):
     assert [h[0] for h in license_scan.scan(license_scan.WORD.findall(text.lower()), templates)] == want
 
 
+def test_license_copies_with_different_edits():
+    one, two = "a b c d e f g X i j".split(), "a Y c d e f g h i j".split()
+    template = {"t": "a b c d e f g h i j".split()}
+    alone = license_scan.scan(one, template)
+    assert [h[1] for h in alone] == [0.9]
+    for between in ([], ["z"] * 5, ["z"] * 40, ["z"] * 300):
+        for before in ([], ["z"] * 90):
+            hits = license_scan.scan([*before, *one, *between, *two, *before], template)
+            at = len(before)
+            assert hits == [("t", 0.9, at, at + 10), ("t", 0.9, at + 10 + len(between), at + 20 + len(between))], (len(between), at)
+    many = (one + ["z"] * 30 + two + ["q"] * 12) * 5
+    assert len(license_scan.scan(many, template)) == 10
+
+
+def test_license_notices_with_different_edits():
+    templates = {k: license_scan.WORD.findall(v.lower()) for k, v in license_scan.TEMPLATES.items()}
+    rng = np.random.default_rng(3)
+    for name in (k for k, v in templates.items() if len(v) > 20):
+        text, n = [], len(templates[name])
+        for i in range(4):  # one word in ten is another
+            copy = list(templates[name])
+            for j in rng.choice(n, n // 10, replace=False):
+                copy[j] = f"edit{i}x{j}"
+            text += [*copy, *[f"w{i}x{j}" for j in range(rng.integers(0, 60))]]
+        assert len(license_scan.scan(text, {name: templates[name]})) == 4, name  # alone: the edited word may be what tells two notices apart
+        assert len(license_scan.scan(text, templates)) == 4, name
+
+
 def test_license_table(spark, docs):
     """Every planted notice line is found, and nothing without one."""
     rows = license_scan.scan_licenses(docs).collect()

@@ -5,7 +5,9 @@ are anchors, the longest increasing run of them is kept, and the gaps between
 anchors are aligned the same way, first the words next to the anchors (a gap
 without anchors takes its longest common run of words). Matches that stand close together in the text make a hit if they
 cover enough of the template; the text before and after a hit is searched again,
-so a repeated notice gives a hit each time.
+so a repeated notice gives a hit each time. Copies with different edits share
+the anchors, so where no matches cover enough, a long range is searched again in
+overlapping windows, a short one on both sides of the widest cut between matches.
 
 A template can only be found if the text has enough of its words, so most texts
 are done after a set operation. Templates are a parameter and few; texts are
@@ -43,6 +45,30 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
         "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "BSD-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution."
+    ),
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+        "this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means."
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
         "that the above copyright notice and this permission notice appear in all copies."
@@ -139,11 +165,12 @@ def scan(words: list[str], templates: dict[str, list[str]], least: float = 0.75,
         bag = Counter(template)
         if sum(n for w, n in bag.items() if w in present) < least * len(template):
             continue
-        todo = [(0, len(words))]
+        todo, seen, reach = [(0, len(words))], set(), 2 * len(template) + gap
         while todo:
             lo, hi = todo.pop()
-            if not enough(Counter(words[lo:hi]), bag, len(template), least):
+            if hi - lo < least * len(template) or (lo, hi) in seen or not enough(Counter(words[lo:hi]), bag, len(template), least):
                 continue
+            seen.add((lo, hi))
             pairs = align(words[lo:hi], template)
             cuts = [0, *(k for k in range(1, len(pairs)) if pairs[k][0] - pairs[k - 1][0] > gap + 1), len(pairs)]
             start, stop = max(zip(cuts, cuts[1:], strict=False), key=lambda c: (c[1] - c[0], -c[0]))
@@ -152,6 +179,12 @@ def scan(words: list[str], templates: dict[str, list[str]], least: float = 0.75,
                 first, after = lo + pairs[start][0], lo + pairs[stop - 1][0] + 1
                 found.append((matched, matched / len(template), name, first, after))
                 todo += [(lo, first), (after, hi)]
+            elif hi - lo > 2 * reach:
+                todo += [(i, min(hi, i + 2 * reach)) for i in range(lo, hi - reach, reach)]
+                todo += [(max(lo, lo + pairs[i][0] - reach), min(hi, lo + pairs[j - 1][0] + 1 + reach)) for i, j in zip(cuts, cuts[1:], strict=False) if pairs[j - 1][0] - pairs[i][0] + 2 * reach + 1 < hi - lo]
+            elif len(pairs) > 1:
+                k = max(range(1, len(pairs)), key=lambda k: (pairs[k][0] - pairs[k - 1][0], -k))
+                todo += [(lo, lo + pairs[k][0]), (lo + pairs[k - 1][0] + 1, hi)]
     chosen: list[tuple] = []
     for hit in sorted(found, key=lambda h: (-h[0], -h[1], h[2], h[3])):
         if all(hit[4] <= c[3] or hit[3] >= c[4] for c in chosen):
