@@ -1,16 +1,12 @@
 from __future__ import annotations
 
 import sys
-from pathlib import Path
 
 import pytest
+from core_helpers import ROOT
 
-ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -50,13 +46,3 @@ EDGE_ROWS = [
 def edge(spark):
     return spark.createDataFrame(EDGE_ROWS, "UUID string, Name string, Points string")
 
-
-def rows(df, *cols):
-    """Rows as sorted tuples of the given columns (NULL sorts first)."""
-    out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
-    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))
-
-
-def same_rows(a, b) -> bool:
-    """Multiset equality of two DataFrames with the same columns."""
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_helpers import rows
 from tierline.functions.columns import (
     BAND_LABELS_PT,
     INVALID_LABEL_PT,

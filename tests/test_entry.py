@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from core_helpers import ROOT, SF_SMALL
 
 sys.path.insert(0, str(ROOT / "scripts"))
 import __spark_entry__ as E  # noqa: E402

@@ -8,7 +8,7 @@ import subprocess
 import sys
 import textwrap
 
-from conftest import ROOT, SF_SMALL
+from core_helpers import ROOT, SF_SMALL
 
 SCRIPT = textwrap.dedent(
     f"""

@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows, same_rows
+from core_helpers import rows, same_rows
 from tierline.operators.sinks import (
     append_evolving,
     describe_table,

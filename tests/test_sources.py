@@ -7,7 +7,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from core_helpers import SF_SMALL, rows
 from tierline.sources.derived import participation, product_feed, staged_feed
 from tierline.sources.feeds import (
     file_inventory,
@@ -146,7 +146,7 @@ def test_without_a_configured_checkpoint_folder(tmp_path):
     import sys
     import textwrap
 
-    from conftest import ROOT
+    from core_helpers import ROOT
 
     conf_dir = tmp_path / "conf"
     conf_dir.mkdir()

@@ -8,7 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, same_rows
+from core_helpers import SF_SMALL, same_rows
 from tierline.operators.gold import window_totals
 from tierline.operators.silver import silver_monolith
 from tierline.plans.flow import Target, build_gold, monolith_tables, rebuild_after_insert, run_layers
