@@ -1,0 +1,125 @@
+"""The incremental decomposition against numpy's of the whole matrix."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tierline.llm import whitening
+from tierline.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(vectors):
+    """n, sums, eigenvalues and eigenvectors (falling) of the distinct whole vectors."""
+    x = np.array(sorted({tuple(int(np.floor(256 * float(c))) for c in v) for v in vectors}), object)
+    n, sums = len(x), x.sum(axis=0)
+    away = ((x * n - sums) / n).astype(float)
+    values, basis = np.linalg.eigh(away.T @ away / n)
+    return n, sums, values[::-1], basis[:, ::-1]
+
+
+def check(rows, table, upto=4):
+    """Every row's figures against the plain ones; ``table``: (id, vector) of the rows that take part."""
+    n, sums, values, basis = plain([v for _, v in table])
+    want = {}
+    for i, v in table:
+        away = [n * int(np.floor(256 * float(c))) - s for c, s in zip(v, sums, strict=True)]
+        white = np.array([a / n for a in away]) @ basis[:, :upto] / np.sqrt(values[:upto])
+        want.setdefault(i, []).append((sum(a * a for a in away), white))
+    assert len(rows) == sum(map(len, want.values())) * min(upto, len(values))
+    signs = {}
+    for r in rows:
+        deviation, white = want[r.vec_id][0]
+        assert r.n == n and r.deviation == deviation
+        w = white[r.component - 1]
+        if abs(w) > 1e-6:
+            assert signs.setdefault(r.component, np.sign(w) * np.sign(r.whitened)) == np.sign(w) * np.sign(r.whitened)
+        assert abs(abs(r.whitened) - abs(w)) < 1e-7 * max(1, abs(w))
+        assert r.explained == pytest.approx(values[r.component - 1] / values.sum(), rel=1e-9)
+        assert r.identity_error < 1e-9
+
+
+def test_table(spark):
+    rows = QUERIES["op11_whitening"](spark, SF).collect()
+    table = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    check(rows, table)
+
+
+def test_many_tasks_join_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN", 2)
+    df = spark.read.parquet(f"{SF}/embeddings.parquet").repartition(7)
+    monkeypatch.setattr(whitening, "stored", _spread)
+    rows = whitening.report(df).collect()
+    check(rows, [(r.vec_id, r.embedding) for r in df.collect()])
+
+
+def _spread(df, name):
+    from tierline.llm.common import stored
+
+    return stored(df.repartition(9) if name == "distinct" else df, name)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    fine = [(1, [0.5, 1.0, -2.0]), (2, [0.5, 1.0, -2.0]), (None, [0.25, 0.0, 0.1]), (3, [0.0, 0.0, 0.0]), (3, [3.0, 1.5, 0.3]), (4, [-1.0, 0.7, 1.9])]
+    odd = [(5, None), (6, [nan, 1.0, 2.0]), (7, [inf, 0.0, 0.0]), (8, [None, 1.0, 1.0]), (9, [1.0, 2.0]), (10, [])]
+    df = spark.createDataFrame([(*r, 7, "w") for r in fine + odd], "vec_id long, embedding array<float>, component int, Whitened string")
+    rows = whitening.report(df).collect()
+    n, sums, values, _ = plain([np.float32(v) for _, v in fine])
+    assert n == 5 and {r.vec_id for r in rows} == {None, 1, 2, 3, 4}
+    assert len(rows) == 6 * 3 and {r.component for r in rows} == {1, 2, 3}
+    equal = {r.vec_id: (r.deviation, r.whitened) for r in rows if r.component == 1 and r.vec_id in (1, 2)}
+    assert equal[1] == equal[2]
+    kept = whitening.transform(df, whitening.fit(df))
+    assert kept.count() == len(fine + odd) and kept.where("whitened IS NULL").count() == len(odd)
+    assert kept.columns == ["vec_id", "embedding", "component", "deviation", "whitened"]  # clashing names are replaced
+
+
+def test_large_entries_and_long_sums(spark):
+    table = [(i, [float(v) * 2.0**30, float(i)]) for i, v in enumerate([1, -3, 2, 7, 5])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    rows = whitening.report(df).collect()
+    n, sums, values, _ = plain([v for _, v in table])
+    for r in rows:
+        v = dict(table)[r.vec_id]
+        exact = sum((n * int(np.floor(256 * c)) - s) ** 2 for c, s in zip(v, sums, strict=True))
+        assert r.deviation == (exact if exact < 1 << 63 else None)
+    assert any(r.deviation is None for r in rows)
+    huge = spark.createDataFrame([(1, [1e300]), (2, [-1e300]), (3, [0.0])], "vec_id long, embedding array<double>")
+    assert whitening.report(huge).count() == 3
+
+
+def test_without_variance_or_rows(spark):
+    kind = "vec_id long, embedding array<double>"
+    none = whitening.report(spark.createDataFrame([], kind))
+    assert none.count() == 0
+    one = whitening.report(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], kind))
+    assert one.count() == 0 and one.dtypes == none.dtypes
+    flat = spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, [3.0, 6.0])], kind)
+    assert {r.component for r in whitening.report(flat).collect()} == {1}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 25), st.integers(0, 10_000), st.sampled_from([1, 3, 50]))
+def test_updates_and_joins(d, n, seed, size):
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-size, size + 1, (n, d))
+    x[:, rng.integers(d)] = 0
+    cut = int(rng.integers(1, n + 1))
+    parts = [whitening.Spectrum.of([p]) for p in (x[:cut], x[cut:]) if len(p)]
+    own = parts[0] if len(parts) == 1 else whitening.Spectrum.joined(*parts)
+    away = x - x.mean(axis=0)
+    scatter = away.T @ away
+    scale = max(1.0, np.abs(scatter).max())
+    assert own.n == n and np.abs(own.mean - x.mean(axis=0)).max() < 1e-9 * size
+    assert np.abs(own.vectors * own.values @ own.vectors.T - scatter).max() < 1e-9 * scale
+    assert np.abs(own.vectors.T @ own.vectors - np.eye(d)).max() < 1e-9
+
+
+def test_exact_sums():
+    x = np.array([[2**62, 1], [2**62, 2], [2**62, 3]], np.int64)
+    assert whitening.column_sums(iter([x])) == (3, [3 * 2**62, 6])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, token_counts, vector_dedup
+from tierline.llm import ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, token_counts, vector_dedup, whitening
 from tierline.llm.common import table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,11 +55,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_codec, op2_license_scan, op3_ann_search, op4_lm_score, op5_vector_dedup,
         op6_language_id, op7_quality, op8_jaccard_join, op9_token_counts, op10_packing,
+        op11_whitening,
     )
 }
 
