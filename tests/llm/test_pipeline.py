@@ -28,7 +28,7 @@ def test_stages_are_named_and_registered():
     assert [n for n, _ in P.STAGES] == ["quality", "language", "near_duplicates", "packing"]
     assert E.queries()["pipeline"] is P.run and "pipeline" not in E.oracle_sql()
     ops = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].partition("_")[0]) for n in ops) == list(range(1, 11))
+    assert sorted(int(n[2:].partition("_")[0]) for n in ops) == list(range(1, 14))
 
 
 def test_quality_stage(spark, docs):

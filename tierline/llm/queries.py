@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, token_counts, vector_dedup, whitening
+from tierline.llm import alignment, ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, token_counts, vector_dedup, whitening
 from tierline.llm.common import table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,12 +60,16 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe_codec, op2_license_scan, op3_ann_search, op4_lm_score, op5_vector_dedup,
         op6_language_id, op7_quality, op8_jaccard_join, op9_token_counts, op10_packing,
-        op11_whitening,
+        op11_whitening, op13_alignment,
     )
 }
 
