@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import alignment, ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, token_counts, vector_dedup, whitening
+from tierline.llm import alignment, ann_search, bpe_codec, jaccard_join, language_id, license_scan, lm_score, packing, quality, suffix_dedup, token_counts, vector_dedup, whitening
 from tierline.llm.common import table
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
 
@@ -69,7 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_bpe_codec, op2_license_scan, op3_ann_search, op4_lm_score, op5_vector_dedup,
         op6_language_id, op7_quality, op8_jaccard_join, op9_token_counts, op10_packing,
-        op11_whitening, op13_alignment,
+        op11_whitening, op12_suffix_dedup, op13_alignment,
     )
 }
 
