@@ -85,7 +85,7 @@ def test_odd_texts(spark, odd_docs, odd_texts, no_docs):
     texts = [*short(odd_texts), "x▁y"]
     found = p.align(texts)
     want = [plain(t) for t in texts]
-    assert p.spelled(found) == [g for _, _, g, _ in want]
+    assert p.spelled(found) == [g.encode() for _, _, g, _ in want]
     assert found.n_links.tolist() == [len(x) for *_, x in want]
     assert found.n_a[-1] == found.n_b[-1] == 0  # its bytes aren't those of the pieces
     rows = [(r.doc_id, t) for r, t in zip(odd_docs.collect(), short([r.text for r in odd_docs.collect()]), strict=True)]
@@ -129,14 +129,23 @@ def test_any_texts(texts):
     p = alignment.pair(BYTE_VOCABULARY, PIECE_MODEL)
     found = p.align(texts)
     want = [plain(t) for t in texts]
-    assert p.spelled(found) == [g for _, _, g, _ in want]
+    assert p.spelled(found) == [g.encode() for _, _, g, _ in want]
     ends = [0, *found.n_links.cumsum().tolist()]
     for k, (*_, links) in enumerate(want):
         own = slice(ends[k], ends[k + 1])
         assert sorted(zip(found.a[found.left[own]].tolist(), found.b[found.right[own]].tolist(), strict=True)) == sorted(links)
 
 
+def test_every_settled_character():
+    p = alignment.pair(BYTE_VOCABULARY, PIECE_MODEL)
+    settled = [c for c in map(chr, range(0x3000)) if alignment.SETTLED.fullmatch(c)]
+    assert p.fast is not None and len(settled) > 500
+    for around in ("{}", "a{}", "1{}b", " {} x", "·{}'s", "\n {}{}"):
+        texts = [" " + around.replace("{}", c) for c in settled]
+        assert p.a_ids(texts) == [x.ids for x in A.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("text", ["a", " ", "  a", "\n", "é", "日", "<0x41>", "▁"])
 def test_small_texts(text):
     p = alignment.pair(BYTE_VOCABULARY, PIECE_MODEL)
-    assert p.spelled(p.align([text])) == [plain(text)[2]]
+    assert p.spelled(p.align([text])) == [plain(text)[2].encode()]

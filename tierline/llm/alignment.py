@@ -24,14 +24,15 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,7 +41,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm.common import append_columns, runs, slices, stored
-from tierline.llm.vocabulary import load
+from tierline.llm.vocabulary import BYTE_LEVEL, load
 
 SPACE = "▁"
 
@@ -54,6 +55,25 @@ def piece_bytes(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return out
 
 
+#: Characters that all libraries put into the same class; a text with others is left to the slower one.
+SETTLED = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f\u2010-\u2027\u2030-\u205e]*")
+
+
+class Strings:
+    """Byte strings by number; many are put together at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(x) for x in strings], np.int64)
+        self.flat, self.begin = np.frombuffer(b"".join(strings), np.uint8), np.cumsum(self.size) - self.size
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        """The bytes of these strings, one after the other."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.arange(total) + np.repeat(self.begin[numbers] - (ends - size), size)]
+
+
 @dataclass
 class Aligned:
     """Tokens, links and groups of a run of texts, all texts one after the other.
@@ -84,35 +104,54 @@ class Pair:
         self.a.no_truncation()
         self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.a_bytes, self.b_bytes = load(a_path).token_bytes, piece_bytes(self.b)
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
-        longest = max(len(self.a_bytes), len(self.b_bytes))
-        self.items = [f"{i}{end}" for i in range(longest) for end in (",", "|", ";", "")]
-
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids on both sides, none where the bytes are not those of the text."""
-        at = [i for i, t in enumerate(texts) if t]
-        spaced = [f" {texts[i]}" for i in at]
-        coded = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-        pieces = self.b.encode([texts[i] for i in at], num_threads=1)
-        out_a, out_b = [[] for _ in texts], [[] for _ in texts]
-        of_a, of_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        for i, text, a, b in zip(at, spaced, coded, pieces, strict=True):
-            raw = text.encode()
-            if b"".join(map(of_a, a)) == raw and b"".join(map(of_b, b)) == raw:
-                out_a[i], out_b[i] = a, b
-        return out_a, out_b
+        vocabulary = load(a_path)
+        self.a_bytes, self.b_bytes = Strings(vocabulary.token_bytes), Strings(piece_bytes(self.b))
+        self.fast = None
+        if not vocabulary.suffix and not vocabulary.lower and (np.diff(vocabulary.made) > 0).all():  # ids rise with merge ranks
+            ranks = {x: i for i, x in enumerate(vocabulary.token_bytes) if i not in vocabulary.special.values()}
+            self.fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+        longest = max(len(self.a_bytes.size), len(self.b_bytes.size))
+        self.items = Strings([f"{i}{end}".encode() for i in range(longest) for end in (",", "|", ";", "")])
+
+    def a_ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of A; texts of settled characters by the faster library, whose ids are the same there."""
+        plain = [self.fast is not None and SETTLED.fullmatch(t) is not None for t in texts]
+        rest = iter(self.a.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        return [self.fast.encode_ordinary(t) if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
+
+    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids on both sides of each text, none where the bytes are not those of the text."""
+        out = []
+        for _, some in slices(texts, 250_000):  # the libraries' own results are large
+            spaced = [f" {t}" for t in some if t]
+            sides = [[np.array(x, np.int32) for x in ids] for ids in (self.a_ids(spaced), self.b.encode([t for t in some if t], num_threads=1))]
+            raw = [t.encode() for t in spaced]
+            size = np.array([len(r) for r in raw], np.int64)
+            same = np.ones(len(raw), bool)
+            for ids, table in zip(sides, (self.a_bytes, self.b_bytes), strict=True):
+                same &= np.array([table.size[x].sum() for x in ids], np.int64) == size
+            left = np.flatnonzero(same)
+            if len(left):  # as long as the text; now byte for byte
+                given = np.frombuffer(b"".join(raw[i] for i in left.tolist()), np.uint8)
+                starts = np.cumsum(size[left]) - size[left]
+                for ids, table in zip(sides, (self.a_bytes, self.b_bytes), strict=True):
+                    made = table.joined(np.concatenate([ids[i] for i in left.tolist()]))
+                    same[left] &= np.logical_and.reduceat(made == given, starts)
+            none = np.zeros(0, np.int32)
+            own = iter([(a, b) if s else (none, none) for a, b, s in zip(*sides, same.tolist(), strict=True)])
+            out += [next(own) if t else (none, none) for t in some]
+        return out
 
     def align(self, texts: list[str | None]) -> Aligned:
-        own_a, own_b = self.tokens(texts)
-        n_a, n_b = (np.array([len(x) for x in own], np.int64) for own in (own_a, own_b))
-        a, b = (np.fromiter(chain.from_iterable(own), np.int64, n.sum()) for own, n in ((own_a, n_a), (own_b, n_b)))
+        own = [*zip(*self.tokens(texts), strict=True)] or [(), ()]
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in own)
+        a, b = (np.concatenate([np.zeros(0, np.int32), *side]) for side in own)
         texts_of = np.arange(len(texts))
         doc_a, doc_b = np.repeat(texts_of, n_a), np.repeat(texts_of, n_b)
-        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        side_a = pd.DataFrame({"at": end_a - self.a_size[a], "doc": doc_a, "a": np.arange(len(a))})
-        side_b = pd.DataFrame({"at": end_b - self.b_size[b], "doc": doc_b, "b": np.arange(len(b))})
+        size_a, size_b = self.a_bytes.size[a], self.b_bytes.size[b]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+        side_a = pd.DataFrame({"at": end_a - size_a, "doc": doc_a, "a": np.arange(len(a))})
+        side_b = pd.DataFrame({"at": end_b - size_b, "doc": doc_b, "b": np.arange(len(b))})
         from_a = pd.merge_asof(side_a, side_b, on="at", by="doc")
         from_b = pd.merge_asof(side_b, side_a, on="at", by="doc")
         begin_a = side_a["at"].to_numpy()
@@ -134,11 +173,12 @@ class Pair:
         count = len(texts)
         return Aligned(a, b, n_a, n_b, np.bincount(doc_a[last_a], minlength=count), np.bincount(doc_a[left], minlength=count), left, right, items)
 
-    def spelled(self, found: Aligned) -> list[str]:
+    def spelled(self, found: Aligned) -> list[bytes]:
         """The groups of each text: ids of A, a bar, ids of B; groups parted by semicolons."""
-        ends = np.cumsum(found.n_a + found.n_b).tolist()
-        words = list(map(self.items.__getitem__, found.items.tolist()))
-        return ["".join(words[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
+        flat = self.items.joined(found.items).tobytes()
+        ends = np.cumsum(self.items.size[found.items])
+        ends = np.append(0, ends)[np.cumsum(found.n_a + found.n_b)].tolist()
+        return [flat[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -160,7 +200,7 @@ def align(df: DataFrame, a_path: str, b_path: str, text: str = "text", out: str
             found = p.align(run)
             for f, own in zip(FIGURES, figures, strict=True):
                 own.append(getattr(found, f))
-            groups += p.spelled(found)
+            groups += [s.decode() for s in p.spelled(found)]
         return [*[pa.array(np.concatenate(own or [np.zeros(0, np.int64)]), pa.int64()) for own in figures], pa.array(groups, pa.string())]
 
     return append_columns(df, text, outputs, compute)
@@ -176,11 +216,12 @@ def blocks(df: DataFrame, a_path: str, b_path: str, key: str, text: str) -> Data
         p, packer = pair(a_path, b_path), zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for some in runs(batch, 1):
+            for some in runs(batch, 1, 2 << 20):
                 found = p.align(some.column(1).to_pylist())
-                sha = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in p.spelled(found)]
-                ids = found.a[found.left] * len(p.b_bytes) + found.b[found.right]
-                pairs, own, times = np.unique(ids, return_inverse=True, return_counts=True)
+                sha = [hashlib.sha256(s).hexdigest() if s else "" for s in p.spelled(found)]
+                ids = found.a[found.left].astype(np.int64) * len(p.b_bytes.size) + found.b[found.right]
+                own, pairs = pd.factorize(ids)
+                times = np.bincount(own, minlength=len(pairs))
                 often = np.argsort(-times, kind="stable")  # frequent pairs get small numbers, which pack well
                 place = np.empty(len(often), np.uint32)
                 place[often] = np.arange(len(often))
