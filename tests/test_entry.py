@@ -23,6 +23,8 @@ SURVEY_KEYS = {
     "gold_window", "window_each_aggregate", "sort_desc_alias", "first_name_udf", "bronze_customers",
     "bronze_products", "silver_products", "silver_monolith", "rebuild_after_insert", "monolith_end_to_end",
     "layers_two_files", "layers_end_to_end",
+    # operations beside the survey's keys
+    "bronze_with_rejects", "batch_repeated", "gold_by_batches",
 }
 
 
@@ -60,6 +62,8 @@ DOES = {
     "A8": "gold.distinct_values", "J1": "gold.validation_report", "W1": "gold.window_totals", "W3": "gold.with_key_totals",
     "O1": "gold.sort_desc", "C1": "flow.ingest_bronze", "C2": "silver.silver_customers", "C8": "flow.rebuild_after_insert",
     "C9": "flow.run_layers",
+    # beside the survey's list
+    "R1": "rejects.ingest_with_rejects", "R2": "batches.put_batch", "R3": "flow.load_batch",
 }
 
 

@@ -140,7 +140,10 @@ def window_totals(
     one row per (key, band) (hash partials, then the max name over those), so
     the window holds at most one row per band for any key, however hot.
     """
-    kb = _key_band(silver, key, name, points, band)
+    return _window_of(_key_band(silver, key, name, points, band), key, band, precision)
+
+
+def _window_of(kb: DataFrame, key: str, band: str, precision: int) -> DataFrame:
     w = Window.partitionBy(key)
     total = F.sum("_sum").over(w)
     return kb.select(
@@ -155,6 +158,28 @@ def window_totals(
     )
 
 
+def partials(
+    silver: DataFrame,
+    key: str = "UUID",
+    name: str = "first_name_split",
+    points: str = "points_int",
+    band: str = BAND,
+) -> DataFrame:
+    """What the totals of these rows are made of, one row per (key, band).
+
+    Sums, counts, minima and maxima only, so the partials of any parts of a
+    table, put together, give its totals (:func:`window_totals_of`) without its
+    rows. A key has at most one row per band in each part.
+    """
+    return _key_band(silver, key, name, points, band).select(F.col(key).alias(KEY), F.col(band).alias(BAND), "_name", "_n_key", "_sum", "_n_pts", "_min", "_max")
+
+
+def window_totals_of(parts: DataFrame, precision: int = 10) -> DataFrame:
+    """:func:`window_totals` from stored :func:`partials` of all parts of a table."""
+    merged = _merged(parts.withColumnRenamed("_name", "_part_name"), [KEY, BAND], "_part_name")
+    return _window_of(merged, KEY, BAND, precision)
+
+
 def validation_report(
     silver: DataFrame,
     key: str = "UUID",

@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ def _name_parts(table: str) -> list[str]:
     return parts
 
 
-def _new_version(spark: SparkSession, table: str) -> str:
+def new_version(spark: SparkSession, table: str) -> str:
     """A fresh folder for one version of a table, below its database's location."""
     *where, name = _name_parts(table)
     if where:
@@ -69,11 +70,11 @@ def write_version(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def _same_shape(spark: SparkSession, table: str, df: DataFrame) -> bool:
-    """Whether the table is unpartitioned and has the columns of ``df``, so that its location alone may change."""
+def _same_shape(spark: SparkSession, table: str, schema: StructType) -> bool:
+    """Whether the table is unpartitioned and has these columns, so that its location alone may change."""
     now = [(f.name, f.dataType) for f in spark.table(table).schema]
     plain = not any(c.isPartition for c in spark.catalog.listColumns(table))
-    return plain and now == [(f.name, f.dataType) for f in df.schema]
+    return plain and now == [(f.name, f.dataType) for f in schema]
 
 
 def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
@@ -93,16 +94,24 @@ def overwrite_table(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT, partit
         writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
         return table
-    exists = spark.catalog.tableExists(table)
-    path = _new_version(spark, table)
+    path = new_version(spark, table)
     write_version(df, path, fmt, partition_by)
-    if exists and not partition_by and _same_shape(spark, table, df):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.catalog.refreshTable(table)
-        return table
-    if exists:
+    point_at(spark, table, df.schema, path, fmt, partition_by)
+    return table
+
+
+def point_at(spark: SparkSession, table: str, schema: StructType, path: str, fmt: str = DEFAULT_FORMAT, partition_by: Sequence[str] = ()) -> str:
+    """Make ``table`` one of these columns whose files are those at ``path``, which are there already.
+
+    With the same columns that is one catalog call; otherwise the table is dropped and created.
+    """
+    if spark.catalog.tableExists(table):
+        if not partition_by and _same_shape(spark, table, schema):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return table
         spark.sql(f"DROP TABLE {table}")
-    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in schema)
     by = f" PARTITIONED BY ({', '.join(map(_quote, partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by} LOCATION '{path}'")
     if partition_by:
@@ -116,21 +125,40 @@ def remove_old_versions(spark: SparkSession, table: str, older_than_hours: float
     Give a time that no reader or writer still needs: a version that a writer
     has not yet published is as old as its last file.
     """
-    at = _new_version(spark, table).rpartition("/")[0]
+    at = new_version(spark, table).rpartition("/")[0]
     fs, folder = file_system(spark, at)
     if not fs.exists(folder):
         return []
-    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+    used = _locations(spark, table)
     limit, gone = (time.time() - older_than_hours * 3600) * 1000, []
     for status in fs.listStatus(folder):
         path = status.getPath()
-        if path.getName() != location.rstrip("/").rpartition("/")[2] and status.getModificationTime() < limit:
+        if not any(f"/{path.getName()}/" in f"{u}/" for u in used) and status.getModificationTime() < limit:
             fs.delete(path, True)
             gone.append(path.getName())
     return gone
 
 
-def _aligned_to(df: DataFrame, target: StructType) -> DataFrame:
+def _locations(spark: SparkSession, table: str) -> list[str]:
+    """Folders that the tables of the same database, and their partitions, read."""
+    *where, _ = _name_parts(table)
+    database = ".".join(_quote(p) for p in where) or spark.catalog.currentDatabase()
+    out = []
+    for t in spark.catalog.listTables(database):
+        if t.isTemporary or t.tableType == "VIEW":
+            continue
+        name = f"{database}.{_quote(t.name)}"
+        told = [spark.sql(f"DESCRIBE FORMATTED {name}")]
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
+                parts = [p.partition("=") for p in r[0].split("/")]
+                spec = ", ".join(f"{_quote(c)} = '{unquote(v)}'" for c, _, v in parts)
+                told.append(spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({spec})"))
+        out += [r["data_type"].rstrip("/") for d in told for r in d.where("col_name = 'Location'").collect()]
+    return out
+
+
+def aligned_to(df: DataFrame, target: StructType) -> DataFrame:
     """Select ``df`` in the target's column order; absent columns become typed NULLs.
 
     Names match case-insensitively; a source column the target lacks raises.
@@ -151,7 +179,7 @@ def _aligned_to(df: DataFrame, target: StructType) -> DataFrame:
 def insert_by_name(df: DataFrame, table: str) -> str:
     """Append rows matching columns by name; columns not given become NULL."""
     spark = df.sparkSession
-    _aligned_to(df, spark.table(table).schema).write.insertInto(table)
+    aligned_to(df, spark.table(table).schema).write.insertInto(table)
     return table
 
 

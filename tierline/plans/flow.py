@@ -13,7 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.operators.gold import BAND, COUNT, KEY, gold_by_key_and_band, sort_desc, window_totals
+from tierline.operators.batches import put_batch, read_batch
+from tierline.operators.gold import BAND, COUNT, KEY, gold_by_key_and_band, partials, sort_desc, window_totals, window_totals_of
+from tierline.operators.rejects import Loaded, ingest_with_rejects
 from tierline.operators.silver import silver_customers, silver_monolith, silver_products
 from tierline.operators.sinks import (
     DEFAULT_FORMAT,
@@ -50,6 +52,13 @@ def ingest_bronze(spark: SparkSession, path: str, file_name: str, target: Target
     return overwrite_table(df, target.table(file_name, "bronze"), target.fmt)
 
 
+def ingest_bronze_checked(spark: SparkSession, path: str, file_name: str, target: Target, max_share: float | None = None) -> Loaded:
+    """As :func:`ingest_bronze`, but lines that don't fit the feed go to ``tab_<file name>_rejects``
+    instead of losing fields; a load with a larger share of them than ``max_share`` fails unpublished."""
+    spec = spec_for(file_name)
+    return ingest_with_rejects(spark, path, spec, target.table(file_name, "bronze"), target.table(file_name, "rejects"), max_share, target.fmt)
+
+
 def build_silver(spark: SparkSession, dataset: str, target: Target) -> str:
     """``tab_<dataset>_bronze`` -> ``tab_<dataset>_silver``."""
     rule = {CUSTOMERS.name: silver_customers, PRODUCTS.name: silver_products}[spec_for(dataset).name]
@@ -141,3 +150,29 @@ def rebuild_after_insert(spark: SparkSession, late: DataFrame, target: Target) -
     insert_by_name(late, monolith_tables(target)["bronze"])
     build_monolith_silver(spark, target)
     return build_monolith_gold(spark, target)
+
+
+# -- the same in batches ---------------------------------------------------------
+
+def load_batch(spark: SparkSession, rows: DataFrame, target: Target, batch: str, precision: int = 10) -> str:
+    """Load one batch of bronze rows (any subset of the columns, once the table exists)
+    into all monolith layers and refresh gold; returns the gold table.
+
+    Each layer holds the batch as a partition, so a call that failed anywhere,
+    or one too many, is simply repeated: the batch is there once. Only the rows
+    of this batch are cast and combined. Gold is made from the stored partials
+    of all batches, a row per key, band and batch; no earlier bronze or silver
+    row is read again.
+    """
+    t = monolith_tables(target) | {"partials": target.table("monolith", "partials")}
+    put_batch(rows, t["bronze"], batch, target.fmt)
+    put_batch(silver_monolith(read_batch(spark, t["bronze"], batch)), t["silver"], batch, target.fmt)
+    put_batch(partials(read_batch(spark, t["silver"], batch)), t["partials"], batch, target.fmt)
+    return refresh_gold(spark, target, precision)
+
+
+def refresh_gold(spark: SparkSession, target: Target, precision: int = 10) -> str:
+    """The gold table of all batches loaded so far, from their partials."""
+    gold = window_totals_of(read_layer(spark, target.table("monolith", "partials")), precision)
+    return replace_table_as(spark, gold, monolith_tables(target)["gold"], target.fmt)
+

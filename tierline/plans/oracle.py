@@ -233,6 +233,15 @@ FROM (
     "sort_desc_alias": _validation(order=True),
     # composite flows
     "bronze_customers": _with(PARTICIPATION) + "SELECT UUID, Name, Points, TRUE AS has_source_file FROM participation",
+    "bronze_with_rejects": _with(PARTICIPATION.replace("SELECT\n", "SELECT event_id,\n", 1))
+    + """, lines AS (
+  SELECT *, event_id % 29 = 0 OR event_id % 31 = 0 AS bad,
+         COALESCE(UUID, '') || ';' || Name || CASE WHEN event_id % 29 = 0 THEN ';' || COALESCE(Points, '') || ';surplus' ELSE '' END AS line
+  FROM participation)
+SELECT CASE WHEN NOT bad THEN UUID END AS UUID, CASE WHEN NOT bad THEN Name END AS Name,
+       CASE WHEN NOT bad THEN Points END AS Points, CASE WHEN bad THEN line END AS line,
+       (SELECT COUNT(*) FROM lines WHERE NOT bad) AS n_rows, (SELECT COUNT(*) FROM lines WHERE bad) AS n_rejects
+FROM lines""",
     "bronze_products": f'SELECT {PRODUCT_FEED} AS "1", p_type AS ChatMessage, p_name AS Mensagem_do_chat_da_Twitch, '
     "TRUE AS has_source_file FROM part",
     "silver_products": f"SELECT {PRODUCT_FEED} AS item_code, p_type AS message_kind, p_name AS message_text FROM part",
@@ -244,6 +253,15 @@ FROM (
         monolith_silver("bronze"),
     )
     + WINDOW_GOLD,
+    "batch_repeated": _with(PARTICIPATION, LATE)
+    + "SELECT UUID, Name, Points, 'first' AS batch_id FROM participation UNION ALL SELECT UUID, Name, Points, 'late' FROM late",
+    "gold_by_batches": _with(
+        PARTICIPATION,
+        LATE,
+        "bronze AS (SELECT UUID, Name, Points FROM participation UNION ALL SELECT UUID, Name, Points FROM late)",
+        monolith_silver("bronze"),
+    )
+    + WINDOW_GOLD,
     "monolith_end_to_end": _with(
         PARTICIPATION,
         f"bronze AS (SELECT CAST(UUID AS INTEGER) AS UUID, Name, Points FROM participation "

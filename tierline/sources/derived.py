@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.session import file_system, shared_dir
+from tierline.session import file_system, run_dir, shared_dir
 from tierline.specs import CUSTOMERS, PRODUCTS, FeedSpec
 
 # Bump when a derivation rule changes, so staged copies are not reused.
@@ -122,6 +122,25 @@ def write_feed(df: DataFrame, path: str, spec: FeedSpec) -> None:
     )
 
 
+#: CSV options for lines as they are: a separator that no line holds, no quotes.
+WHOLE_LINES = {"sep": "\x01", "quote": ""}
+#: SQL over the feed's columns and event_id: the line of a row, some with a field too many or too few.
+BROKEN_LINE = (
+    "CASE WHEN event_id % 29 = 0 THEN concat_ws(';', coalesce(UUID, ''), Name, coalesce(Points, ''), 'surplus') "
+    "WHEN event_id % 31 = 0 THEN concat_ws(';', coalesce(UUID, ''), Name) "
+    "ELSE concat_ws(';', coalesce(UUID, ''), Name, coalesce(Points, '')) END"
+)
+
+
+def broken_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the customers feed with lines that have a field too many (every 29th event) or too few (every 31st)."""
+    ev = spark.read.schema(EVENTS_COLUMNS).parquet(table_path(sf_dir, "events"))
+    lines = ev.selectExpr("event_id", *PARTICIPATION_EXPRS).select(F.expr(BROKEN_LINE).alias(CUSTOMERS.sep.join(CUSTOMERS.schema.names)))
+    path = run_dir(spark, "broken", uuid.uuid4().hex[:12])
+    lines.write.option("header", "true").options(**WHOLE_LINES).csv(path)
+    return path
+
+
 def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | None = None) -> str:
     """Path of the derived feed (of the source rows that ``where`` keeps) written as CSV under the shared work folder.
 

@@ -50,6 +50,8 @@ PRODUCTS = FeedSpec(
 FEEDS: dict[str, FeedSpec] = {CUSTOMERS.name: CUSTOMERS, PRODUCTS.name: PRODUCTS}
 
 LAYERS = ("bronze", "silver", "gold")
+#: Tables beside the layers: lines that a load rejected, combined statistics by batch.
+SIDE_TABLES = ("rejects", "partials")
 
 
 def spec_for(file_name: str) -> FeedSpec:
@@ -69,7 +71,7 @@ def dataset_name(file_name: str) -> str:
 
 def layer_table(dataset: str, layer: str, schema: str | None = None, catalog: str | None = None) -> str:
     """Table name ``[catalog.][schema.]tab_<dataset>_<layer>`` with quoted parts."""
-    if layer not in LAYERS:
-        raise ValueError(f"layer must be one of {LAYERS}, got {layer!r}")
+    if layer not in (*LAYERS, *SIDE_TABLES):
+        raise ValueError(f"layer must be one of {(*LAYERS, *SIDE_TABLES)}, got {layer!r}")
     parts = [p for p in (catalog, schema) if p] + [f"tab_{dataset_name(dataset)}_{layer}"]
     return ".".join(f"`{p}`" for p in parts)
