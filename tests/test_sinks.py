@@ -186,11 +186,11 @@ def test_a_managed_table_is_replaced_too(spark, edge, db):
     assert same_rows(spark.table(t), edge)
 
 
-def test_name_parts():
-    from tierline.operators.sinks import _name_parts
+def testname_parts():
+    from tierline.operators.sinks import name_parts
 
-    assert _name_parts("`spark_catalog`.`db`.`t.x`") == ["spark_catalog", "db", "t.x"]
-    assert _name_parts("db.t") == ["db", "t"]
+    assert name_parts("`spark_catalog`.`db`.`t.x`") == ["spark_catalog", "db", "t.x"]
+    assert name_parts("db.t") == ["db", "t"]
 
 
 def test_three_part_names(spark, edge, db):

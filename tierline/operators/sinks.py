@@ -26,7 +26,7 @@ DEFAULT_FORMAT = "parquet"
 VERSIONS = "_versions"
 
 
-def _quote(name: str) -> str:
+def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
@@ -34,12 +34,12 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     """``CREATE DATABASE IF NOT EXISTS [catalog.]database``; managed tables go
     below ``location``."""
     loc = f" LOCATION '{location}'" if location else ""
-    name = ".".join(_quote(p) for p in (catalog, database) if p)
+    name = ".".join(quoted(p) for p in (catalog, database) if p)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
     return database
 
 
-def _name_parts(table: str) -> list[str]:
+def name_parts(table: str) -> list[str]:
     """Split a dotted table name; dots inside backticks belong to the part."""
     parts, current, quoted = [], [], False
     for ch in table:
@@ -56,9 +56,9 @@ def _name_parts(table: str) -> list[str]:
 
 def new_version(spark: SparkSession, table: str) -> str:
     """A fresh folder for one version of a table, below its database's location."""
-    *where, name = _name_parts(table)
+    *where, name = name_parts(table)
     if where:
-        base = spark.catalog.getDatabase(".".join(_quote(p) for p in where)).locationUri
+        base = spark.catalog.getDatabase(".".join(quoted(p) for p in where)).locationUri
     else:
         base = spark.catalog.getDatabase(spark.catalog.currentDatabase()).locationUri
     return f"{base.rstrip('/')}/{VERSIONS}/{name}/{uuid.uuid4().hex}"
@@ -111,8 +111,8 @@ def point_at(spark: SparkSession, table: str, schema: StructType, path: str, fmt
             spark.catalog.refreshTable(table)
             return table
         spark.sql(f"DROP TABLE {table}")
-    columns = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in schema)
-    by = f" PARTITIONED BY ({', '.join(map(_quote, partition_by))})" if partition_by else ""
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+    by = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt}{by} LOCATION '{path}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {table}")
@@ -141,18 +141,18 @@ def remove_old_versions(spark: SparkSession, table: str, older_than_hours: float
 
 def _locations(spark: SparkSession, table: str) -> list[str]:
     """Folders that the tables of the same database, and their partitions, read."""
-    *where, _ = _name_parts(table)
-    database = ".".join(_quote(p) for p in where) or spark.catalog.currentDatabase()
+    *where, _ = name_parts(table)
+    database = ".".join(quoted(p) for p in where) or spark.catalog.currentDatabase()
     out = []
     for t in spark.catalog.listTables(database):
         if t.isTemporary or t.tableType == "VIEW":
             continue
-        name = f"{database}.{_quote(t.name)}"
+        name = f"{database}.{quoted(t.name)}"
         told = [spark.sql(f"DESCRIBE FORMATTED {name}")]
         if any(c.isPartition for c in spark.catalog.listColumns(name)):
             for r in spark.sql(f"SHOW PARTITIONS {name}").collect():
                 parts = [p.partition("=") for p in r[0].split("/")]
-                spec = ", ".join(f"{_quote(c)} = '{unquote(v)}'" for c, _, v in parts)
+                spec = ", ".join(f"{quoted(c)} = '{unquote(v)}'" for c, _, v in parts)
                 told.append(spark.sql(f"DESCRIBE FORMATTED {name} PARTITION ({spec})"))
         out += [r["data_type"].rstrip("/") for d in told for r in d.where("col_name = 'Location'").collect()]
     return out
@@ -171,7 +171,7 @@ def aligned_to(df: DataFrame, target: StructType) -> DataFrame:
     cols = []
     for f in target:
         src = source.get(f.name.lower())
-        expr = F.col(_quote(src)) if src is not None else F.lit(None)
+        expr = F.col(quoted(src)) if src is not None else F.lit(None)
         cols.append(expr.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
@@ -215,14 +215,26 @@ def append_evolving(df: DataFrame, table: str, fmt: str = DEFAULT_FORMAT) -> str
         raise TypeError(f"type differs from table {table} for columns {conflicts}")
     added = [f for f in df.schema if f.name.lower() not in current]
     if added:
-        ddl = ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in added)
+        ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl})")
         spark.catalog.refreshTable(table)
     return insert_by_name(df, table)
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = DEFAULT_FORMAT) -> str:
-    """Overwrite replaces data and schema; append may add columns."""
+def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = DEFAULT_FORMAT, stable_name: bool = False) -> str:
+    """Overwrite replaces data and schema; append may add columns.
+
+    With ``stable_name`` the table is the name of versions (:mod:`tierline.operators.versions`):
+    it is never absent while its columns change; append then takes known columns only.
+    """
+    if stable_name:
+        from tierline.operators.versions import insert_current, publish
+
+        if mode == "append":
+            return insert_current(df, table)
+        if mode == "overwrite":
+            publish(df, table, fmt)
+            return table
     if mode == "overwrite":
         return overwrite_table(df, table, fmt)
     if mode == "append":
@@ -258,5 +270,5 @@ def describe_table(spark: SparkSession, table: str) -> DataFrame:
 def show_tables(spark: SparkSession, database: str, include_temporary: bool = True) -> DataFrame:
     """``SHOW TABLES IN db``; like the SQL command it also lists session views
     unless ``include_temporary`` is off."""
-    out = spark.sql(f"SHOW TABLES IN {_quote(database)}")
+    out = spark.sql(f"SHOW TABLES IN {quoted(database)}")
     return out if include_temporary else out.where(~F.col("isTemporary"))

@@ -8,10 +8,13 @@ session; Spark parallelises inside each step.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators.batches import put_batch, read_batch
 from tierline.operators.gold import BAND, COUNT, KEY, gold_by_key_and_band, partials, sort_desc, window_totals, window_totals_of
@@ -24,8 +27,13 @@ from tierline.operators.sinks import (
     overwrite_table,
     replace_table_as,
 )
-from tierline.sources.feeds import read_feed, read_feed_inferred, read_layer
-from tierline.specs import CUSTOMERS, PRODUCTS, dataset_name, layer_table, spec_for
+from tierline.plans.ledger import Ledger
+from tierline.session import run_dir
+from tierline.sources.feeds import FILE_NAME, parse_lines, read_feed, read_feed_inferred, read_layer, read_lines
+from tierline.specs import CUSTOMERS, FEEDS, PRODUCTS, FeedSpec, dataset_name, layer_table, spec_for
+
+
+NO_FEED = "-"  # lines of files that belong to no feed
 
 
 @dataclass(frozen=True)
@@ -59,6 +67,31 @@ def ingest_bronze_checked(spark: SparkSession, path: str, file_name: str, target
     return ingest_with_rejects(spark, path, spec, target.table(file_name, "bronze"), target.table(file_name, "rejects"), max_share, target.fmt)
 
 
+def ingest_mixed(spark: SparkSession, path: str, target: Target, specs: Sequence[FeedSpec] = tuple(FEEDS.values())) -> dict[str, str]:
+    """A folder with files of several feeds -> a bronze table for each; returns ``{feed: table}``
+    and, as ``rejects``, the table of the lines that fit none.
+
+    The folder is scanned once, as lines, which are put aside by the feed whose
+    name their file's name contains; each feed's lines are then split by its own
+    schema. Lines of files of no feed, or with another number of fields, go to
+    the rejects with their file's name. A feed without files gives an empty table.
+    """
+    lines = read_lines(spark, path)
+    feed = F.lit(None).cast("string")
+    for spec in reversed(specs):  # the first that fits, as in spec_for
+        feed = F.when(F.lower(FILE_NAME).contains(spec.name.lower()), F.lit(spec.name)).otherwise(feed)
+    at = run_dir(spark, "mixed-lines", uuid.uuid4().hex[:12])
+    lines.withColumn("feed", F.coalesce(feed, F.lit(NO_FEED))).write.partitionBy("feed").parquet(at)
+    aside = spark.read.schema(f"{FILE_NAME} STRING, line STRING, feed STRING").parquet(at)
+    out, left = {}, aside.where(F.col("feed") == F.lit(NO_FEED)).select(FILE_NAME, "line")
+    for spec in specs:
+        parsed = parse_lines(aside.where(F.col("feed") == F.lit(spec.name)).drop("feed"), spec)
+        out[spec.name] = overwrite_table(parsed.where("rejected IS NULL").drop("rejected"), target.table(spec.name, "bronze"), target.fmt)
+        left = left.unionByName(parsed.where("rejected IS NOT NULL").select(FILE_NAME, F.col("rejected").alias("line")))
+    out["rejects"] = overwrite_table(left, target.table("mixed", "rejects"), target.fmt)
+    return out
+
+
 def build_silver(spark: SparkSession, dataset: str, target: Target) -> str:
     """``tab_<dataset>_bronze`` -> ``tab_<dataset>_silver``."""
     rule = {CUSTOMERS.name: silver_customers, PRODUCTS.name: silver_products}[spec_for(dataset).name]
@@ -78,7 +111,7 @@ def build_gold(spark: SparkSession, target: Target, dataset: str = CUSTOMERS.nam
 
 
 def run_layers(
-    spark: SparkSession, feeds: dict[str, str], target: Target, parallel: bool = True, precision: int = 10
+    spark: SparkSession, feeds: dict[str, str], target: Target, parallel: bool = True, precision: int = 10, ledger: str | None = None
 ) -> dict[str, str]:
     """Whole flow along the job graph: ``feeds`` maps file name -> path.
 
@@ -87,14 +120,23 @@ def run_layers(
     ``parallel`` they are submitted as concurrent Spark jobs from two driver
     threads (the cluster runs their tasks side by side); gold starts when
     every branch is done. Returns ``{'<dataset>_<layer>': table}``.
+
+    With ``ledger``, a folder that runs share, a flow that failed is called again
+    as it was and goes on where it failed: a step whose input and table are those
+    of its record isn't done twice (:mod:`tierline.plans.ledger`).
     """
     target.ensure(spark)
+    log = Ledger(spark, ledger) if ledger else None
+
+    def step(name: str, inputs: Callable[[], str], make: Callable[[], str]) -> str:
+        return log.run(f"{target.database}-{name}", inputs(), make) if log else make()
 
     def branch(file_name: str, path: str) -> dict[str, str]:
         name = dataset_name(file_name)
+        bronze, silver = f"{name}_bronze", f"{name}_silver"
         return {
-            f"{name}_bronze": ingest_bronze(spark, path, file_name, target),
-            f"{name}_silver": build_silver(spark, file_name, target),
+            bronze: step(bronze, lambda: log.of_files(path), lambda: ingest_bronze(spark, path, file_name, target)),
+            silver: step(silver, lambda: log.of_steps(f"{target.database}-{bronze}"), lambda: build_silver(spark, file_name, target)),
         }
 
     out: dict[str, str] = {}
@@ -107,7 +149,10 @@ def run_layers(
             out.update(branch(file_name, path))
     for file_name in feeds:
         if spec_for(file_name) is CUSTOMERS:
-            out[f"{dataset_name(file_name)}_gold"] = build_gold(spark, target, file_name, precision)
+            silver, gold = (f"{dataset_name(file_name)}_{layer}" for layer in ("silver", "gold"))
+            # gold is made of the silver table alone, but waits for all of them, as the job graph has it
+            made = lambda f=file_name: build_gold(spark, target, f, precision)
+            out[gold] = step(gold, lambda s=silver: log.of_steps(f"{target.database}-{s}") + f"/{precision}", made)
     return out
 
 

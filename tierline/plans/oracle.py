@@ -262,6 +262,14 @@ FROM lines""",
         monolith_silver("bronze"),
     )
     + WINDOW_GOLD,
+    "sink_stable_name": _with(PARTICIPATION, LATE, CUSTOMERS_SILVER)
+    + "SELECT * FROM customers_silver UNION ALL SELECT UUID, NULL, 250, NULL FROM late",
+    "mixed_folder": _with(PARTICIPATION)
+    + "SELECT 'customers' AS feed, UUID AS a, Name AS b, Points AS c FROM participation "
+    f"UNION ALL SELECT 'products', {PRODUCT_FEED}, p_type, p_name FROM part",
+    "scan_infer_once": _with(PARTICIPATION)
+    + "SELECT CAST(UUID AS INTEGER) AS UUID, Name, Points, TRUE AS has_source_file FROM participation",
+    "layers_resumed": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
     "monolith_end_to_end": _with(
         PARTICIPATION,
         f"bronze AS (SELECT CAST(UUID AS INTEGER) AS UUID, Name, Points FROM participation "

@@ -34,6 +34,7 @@ from tierline.functions.columns import (
 from tierline.functions.udf import first_name_arrow
 from tierline.operators import gold as G
 from tierline.operators.batches import put_batch
+from tierline.operators.landing import land_inferred
 from tierline.operators.silver import silver_customers, silver_monolith, silver_products
 from tierline.operators.sinks import (
     append_evolving,
@@ -44,6 +45,7 @@ from tierline.operators.sinks import (
     replace_table_as,
     save_table,
 )
+from tierline.operators.versions import current_version, publish
 from tierline.plans.flow import (
     Target,
     build_monolith_gold,
@@ -51,6 +53,7 @@ from tierline.plans.flow import (
     build_silver,
     ingest_bronze,
     ingest_bronze_checked,
+    ingest_mixed,
     ingest_monolith_bronze,
     load_batch,
     monolith_tables,
@@ -59,7 +62,7 @@ from tierline.plans.flow import (
     run_layers,
 )
 from tierline.session import run_dir
-from tierline.sources.derived import broken_feed, late_rows, participation, product_feed, staged_feed
+from tierline.sources.derived import broken_feed, late_rows, mixed_folder, participation, product_feed, staged_feed
 from tierline.sources.feeds import (
     FILE_MODIFIED,
     FILE_NAME,
@@ -471,6 +474,48 @@ def q_gold_by_batches(spark, sf_dir):
     return read_layer(spark, gold)
 
 
+def q_sink_stable_name(spark, sf_dir):
+    """One name over versions of other columns; late rows go into the version that it stands for."""
+    t = _target(spark, "sink_stable_name")
+    name = t.table("customers", "silver")
+    save_table(product_feed(spark, sf_dir), name, "overwrite", stable_name=True)
+    publish(_customers_silver(spark, sf_dir), name, based_on=current_version(spark, name))
+    late = late_rows(spark, sf_dir).select(F.col("UUID").alias("member_id"), to_int("Points").alias("points"))
+    save_table(late, name, "append", stable_name=True)
+    return read_layer(spark, name)
+
+
+def q_mixed_folder(spark, sf_dir):
+    """Both feeds in one folder: each line lands in its own feed's table, under its own columns."""
+    tables = ingest_mixed(spark, mixed_folder(spark, sf_dir), _target(spark, "mixed_folder"))
+    members = read_layer(spark, tables["customers"]).select(F.lit("customers").alias("feed"), F.col("UUID").alias("a"), F.col("Name").alias("b"), F.col("Points").alias("c"))
+    items = read_layer(spark, tables["products"]).toDF("a", "b", "c", FILE_NAME, INGESTED_AT).select(F.lit("products").alias("feed"), "a", "b", "c")
+    left = read_layer(spark, tables["rejects"]).select(F.lit("rejects").alias("feed"), F.col(FILE_NAME).alias("a"), F.col("line").alias("b"), F.lit(None).cast("string").alias("c"))
+    return members.unionByName(items).unionByName(left)
+
+
+def q_scan_infer_once(spark, sf_dir):
+    """Header names and inferred types from the one scan that lands the lines."""
+    t = _target(spark, "scan_infer_once")
+    table = t.table("customers", "bronze")
+    land_inferred(spark, staged_feed(spark, sf_dir, CUSTOMERS), table, t.table("customers_landed", "bronze"))
+    return _source_flag(read_layer(spark, table))
+
+
+def q_layers_resumed(spark, sf_dir):
+    """The whole flow, called again as it was: the second call finds every step done."""
+    t = _target(spark, "layers_resumed")
+    feeds = {"customers.csv": staged_feed(spark, sf_dir, CUSTOMERS), "products.csv": staged_feed(spark, sf_dir, PRODUCTS)}
+    ledger = run_dir(spark, "ledger", t.database)
+    first = run_layers(spark, feeds, t, ledger=ledger)
+    stamps = [read_layer(spark, x).select(F.max(INGESTED_AT)) for x in (first["customers_bronze"], first["customers_gold"])]
+    before = [s.first()[0] for s in stamps]
+    again = run_layers(spark, feeds, t, ledger=ledger)
+    if first != again or before != [s.first()[0] for s in stamps]:
+        raise ValueError("a finished step was done again")
+    return read_layer(spark, again["customers_gold"]).select(*GOLD_STABLE)
+
+
 def q_monolith_end_to_end(spark, sf_dir):
     """Folder -> bronze with inferred types -> inline insert -> silver without provenance -> gold."""
     t = _target(spark, "monolith_end_to_end")
@@ -562,6 +607,10 @@ INVENTORY: dict[str, str] = {
     "rebuild_after_insert": "C8",
     "batch_repeated": "R2",
     "gold_by_batches": "R3",
+    "sink_stable_name": "R4",
+    "mixed_folder": "R5",
+    "scan_infer_once": "R6",
+    "layers_resumed": "R7",
     "monolith_end_to_end": "S2 C5 C6 P6",
     "layers_two_files": "K7",
     "layers_end_to_end": "C9",

@@ -99,6 +99,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool) -> None:
+    """A small file. Without ``overwrite`` the file system fails if it exists, so of two writers one succeeds."""
+    fs, hpath = file_system(spark, path)
+    out = fs.create(hpath, overwrite)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, hpath = file_system(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def files_of(spark: SparkSession, path: str) -> str:
+    """Path, length and time of every file below ``path``; a folder's own time says little on object stores."""
+    fs, hpath = file_system(spark, path)
+    files, seen = fs.listFiles(hpath, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return "\n".join(sorted(seen))
+
+
 def stored(df: DataFrame, *parts: str) -> DataFrame:
     """``df`` written as parquet below this run's folder and read back.
 

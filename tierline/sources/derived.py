@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.session import file_system, run_dir, shared_dir
+from tierline.session import file_system, files_of, run_dir, shared_dir
 from tierline.specs import CUSTOMERS, PRODUCTS, FeedSpec
 
 # Bump when a derivation rule changes, so staged copies are not reused.
@@ -97,16 +97,6 @@ def derive_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | N
     raise ValueError(f"no derivation for feed {spec.name!r}")
 
 
-def _source_fingerprint(spark: SparkSession, path: str) -> str:
-    """Path, length and time of every file of a table; a folder's own time says little on object stores."""
-    fs, hpath = file_system(spark, path)
-    files, seen = fs.listFiles(hpath, True), []
-    while files.hasNext():
-        f = files.next()
-        seen.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
-    return "\n".join(sorted(seen))
-
-
 def write_feed(df: DataFrame, path: str, spec: FeedSpec) -> None:
     """Write a frame as a delimited feed folder (one header per part file).
 
@@ -150,7 +140,7 @@ def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | N
     """
     source = table_path(sf_dir, "events" if spec.name == CUSTOMERS.name else "part")
     digest = hashlib.sha1(
-        f"{DERIVATION_VERSION}|{spec.name}|{where}|{_source_fingerprint(spark, source)}".encode()
+        f"{DERIVATION_VERSION}|{spec.name}|{where}|{files_of(spark, source)}".encode()
     ).hexdigest()[:16]
     root = shared_dir(spark, "feeds", f"{spec.name}-{digest}")
     fs, hpath = file_system(spark, root)
@@ -168,3 +158,16 @@ def staged_feed(spark: SparkSession, sf_dir: str, spec: FeedSpec, where: str | N
     write_feed(derive_feed(spark, sf_dir, spec, where), f"{root}/{name}", spec)
     fs.create(file_system(spark, f"{root}/current/{name}")[1], True).close()
     return f"{root}/{name}"
+
+
+def mixed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One folder with the files of both feeds side by side (``customers-0.csv``, ``products-0.csv`` ..)."""
+    root = run_dir(spark, "mixed", uuid.uuid4().hex[:12])
+    for spec in (CUSTOMERS, PRODUCTS):
+        write_feed(derive_feed(spark, sf_dir, spec), f"{root}-{spec.name}", spec)
+        fs, made = file_system(spark, f"{root}-{spec.name}")
+        fs.mkdirs(file_system(spark, root)[1])
+        parts = sorted(str(s.getPath()) for s in fs.listStatus(made) if s.getPath().getName().startswith("part-"))
+        for i, part in enumerate(parts):
+            fs.rename(file_system(spark, part)[1], file_system(spark, f"{root}/{spec.name}-{i}.csv")[1])
+    return root

@@ -63,6 +63,31 @@ def read_feed_inferred(spark: SparkSession, path: str, sep: str = ";", with_prov
     return df.select("*", *extra) if extra else df
 
 
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_name, line) of every line of delimited files, whatever their layouts; each file's header is skipped.
+
+    Lines are split by the CSV source, which knows where a file begins in a
+    split; a separator that text doesn't hold keeps them whole. Blank lines are
+    skipped, as by every CSV read, and a quoted field may not go over its line.
+    """
+    options = {"sep": "\x01", "quote": "", "escape": "", "comment": "", "header": "true", "enforceSchema": "true"}
+    df = spark.read.schema(StructType([StructField("line", StringType())])).options(**options).csv(path)
+    return df.select(F.col("_metadata.file_name").alias(FILE_NAME), "line")
+
+
+def parse_lines(lines: DataFrame, spec: FeedSpec, line: str = "line", stamp_column: str | None = INGESTED_AT) -> DataFrame:
+    """Lines of one feed as its columns (by position), the other columns kept;
+    ``rejected`` is the line where its fields are not as many as the spec's, else NULL."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema) + ", `_line` STRING"
+    options = {k: v for k, v in spec.reader_options().items() if k != "header"} | {"columnNameOfCorruptRecord": "_line"}
+    fields = F.from_csv(F.col(line), schema, options)
+    kept = [F.col(f"`{c}`") for c in lines.columns if c != line]
+    extra = [stamp().alias(stamp_column)] if stamp_column else []
+    return lines.withColumn("_fields", fields).select(
+        *[F.col("_fields")[f.name].alias(f.name) for f in spec.schema], *kept, *extra, F.col("_fields")["_line"].alias("rejected")
+    )
+
+
 def preview_feed(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
     """Quick look: header names, every column a string, no inference pass."""
     return spark.read.options(sep=sep, header="true").csv(path)
