@@ -40,6 +40,16 @@ def test_any_text(text):
     assert token_counts.count_texts([text], WORD_VOCABULARY) == [len(library(WORDS, text))]
 
 
+def test_every_code_point():
+    """Letters and case newer than one library's tables are split as the vocabulary's library does."""
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = [" ".join(f"·{c}a" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    for path, lib in ((BYTE_VOCABULARY, BYTES), (WORD_VOCABULARY, WORDS)):
+        want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(b, "<u4").tolist() for b in bpe_codec.encode_texts(texts, path)] == want
+    assert token_counts.count_texts(texts, WORD_VOCABULARY) == [len(w) for w in want]
+
+
 def test_both_trees_merge_alike():
     v = load(BYTE_VOCABULARY)
     for word in ("unbelievable", "aaaaaaaaaaaaaaaa", "thththththin", "x"):

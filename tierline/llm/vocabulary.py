@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import regex
+from tokenizers import Tokenizer
 
 #: The splitting patterns of the two vocabulary kinds.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -18,6 +19,12 @@ WORD_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 #: Python counts these as white space, the vocabularies don't.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 CHUNK = re.compile(r"\s*\S+|\s+")
+#: Characters whose class and case are the same in every library's tables; what holds
+#: others is split by the vocabulary's own library.
+SETTLED = re.compile(
+    "[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f\u0386\u0388-\u038a\u038c\u038e-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u052f"
+    "\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef\uac00-\ud7a3]*"
+)
 
 
 def byte_characters() -> list[str]:
@@ -31,6 +38,7 @@ class Vocabulary:
     """Token ids, merge ranks and text splitting of one vocabulary file."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -51,7 +59,7 @@ class Vocabulary:
         keys = np.array(list(self.rank), np.int64)
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], np.array(list(self.rank.values()), np.int64)[order]
-        of_char = {c: b for b, c in enumerate(chars)}
+        of_char = self._of_char = {c: b for b, c in enumerate(chars)}
         self.token_bytes: list[bytes] = [b""] * self.size
         for token, i in ids.items():
             body = token.removesuffix(self.suffix) if self.suffix else token
@@ -83,10 +91,27 @@ class Vocabulary:
 
     def chunks(self, text: str) -> list[str]:
         """Pieces of a part whose words don't depend on what stands around them."""
+        if SEPARATORS.search(text):
+            return self.library_words(text)
         if self.lower:
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            return self.words.findall(text) if SEPARATORS.search(text) else text.split()
-        return self.words.findall(text) if SEPARATORS.search(text) else CHUNK.findall(text)
+            return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
+        return CHUNK.findall(text)
+
+    @functools.cached_property
+    def _library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def library_words(self, text: str) -> list[str]:
+        """Words as the vocabulary's own library normalizes and splits them."""
+        if self._library.normalizer:
+            text = self._library.normalizer.normalize_str(text)
+        return [bytes(self._of_char[c] for c in w).decode() for w, _ in self._library.pre_tokenizer.pre_tokenize_str(text)]
+
+    def words_of(self, chunk: str) -> list[str]:
+        if chunk.isascii() or SETTLED.fullmatch(chunk):
+            plain = chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha()
+            return [chunk] if plain else self.words.findall(chunk)
+        return self.library_words(chunk)
 
 
 @functools.lru_cache(maxsize=4)
@@ -141,7 +166,7 @@ class ByWord:
                 at = [k for k, x in enumerate(made) if x is None]
                 holes.append((c, made, at))
                 missing.update(map(c.__getitem__, at))
-        new = {c: self.words_of(c) for c in missing}
+        new = {c: v.words_of(c) for c in missing}
         unseen = [w for w in set().union(*new.values()) if w not in words]
         words.update(zip(unseen, self.make(unseen), strict=True))
         for c, of in new.items():
@@ -150,7 +175,3 @@ class ByWord:
             for k in at:
                 made[k] = chunks[c[k]]
         return out
-
-    def words_of(self, chunk: str) -> list[str]:
-        plain = chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha()
-        return [chunk] if plain else self.vocabulary.words.findall(chunk)
