@@ -32,6 +32,46 @@ def test_language_held_out(docs):
     assert np.mean(held) > 0.95
 
 
+def test_a_rare_language_is_learned_beside_a_large_one(spark):
+    common = [(i, " ".join(f"aw{i}x{j}" .translate(str.maketrans("0123456789", "bcdfghjklm")) for j in range(40)), "big") for i in range(400)]
+    rare = [(1000 + i, f"zup{c} qir{c} vol{c}", "small") for i, c in enumerate("abcde")]
+    df = spark.createDataFrame(common + rare, "doc_id long, text string, lang string")
+    model = language_id.fit(df, sample_docs=100, max_words=600)
+    assert model.languages == ["big", "small"] and all(w in model.words for w in ("zupa", "vole"))
+    assert language_id.Scorer(model).score(["zupa qirb volc", "zupx qirx"])[0][0] == "small"
+    assert sum(len(w) > 0 for w in model.words) <= 600
+
+
+def test_shares():
+    assert language_id.shares({"a": 5, "b": 100, "c": 1000}, 205) == {"a": 5, "b": 100, "c": 100}
+    assert language_id.shares({"a": 5, "b": 7}, 100) == {"a": 5, "b": 7}
+    assert language_id.shares({}, 100) == {}
+
+
+def test_scores_are_a_plain_sum(docs):
+    """Against the definition, word by word, with a small memory of chunks."""
+    model = language_id.fit(docs, sample_docs=150, max_words=2000)
+    scorer = language_id.Scorer(model, limit=500)
+    texts = [r.text or "" for r in docs.collect()][:60] + ["", "12 34", "it's Über-groß, x1y"]
+    for text, (lang, score) in zip(texts, scorer.score(texts), strict=True):
+        words = language_id.LETTERS.findall(text.lower())
+        if not words:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        total, chance = [0.0] * len(model.languages), [0.0] * len(model.languages)
+        for w in words:
+            logs = model.words.get(w)
+            if logs is None:
+                grams = next((g for n in range(model.longest, 0, -1) if (g := [model.grams[x] for i in range(len(w) + 3 - n) if (x := f"^{w}$"[i : i + n]) in model.grams])), None)
+                logs = [sum(g[k] for g in grams) / len(grams) for k in range(len(total))] if grams else [0.0] * len(total)
+            e = [np.exp(x - max(logs)) for x in logs]
+            for k in range(len(total)):
+                total[k] += logs[k]
+                chance[k] += e[k] / sum(e)
+        best = max(range(len(total)), key=lambda k: (round(total[k], 9), -k))
+        assert lang == model.languages[best] and score == pytest.approx(chance[best] / len(words))
+
+
 def test_language_by_hand():
     model = language_id.from_counts([("xx", "foo", 10), ("xx", "bar", 5), ("yy", "qux", 10), ("yy", "foo", 1)])
     (a, s), (b, _), (c, z), (d, _) = language_id.Scorer(model).score(["Foo foo 12", "quxx", "12 !", "fooz barz"])

@@ -7,8 +7,8 @@ to shorter ones. A text's language is the one of largest sum over its words
 that each gives this language.
 
 The model is fitted on a sample of about ``sample_docs`` labelled documents
-(drawn by a hash of their key), and holds at most ``max_words`` counts of words by
-language, so its size has a bound at any input; every text is scored whole.
+(drawn by a hash of their key) and holds at most ``max_words`` counts of words,
+both dealt out evenly over the languages, so its size has a bound at any input; every text is scored whole.
 Null texts and texts without a letter, and all texts if nothing was learned,
 are ``und`` with score 0. Rows and columns are kept, repeated rows score alike.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import append_columns, slices
+from tierline.llm.common import append_columns, slices, stored
 from tierline.llm.vocabulary import Recent
 
 UNKNOWN = "und"
@@ -48,7 +48,7 @@ class Model:
         for n in range(self.longest, 0, -1):
             found = [g for i in range(len(edged) - n + 1) if (g := self.grams.get(edged[i : i + n])) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return np.add.reduce(found) / len(found)
         return np.zeros(len(self.languages))
 
 
@@ -72,11 +72,28 @@ def from_counts(rows: list[tuple[str, str, int]], longest: int = 4, smooth: floa
     return Model(languages, logs(words) if words else {}, {k: v for of in grams if of for k, v in logs(of).items()}, longest)
 
 
+def shares(sizes: dict[str, int], total: int) -> dict[str, int]:
+    """``total`` dealt out so that each gets what it has, or else as much as any other that gets less than it has."""
+    out, left = {}, total
+    for i, k in enumerate(sorted(sizes, key=lambda k: (sizes[k], k))):
+        out[k] = min(sizes[k], left // (len(sizes) - i))
+        left -= out[k]
+    return out
+
+
 def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = 20_000, max_words: int = 150_000) -> Model:
-    """Learn from the rows of ``df`` whose text and language are known."""
-    rows = df.select(key, text, lang).where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    share = min(1.0, sample_docs / max(1, rows.count()))
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), key), F.lit(1 << 30)) < int(share * (1 << 30)))
+    """Learn from the rows of ``df`` whose text and language are known.
+
+    Documents and words are bounded by language, so a rare language is learned
+    from as many as a common one, or from all it has.
+    """
+    rows = df.select(key, text, F.col(lang).cast("string").alias("language")).where(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    sizes = {r[0]: r[1] for r in rows.groupBy("language").count().collect()}  # a row for each language
+    if not sizes:
+        return from_counts([])
+    part = {k: n / sizes[k] for k, n in shares(sizes, sample_docs).items()}
+    limit = F.create_map(*[F.lit(x) for k, p in part.items() for x in (k, int(p * (1 << 30)))])
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), key), F.lit(1 << 30)) < limit[F.col("language")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Counter] = defaultdict(Counter)
@@ -91,9 +108,17 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
                 names=["language", "word", "n"],
             )
 
-    counted = drawn.select(F.col(lang).cast("string"), text).mapInArrow(count, "language string, word string, n long")
-    often = counted.groupBy("language", "word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "language", "word").limit(max_words)
-    return from_counts([tuple(r) for r in often.collect()])
+    counted = drawn.select("language", text).mapInArrow(count, "language string, word string, n long")
+    counted = stored(counted.groupBy("language", "word").agg(F.sum("n").alias("n")), "words")
+    most = shares({r[0]: r[1] for r in counted.groupBy("language").count().collect()}, max_words)
+    kept = None
+    for language, n in sorted(most.items()):
+        own = counted.where(F.col("language") == F.lit(language)).orderBy(F.desc("n"), "word").limit(n)
+        kept = own if kept is None else kept.unionByName(own)
+    if kept is None:
+        return from_counts([])
+    found = kept.toArrow()
+    return from_counts(list(zip(*(found[c].to_pylist() for c in ("language", "word", "n")), strict=True)))
 
 
 class Scorer:
@@ -103,26 +128,24 @@ class Scorer:
         self.model, n = model, len(model.languages)
         self.rows = np.zeros((limit + 1, 2 * n + 1))  # by chunk: log frequencies, probabilities, words
         self.at = Recent(limit)
-        self.words: dict[str, np.ndarray] = {}
         self.limit = limit
 
-    def word(self, word: str) -> np.ndarray:
-        """A word's log frequencies, probabilities, and 1."""
-        out = self.words.get(word)
-        if out is None:
-            if len(self.words) >= self.limit:
-                self.words.clear()
-            logs = self.model.word(word)
-            p = np.exp(logs - logs.max())
-            out = self.words[word] = np.concatenate([logs, p / p.sum(), [1.0]])
+    def of_chunks(self, chunks: list[str]) -> np.ndarray:
+        """Sums over each chunk's words of their log frequencies, probabilities, and 1."""
+        words = [[c] if c.isalpha() else LETTERS.findall(c) for c in chunks]
+        size = np.array([len(w) for w in words], np.int64)
+        number: dict[str, int] = {}
+        flat = np.array([number.setdefault(w, len(number)) for own in words for w in own], np.int64)
+        n = len(self.model.languages)
+        logs = np.array([self.model.word(w) for w in number]).reshape(-1, n)
+        p = np.exp(logs - logs.max(axis=1, keepdims=True))
+        rows = np.hstack([logs, p / p.sum(axis=1, keepdims=True), np.ones((len(logs), 1))])
+        out = np.zeros((len(chunks), 2 * n + 1))
+        some = np.flatnonzero(size)
+        if len(some):
+            out[some] = np.add.reduceat(rows[flat], (np.cumsum(size) - size)[some])
         return out
 
-    def chunk(self, chunk: str) -> np.ndarray:
-        words = [chunk] if chunk.isalpha() else LETTERS.findall(chunk)
-        if len(words) == 1:
-            return self.word(words[0])
-        return sum(map(self.word, words), np.zeros(2 * len(self.model.languages) + 1))
-
     def score(self, texts: list[str]) -> list[tuple[str, float]]:
         n = len(self.model.languages)
         if not n:
@@ -134,9 +157,10 @@ class Scorer:
         new = [c for c in new if c not in self.at]
         if len(self.at) + len(new) >= len(self.rows):  # one run of very many words
             self.rows = np.zeros((len(self.at) + len(new) + 1, 2 * n + 1))
-        for c in new:
-            self.rows[len(self.at)] = self.chunk(c)
-            self.at[c] = len(self.at)
+        if new:
+            first = len(self.at)
+            self.rows[first : first + len(new)] = self.of_chunks(new)
+            self.at.update(zip(new, range(first, first + len(new)), strict=True))
         out = []
         for chunks in split:
             total = self.rows[np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))].sum(0)
