@@ -35,6 +35,27 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+def test_results_of_two_calls_stay_readable(spark):
+    one, two = (E.queries()["sink_overwrite"](spark, SF_SMALL) for _ in range(2))
+    assert one.count() == two.count() > 0
+
+
+def test_a_missing_library_leaves_the_other_queries(tmp_path):
+    """Without a library that only the training-text queries need, the entry still gives the others."""
+    import subprocess
+
+    code = (
+        "import sys, warnings\n"
+        "sys.modules['xxhash'] = sys.modules['tokenizers'] = None\n"
+        f"sys.path.insert(0, {str(ROOT)!r})\n"
+        "warnings.simplefilter('ignore')\n"
+        "import __spark_entry__ as E\n"
+        "print(len(E.queries()), len(E.oracle_sql()))\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, timeout=120)
+    assert out.stdout.split() == [str(len(SURVEY_KEYS))] * 2, out.stderr[-500:]
+
+
 def test_registry_covers_inventory():
     from tierline.plans.queries import INVENTORY
 

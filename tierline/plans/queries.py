@@ -81,26 +81,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # -- shared inputs ------------------------------------------------------------
 
-_MADE: dict[str, list[str]] = {}
+_MADE: list[str] = []
 
 
 def _target(spark: SparkSession, name: str) -> Target:
-    """A database for one call of one query, private to this application; the
-    query's database of an earlier call is dropped."""
+    """A database for one call of one query, private to this application; it stays
+    until :func:`drop_databases`, so results of earlier calls can still be read."""
     app = re.sub(r"[^a-z0-9_]", "_", spark.sparkContext.applicationId.lower())
-    of_query = _MADE.setdefault(f"{app}/{name}", [])
-    while of_query:
-        spark.sql(f"DROP DATABASE IF EXISTS {of_query.pop()} CASCADE")
     db = f"tl_{name}_{app}_{uuid.uuid4().hex[:6]}"
-    of_query.append(db)
+    _MADE.append(db)
     return Target(database=db, location=run_dir(spark, "warehouse", db)).ensure(spark)
 
 
 def drop_databases(spark: SparkSession) -> None:
     """Drop what the queries of this application wrote, once their results are read."""
-    for of_query in _MADE.values():
-        while of_query:
-            spark.sql(f"DROP DATABASE IF EXISTS {of_query.pop()} CASCADE")
+    while _MADE:
+        spark.sql(f"DROP DATABASE IF EXISTS {_MADE.pop()} CASCADE")
 
 
 def _monolith_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
