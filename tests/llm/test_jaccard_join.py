@@ -71,7 +71,7 @@ def test_all_pairs(spark, part_rows, bucket_tokens):
 
 def test_without_meeting(spark, monkeypatch):
     """What min-hash doesn't bring together is found through the matrix alone."""
-    monkeypatch.setattr(jaccard_join, "met", lambda classes, *_: classes.selectExpr("id AS a", "id AS b").where("false"))
+    monkeypatch.setattr(jaccard_join, "meetings", lambda classes, *_: classes.selectExpr("id AS a", "id AS b", "n", "n AS m", "128 AS agree").where("false"))
     rows = made(1)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, jaccard_join.link(df, part_rows=20).collect())) == brute_force(rows)
@@ -94,14 +94,42 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_prefix_is_enough():
-    """Two sets over the threshold share one of their first n - ceil(t n) + 1 tokens in any order."""
+    """Two sets over the threshold share LEAST of their first n - ceil(t n) + LEAST tokens in any order, or all that the smaller needs."""
     rng = np.random.default_rng(0)
-    for _ in range(300):
+    least, tried = jaccard_join.LEAST, 0
+    for _ in range(600):
         a = set(rng.choice(200, rng.integers(1, 60), replace=False).tolist())
         b = {x for x in a if rng.random() > 0.15} | set(rng.choice(200, rng.integers(1, 5)).tolist())
         if 100 * len(a & b) >= 75 * len(a | b):
-            first = [set(sorted(s)[: len(s) - -(-75 * len(s) // 100) + 1]) for s in (a, b)]
-            assert first[0] & first[1]
+            tried += 1
+            first = [set(sorted(s)[: len(s) - -(-75 * len(s) // 100) + least]) for s in (a, b)]
+            for s in (a, b):
+                assert len(first[0] & first[1]) >= min(least, -(-75 * len(s) // 100))
+    assert tried > 100
+
+
+def test_family_below_the_threshold(spark, monkeypatch):
+    """Edited copies that are alike by less than the threshold form few groups, so the matrix isn't a join of all with all."""
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    base = rnd.choices(words, k=400)
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for _ in range(10):
+            w[rnd.randrange(len(w))] = rnd.choice(words)
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(rnd.choices(words, k=60))) for i in range(60)]
+    kept = {}
+    real = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: kept.setdefault(name, real(df, name)) if name in ("groups", "matrix", "asked") else real(df, name))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.link(df, part_rows=50).collect())) == brute_force(rows)
+    family = kept["groups"].where("id < 1000")
+    assert family.select("g").distinct().count() <= 24
+    joined = kept["matrix"].groupBy("token").agg({"id": "count", "g": "approx_count_distinct"}).selectExpr("sum(`count(id)` * `approx_count_distinct(g)`) AS n").first().n
+    pairs = kept["matrix"].groupBy("token").count().selectExpr("sum(count * count) AS n").first().n
+    assert joined * 8 <= pairs
 
 
 def test_components(spark):

@@ -1,23 +1,27 @@
 """N-gram Jaccard join through a token-group matrix.
 
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words.
-Documents of one set are a class. Classes are partitioned into groups of similar
-ones: they meet by min-hash, are compared exactly with a few of those that they
-meet, in two turns, and what is linked forms a group. The token-group matrix has, for
-each token, the groups whose union of tokens has it; it is kept for the tokens
-that can make a difference only: if two sets reach the threshold, each has a
-token in common with the other among its rarest ``n - ceil(t n) + 1``. A class
-is a query against another group, if its own is the smaller, if the matrix has them share such a token, and
-if it can reach the threshold with a set of a size that the group has, and, for
-a group of up to ``FEW`` members, if signatures of 128 min-hashes don't rule them
-all out (a pair at the threshold would be ruled out with a chance of 1e-12). A
-group that is opened is still not compared with queries that have too few tokens in
-its union; of the others, members already linked with the query are passed over.
-
-No link between two sets is lost: only pairs that can't reach the threshold, or
-are linked by others, aren't compared. A group is opened in parts of at most
-``part_rows`` members. How rare a token is comes from a table of counters whose
-size has a bound; equal counts are ordered by hash.
+Documents of one set are a class. Classes meet by min-hash, in two turns, and
+are partitioned into groups of similar ones: each goes to the centre that most
+others have met among those that its signature agrees with by half, or stays
+alone. Those that look close enough are compared exactly at once, so most copies
+are linked before the join. The token-group matrix has, for each token, the
+groups whose union of tokens has it; it is kept for the rarest tokens only, for
+they decide: if two sets reach the threshold, each has ``LEAST`` tokens in common with
+the other among its rarest ``n - ceil(t n) + LEAST`` (fewer, if the sets are
+that small). A class is a query against another group, if its own is the
+smaller, if the matrix has the group's union share that many of these tokens with it, and
+if it can reach the threshold with a set of a size that the group has. Members
+of a group are queries against their own, but for the largest part of it that is linked
+already. A group that is opened is still not compared with queries that have too
+few tokens in its union; of the others, members already linked with the query
+are passed over.
+
+All bounds are exact, so only pairs that can't reach the threshold, or are
+linked by others, aren't compared; meetings only decide how much is left to do.
+A group is opened in parts of at most ``part_rows`` members and as many queries. How rare a
+token is comes from a table of counters whose size has a bound; equal counts are
+ordered by hash.
 
 Documents without words have an empty set, link with nothing and are their own
 component; so do null texts. Rows of one id are one document with the largest
@@ -26,7 +30,6 @@ of their sets by fingerprint. Rows with a null id are left out. An empty table g
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +47,8 @@ MEETINGS = 3
 CENTRES = 4
 TURNS = 2
 SIGNATURE = 128
-FEW = 16
+LEAST = 4  # tokens in common that the matrix must show
+ALIKE = 50  # percent of a signature that members of a group share with its centre
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -158,10 +162,11 @@ def described(docs: DataFrame, slots: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n long, print binary, meet array<long>, sign array<short>, part int, at binary, count binary")
 
 
-def met(classes: DataFrame, threshold: int, turn: int = 0) -> DataFrame:
-    """Pairs (a, b): each class with up to CENTRES others that have a min-hash in common, if they look similar enough.
+def meetings(classes: DataFrame, turn: int = 0) -> DataFrame:
+    """(a, b, n, m, agree): each class b with up to CENTRES others a that have a min-hash in common, their sizes, and
+    how many places of their signatures agree.
 
-    Those are the ones whose min-hashes most classes have, as the original of a
+    Those met are the ones whose min-hashes most classes have, as the original of a
     family of edited copies does; they are the same for all classes that meet,
     and others in another turn.
     """
@@ -175,8 +180,17 @@ def met(classes: DataFrame, threshold: int, turn: int = 0) -> DataFrame:
     left = classes.select("id", "n", "sign")
     right = classes.select(F.col("id").alias("_to"), F.col("n").alias("_n"), F.col("sign").alias("_sign"))
     pairs = pairs.join(left, "id").join(right, "_to")
-    alike = (100 * F.least("n", "_n") >= threshold * F.greatest("n", "_n")) & (100 * agreement("sign", "_sign") >= (threshold - 10) * SIGNATURE)
-    return pairs.where(alike).select(F.col("_to").alias("a"), F.col("id").alias("b"))
+    close = (100 * F.least("n", "_n") >= ALIKE * F.greatest("n", "_n"))
+    agree = agreement("sign", "_sign")
+    return pairs.where(close).select(F.col("_to").alias("a"), F.col("id").alias("b"), F.col("_n").alias("n"), F.col("n").alias("m"), agree.alias("agree")).where(100 * F.col("agree") >= ALIKE * SIGNATURE)
+
+
+def similar(classes: DataFrame, met: DataFrame) -> DataFrame:
+    """(id, g): the group of each class, named by its centre: of those met and of itself the one that most have met."""
+    crowd = met.groupBy("a").agg(F.count("*").alias("_c"))
+    rank = F.struct(F.coalesce("_c", F.lit(0)), -F.col("_to"), F.col("_to").alias("to"))
+    options = met.select(F.col("b").alias("id"), F.col("a").alias("_to")).union(classes.select("id", F.col("id").alias("_to")))
+    return options.join(crowd, F.col("_to") == F.col("a"), "left").groupBy("id").agg(F.max(rank)["to"].alias("g"))
 
 
 def compare(queries: list[tuple[int, np.ndarray]], members: list[tuple[int, np.ndarray]], threshold: int, known: dict[int, int]) -> list[tuple[int, int]]:
@@ -211,9 +225,8 @@ def compare(queries: list[tuple[int, np.ndarray]], members: list[tuple[int, np.n
     return out
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, slots: int = 1 << 25) -> DataFrame:
-    """(id, print, set) of the wanted ids and of few others. Marks in a table of
-    fixed size let most other texts be passed over."""
+def marked(ids: DataFrame, slots: int = 1 << 25) -> np.ndarray:
+    """A bit for the hash of each id: ``slots`` / 8 bytes. It lets most texts that aren't wanted be passed over."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Counters(slots)
@@ -222,15 +235,23 @@ def sets_of(docs: DataFrame, wanted: DataFrame, slots: int = 1 << 25) -> DataFra
         for part, at, n in own.parts():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.binary()), pa.array([n], pa.binary())], names=["part", "at", "n"])
 
-    marks = Counters.collected(wanted.select(F.xxhash64("id").alias("h")).mapInArrow(mark, Counters.schema), slots, lambda n: n > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(marks))  # slots / 8 bytes
+    return np.packbits(Counters.collected(ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, Counters.schema), slots, lambda n: n > 0))
+
+
+def asked_for(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
+    """Rows whose id, hashed in the third column, has a mark."""
+    at = slots_of(batch.column(2).to_numpy().view(np.uint64), 8 * len(bits))
+    return batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, print, set) of the wanted ids and of few others."""
+    shared = docs.sparkSession.sparkContext.broadcast(marked(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bits = Words(), shared.value
+        words = Words()
         for batch in batches:
-            at = slots_of(batch.column(2).to_numpy().view(np.uint64), slots)
-            asked = batch.filter(pa.array((bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
-            for some in runs(asked, 1):
+            for some in runs(asked_for(batch, shared.value), 1):
                 sets = [s.tobytes() for s in shingles(some.column(1).to_pylist(), words)]
                 prints = [xxhash.xxh3_128_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], names=["id", "print", "set"])
@@ -241,14 +262,19 @@ def sets_of(docs: DataFrame, wanted: DataFrame, slots: int = 1 << 25) -> DataFra
 def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: DataFrame, threshold: int, part_rows: int) -> DataFrame:
     """Links (a, b) between the queries (g, id, own) of each group and its members (g, id, own); ``own``: group before.
 
-    Queries and members go to the parts of the group; each gets its set there in one join.
+    Queries and members go to the parts of the group, in which each gets its set by one join; no
+    part has more than about ``part_rows`` of either.
     """
     members = stored(members.select("g", "id", "own"), "members")
     queries = stored(queries.select("g", "id", "own"), "queries")
     parts = members.groupBy("g").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
     dealt = members.join(parts, "g").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("asks", F.lit(False))
-    asked = queries.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
-    columns = ["g", "part", "id", "own", "asks"]
+    turns = queries.groupBy("g").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("turns"))
+    # a part of the members meets a part of the queries in a task of their own
+    dealt = dealt.join(turns, "g").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+    asked = queries.join(turns, "g").withColumn("turn", F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")).cast("int"))
+    asked = asked.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("asks", F.lit(True))
+    columns = ["g", "part", "turn", "id", "own", "asks"]
     rows = dealt.select(*columns).union(asked.select(*columns)).join(classes.select("id", "print"), "id")
     wanted = members.select("id").union(queries.select("id")).distinct()
     sets = sets_of(docs, wanted)
@@ -261,23 +287,23 @@ def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: Dat
         links = compare([x for x, a in zip(sets, asks, strict=True) if a], [x for x, a in zip(sets, asks, strict=True) if not a], threshold, known)
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    return rows.join(sets, ["id", "print"]).drop("print").groupBy("g", "part").applyInPandas(run, "a long, b long")
+    return rows.join(sets, ["id", "print"]).drop("print").groupBy("g", "part", "turn").applyInPandas(run, "a long, b long")
 
 
-def rare_tokens(docs: DataFrame, levels: np.ndarray, threshold: int, buckets: int) -> DataFrame:
-    """(token, id): for each document its rarest tokens that decide, if another set has them among its own."""
+def rare_tokens(docs: DataFrame, classes: DataFrame, levels: np.ndarray, threshold: int, buckets: int) -> DataFrame:
+    """(token, id): for a document of each class (and few others) its rarest tokens that decide, if another set has them among its own."""
     slots = len(levels)
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # at most 64 MB
+    shared = docs.sparkSession.sparkContext.broadcast((levels, marked(classes)))  # at most 64 MB and 4 MB
     bounds = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            for some in runs(batch, 1, 8 << 20):
+            for some in runs(asked_for(batch, shared.value[1]), 1, 8 << 20):
                 kept, owner = [], []
                 for i, s in enumerate(shingles(some.column(1).to_pylist(), words)):
-                    keep = len(s) - (threshold * len(s) + 99) // 100 + 1 if len(s) else 0
-                    rarity = (shared.value[slots_of(s, slots)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
+                    keep = len(s) - (threshold * len(s) + 99) // 100 + LEAST if len(s) else 0
+                    rarity = (shared.value[0][slots_of(s, slots)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                     s = s[np.argsort(rarity, kind="stable")[:keep]]
                     kept.append(s)
                     owner.append(np.full(len(s), i, np.int32))
@@ -306,20 +332,10 @@ def rare_tokens(docs: DataFrame, levels: np.ndarray, threshold: int, buckets: in
         many = np.append(same, False) | np.insert(same, 0, False) if len(token) else np.zeros(0, bool)
         return pd.DataFrame({"token": token[many].view(np.int64), "id": owner[many]})
 
-    sent = docs.mapInArrow(run, "bucket int, tokens binary, ids binary, at binary")
+    sent = docs.withColumn("h", F.xxhash64("id")).mapInArrow(run, "bucket int, tokens binary, ids binary, at binary")
     return sent.groupBy("bucket").applyInPandas(shared_only, "token long, id long")
 
 
-def least_agreement(threshold: int) -> int:
-    """So many places of two signatures agree, but for a chance of 1e-12, if the sets reach the threshold."""
-    p, below = threshold / 100, 0.0
-    for k in range(SIGNATURE + 1):
-        below += math.comb(SIGNATURE, k) * p**k * (1 - p) ** (SIGNATURE - k)
-        if below > 1e-12:
-            return k
-    return SIGNATURE
-
-
 def agreement(x, y):
     return F.size(F.filter(F.zip_with(x, y, lambda a, b: a == b), lambda same: same))
 
@@ -335,10 +351,13 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int
     linkable = by_id.where("n > 0")
     classes = stored(linkable.groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("meet").alias("meet"), F.first("sign").alias("sign")), "classes")
 
-    near, of = None, classes.select(F.col("id").alias("node"), F.col("id").alias("component"))
+    near, of, met = None, classes.select(F.col("id").alias("node"), F.col("id").alias("component")), None
     for turn in range(TURNS):  # what the first turn leaves apart meets other centres in the next
+        pairs = stored(meetings(classes, turn), "meetings")
+        met = pairs if met is None else met.unionByName(pairs)
+        alike = (100 * F.least("n", "m") >= threshold * F.greatest("n", "m")) & (100 * F.col("agree") >= (threshold - 10) * SIGNATURE)
         own = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"own_{c}"))  # noqa: B023, E731
-        pairs = met(classes, threshold, turn).join(own("a"), "a", "left").join(own("b"), "b", "left")
+        pairs = pairs.where(alike).select("a", "b").join(own("a"), "a", "left").join(own("b"), "b", "left")
         pairs = pairs.withColumns({f"own_{c}": F.coalesce(f"own_{c}", c) for c in "ab"})
         pairs = stored(pairs.where("own_a <> own_b"), "pairs")
         asking = pairs.select(F.col("a").alias("g"), F.col("a").alias("id"), F.col("own_a").alias("own")).distinct()
@@ -346,32 +365,31 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: int
         found = stored(opened(docs, classes, asking, answering, threshold, part_rows), "links")
         near = found if near is None else near.unionByName(found)
         of = components(near)
-    grouped = of.withColumnRenamed("component", "g")
+    linked = of.withColumnRenamed("node", "id").withColumnRenamed("component", "own")
+    grouped = similar(classes, met.select("a", "b").distinct())
     many = grouped.groupBy("g").agg(F.count("*").alias("m"))
-    sized = grouped.join(many, "g").withColumnRenamed("node", "id")
-    groups = classes.select("id", "n").join(sized, "id", "left").select("id", "n", F.coalesce("g", "id").alias("g"), F.coalesce("m", F.lit(1)).alias("m"))
-    groups = stored(groups, "groups")
+    groups = classes.select("id", "n").join(grouped, "id").join(many, "g").join(linked, "id", "left")
+    groups = stored(groups.select("id", "n", "g", "m", F.coalesce("own", "id").alias("own")), "groups")
 
     counted = told.where("part IS NOT NULL").select("part", "at", F.col("count").alias("n"))
     levels = Counters.collected(counted, slots, lambda n: np.minimum(255, np.ceil(np.log2(n + 1) * 8)))
-    rare = rare_tokens(docs, levels, threshold, max(1, -(-size // (24 * bucket_tokens))))
+    rare = rare_tokens(docs, classes, levels, threshold, max(1, -(-size // (24 * bucket_tokens))))
     entries = rare.join(groups, "id")  # one document of each class
     crossing = entries.groupBy("token").agg(F.min("g").alias("_lo"), F.max("g").alias("_hi")).where("_lo < _hi").select("token")
     entries = stored(entries.join(crossing, "token"), "matrix")
-    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("_low"), F.max("n").alias("_high"), F.first("m").alias("_m"))
-    smaller = F.struct("m", "own") < F.struct("_m", "g")
+    matrix = entries.groupBy("token", F.col("g").alias("_g")).agg(F.min("n").alias("_low"), F.max("n").alias("_high"), F.first("m").alias("_m"))
+    smaller = F.struct("m", "g") < F.struct("_m", "_g")
     can = (100 * F.col("n") >= threshold * F.col("_low")) & (100 * F.col("_high") >= threshold * F.col("n"))
-    asked = entries.withColumnRenamed("g", "own").join(matrix, "token").where(smaller & can).select("g", "id", "own").distinct()
-
-    # groups of few members: a query whose signature agrees with none of theirs can't reach the threshold
-    signs = groups.where(F.col("m") <= FEW).join(classes.select("id", "sign"), "id").groupBy("g").agg(F.collect_list("sign").alias("_signs"))
-    least = least_agreement(threshold)
-    might = F.col("_signs").isNull() | F.exists("_signs", lambda y: agreement(F.col("sign"), y) >= least)
-    asked = asked.join(classes.select("id", "sign"), "id").join(signs, "g", "left").where(might).select("g", "id", "own")
-    asked = stored(asked, "asked")
-    inside = groups.join(asked.select("g").distinct(), "g", "left_semi").withColumn("own", F.col("g"))
-    across = opened(docs, classes, asked, inside, threshold, part_rows)
-    final = components(near.unionByName(across))
+    shares = entries.join(matrix, "token").where(smaller & can).groupBy("_g", "id", "own", "n").agg(F.count("*").alias("_shared"))
+    least = F.least(F.lit(LEAST), F.ceil(F.col("n") * threshold / 100))
+    across = shares.where(F.col("_shared") >= least).select(F.col("_g").alias("g"), "id", "own")
+    # inside a group: what isn't linked with most of it
+    parts = groups.where("m > 1").groupBy("g", "own").agg(F.count("*").alias("_c"))
+    main = parts.groupBy("g").agg(F.max(F.struct("_c", "own"))["own"].alias("_main"))
+    within = groups.where("m > 1").join(main, "g").where("own <> _main").select("g", "id", "own")
+    asked = stored(across.unionByName(within), "asked")
+    inside = groups.join(asked.select("g").distinct(), "g", "left_semi")
+    final = components(near.unionByName(opened(docs, classes, asked, inside, threshold, part_rows)))
 
     named = classes.select("print", "id").join(final.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component"))
     return by_id.select("id", "n", "print").join(named, "print", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
