@@ -14,8 +14,10 @@ from tierline.llm import jaccard_join, language_id, packing, quality
 from tierline.llm.common import stored, table
 from tierline.llm.queries import WORD_VOCABULARY
 
-#: A text whose words speak less than this for any one language (chance among four) is rejected.
-LANGUAGE_SCORE = 0.25
+
+def least_score(languages: list[str]) -> float:
+    """A text whose words speak less for its language than chance among the learned ones is rejected."""
+    return 1 / max(1, len(languages))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +30,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a language that was learned."""
     model = language_id.fit(docs)
     known = language_id.identify(docs, model, lang="_lang_found", score="_lang_score")
-    return known.where((F.col("_lang_found") != language_id.UNKNOWN) & (F.col("_lang_score") >= LANGUAGE_SCORE)).select(*_names(docs))
+    enough = F.col("_lang_score") >= least_score(model.languages)
+    return known.where((F.col("_lang_found") != language_id.UNKNOWN) & enough).select(*_names(docs))
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
