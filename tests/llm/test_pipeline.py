@@ -45,8 +45,10 @@ def test_language_stage(spark, docs):
     everything = docs.unionByName(extra)
     got = P.language_stage(spark, everything, SF)
     assert got.columns == docs.columns
-    scorer = language_id.Scorer(language_id.fit(everything))
-    keep = [r for r in everything.collect() if scorer.score([r.text or ""])[0][0] != "und" and scorer.score([r.text or ""])[0][1] >= P.LANGUAGE_SCORE]
+    model = language_id.fit(everything)
+    scorer, least = language_id.Scorer(model), P.least_score(model.languages)
+    assert least == 1 / len({r.lang for r in everything.collect() if r.lang and r.text})
+    keep = [r for r in everything.collect() if scorer.score([r.text or ""])[0][0] != "und" and scorer.score([r.text or ""])[0][1] >= least]
     assert rows(got) == Counter(map(tuple, keep))
     assert len(keep) == docs.count()  # clean documents stay
 
