@@ -24,7 +24,7 @@ SURVEY_KEYS = {
     "bronze_products", "silver_products", "silver_monolith", "rebuild_after_insert", "monolith_end_to_end",
     "layers_two_files", "layers_end_to_end",
     # operations beside the survey's keys
-    "bronze_with_rejects", "batch_repeated", "gold_by_batches", "sink_stable_name", "mixed_folder", "scan_infer_once", "layers_resumed",
+    "bronze_with_rejects", "batch_repeated", "gold_by_batches", "sink_stable_name", "mixed_folder", "scan_infer_once", "layers_resumed", "gold_many_names",
 }
 
 
@@ -85,7 +85,7 @@ DOES = {
     "C9": "flow.run_layers",
     # beside the survey's list
     "R1": "rejects.ingest_with_rejects", "R2": "batches.put_batch", "R3": "flow.load_batch", "R4": "versions.publish",
-    "R5": "flow.ingest_mixed", "R6": "landing.land_inferred", "R7": "flow.run_layers",
+    "R5": "flow.ingest_mixed", "R6": "landing.land_inferred", "R7": "flow.run_layers", "R8": "gold.key_band_of_many_names",
 }
 
 

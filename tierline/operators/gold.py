@@ -94,6 +94,59 @@ def _key_band(silver: DataFrame, key: str, name: str, points: str, band: str) ->
     return _merged(_stats(silver, [key, band], key, points, name), [key, band], name)
 
 
+#: Bytes of a name that one decimal(38) holds in order, with room for a mark below them.
+HEAD = 14
+_HALF = 1 << 57  # seven bytes and the mark
+
+
+def _name_code(name: str) -> Column:
+    """A name as a number of the same order: its first ``HEAD`` bytes, and a mark if that isn't all of it.
+
+    A decimal has a place of its own in a hash aggregate's buffer, which a string hasn't.
+    """
+    raw = F.hex(F.encode(F.col(name), "UTF-8"))
+    head = F.rpad(F.substring(raw, 1, 2 * HEAD), 2 * HEAD, "0")
+    high, low = (F.conv(F.substring(head, 1 + HEAD * i, HEAD), 16, 10).cast("bigint") for i in (0, 1))
+    # a zero byte in a name would look like its end
+    more = ((F.octet_length(name) > HEAD) | F.contains(F.col(name), F.lit("\x00"))).cast("int")
+    return high.cast("decimal(19,0)") * F.lit(_HALF).cast("decimal(18,0)") + (low.cast("decimal(19,0)") * 2 + more)
+
+
+def _name_of_code(code: Column) -> Column:
+    """The name of an unmarked code."""
+    half = F.lit(_HALF).cast("decimal(18,0)")
+    rest = code % half
+    high, low = ((code - rest) / half).cast("bigint"), F.shiftright(rest.cast("bigint"), 1)
+    text = F.concat(*[F.lpad(F.hex(x), HEAD, "0") for x in (high, low)])
+    return F.decode(F.unhex(F.regexp_replace(text, "(00)+$", "")), "UTF-8")
+
+
+def key_band_of_many_names(silver: DataFrame, key: str = KEY, name: str = NAME, points: str = "points", band: str = BAND) -> DataFrame:
+    """:func:`_key_band` for keys that may have nearly as many names as rows.
+
+    Grouping by the name as well sends a row for each name of a key. Here names
+    become numbers of the same order, whose maximum a hash aggregate keeps by
+    key and band, so what is shuffled doesn't grow with the names. Only where
+    the largest number stands for longer names than it holds are those rows
+    read again, and the largest name taken among them alone.
+    """
+    coded = silver.withColumn("_code", _name_code(name))
+    p = F.col(points)
+    stats = stored(coded.groupBy(key, band).agg(
+        F.max("_code").alias("_code"), F.count(F.col(key)).alias("_n_key"), F.sum(p).alias("_sum"), F.count(p).alias("_n_pts"),
+        F.min(p).alias("_min"), F.max(p).alias("_max"),
+    ), "names")
+    cut = stats.where(F.col("_code") % 2 == 1).select(F.col(key).alias("_key"), F.col(band).alias("_band"), F.col("_code").alias("_most"))
+    rows = coded.where(F.col("_code") % 2 == 1).select(key, band, name, "_code")
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(band).eqNullSafe(F.col("_band")) & (F.col("_code") == F.col("_most"))
+    # the largest of the names that begin alike, by groups of their own first, as in _stats
+    names = rows.join(cut, same).groupBy(key, band, name).agg(F.count(F.lit(1)).alias("_c"))
+    names = names.groupBy(F.col(key).alias("_key"), F.col(band).alias("_band")).agg(F.max(name).alias("_long"))
+    out = stats.join(names, F.col(key).eqNullSafe(F.col("_key")) & F.col(band).eqNullSafe(F.col("_band")), "left")
+    whole = F.when(F.col("_code") % 2 == 0, _name_of_code(F.col("_code"))).otherwise(F.col("_long"))
+    return out.select(key, band, whole.alias("_name"), "_n_key", "_sum", "_n_pts", "_min", "_max")
+
+
 def gold_by_key_and_band(
     silver: DataFrame,
     key: str = KEY,
@@ -102,14 +155,16 @@ def gold_by_key_and_band(
     band: str = BAND,
     precision: int = 10,
     with_stamp: bool = True,
+    many_names: bool = False,
 ) -> DataFrame:
     """Customers gold at (key, band) grain: max name, count(key), sum,
     decimal average, min, max, band and a stamp.
 
     Plan: hash aggregate at (key, band, name) with map-side combine, then a
-    small merge to (key, band) that also takes the max name.
+    small merge to (key, band) that also takes the max name. With ``many_names``
+    nothing is grouped by the name (:func:`key_band_of_many_names`).
     """
-    m = _key_band(silver, key, name, points, band)
+    m = (key_band_of_many_names if many_names else _key_band)(silver, key, name, points, band)
     cols: list[Column | str] = [
         F.col(key).alias(KEY),
         F.col("_name").alias(NAME),

@@ -205,6 +205,12 @@ ORACLE: dict[str, str] = {
     # aggregates, join, windows, sort
     "agg_per_key": _with(PARTICIPATION, monolith_silver()) + PER_KEY,
     "gold_by_key_and_band": _with(PARTICIPATION, CUSTOMERS_SILVER) + GOLD,
+    "gold_many_names": _with(
+        PARTICIPATION.replace("CAST(user_id AS VARCHAR) END AS UUID,", "CAST(user_id AS VARCHAR) END AS UUID, event_id, user_id,"),
+        f"customers_silver AS (SELECT UUID AS member_id, (CASE WHEN user_id % 3 = 0 THEN 'M' ELSE 'Longer-than-a-code-' END) || event_id AS first_name, "
+        f"{POINTS_INT} AS points, {band_sql(f'({POINTS_INT})')} AS band FROM participation)",
+    )
+    + GOLD,
     "group_by_all": _with(PARTICIPATION, monolith_silver())
     + "SELECT UUID AS member_id, first_name_split AS first_name, band, COUNT(UUID) AS participations, "
     "CAST(SUM(points_int) AS BIGINT) AS total_points FROM monolith_silver GROUP BY ALL",

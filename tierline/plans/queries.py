@@ -62,7 +62,7 @@ from tierline.plans.flow import (
     run_layers,
 )
 from tierline.session import run_dir
-from tierline.sources.derived import broken_feed, late_rows, mixed_folder, participation, product_feed, staged_feed
+from tierline.sources.derived import OWN_NAMES, broken_feed, late_rows, mixed_folder, participation, product_feed, staged_feed
 from tierline.sources.feeds import (
     FILE_MODIFIED,
     FILE_NAME,
@@ -363,6 +363,14 @@ def q_gold_by_key_and_band(spark, sf_dir):
     return G.gold_by_key_and_band(_customers_silver(spark, sf_dir), with_stamp=False)
 
 
+def q_gold_many_names(spark, sf_dir):
+    """Gold where each event has a name of its own; for two members in three they are longer than a code holds."""
+    silver = participation(spark, sf_dir, names=OWN_NAMES).select(
+        F.col("UUID").alias(G.KEY), F.col("Name").alias(G.NAME), to_int("Points").alias("points"), band(to_int("Points")).alias(G.BAND)
+    )
+    return G.gold_by_key_and_band(silver, with_stamp=False, many_names=True)
+
+
 def q_group_by_all(spark, sf_dir):
     register_view(_monolith_silver(spark, sf_dir), "tl_monolith_silver_v")
     return G.group_by_all_sql(spark, "tl_monolith_silver_v")
@@ -607,6 +615,7 @@ INVENTORY: dict[str, str] = {
     "mixed_folder": "R5",
     "scan_infer_once": "R6",
     "layers_resumed": "R7",
+    "gold_many_names": "R8",
     "monolith_end_to_end": "S2 C5 C6 P6",
     "layers_two_files": "K7",
     "layers_end_to_end": "C9",

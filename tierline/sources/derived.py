@@ -54,7 +54,11 @@ PARTICIPATION_EXPRS = (
 )
 
 
-def participation(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
+#: A name for each event, short for every third member.
+OWN_NAMES = "concat(CASE WHEN user_id % 3 = 0 THEN 'M' ELSE 'Longer-than-a-code-' END, CAST(event_id AS STRING)) AS Name"
+
+
+def participation(spark: SparkSession, sf_dir: str, where: str | None = None, names: str = PARTICIPATION_EXPRS[1]) -> DataFrame:
     """Customers-feed stand-in from ``events``; every column is a string.
 
     The event id picks edge cases deterministically (no row is dropped):
@@ -62,7 +66,7 @@ def participation(spark: SparkSession, sf_dir: str, where: str | None = None) ->
     and NULL points, and the band boundary 2000.
     """
     ev = spark.read.schema(EVENTS_COLUMNS).parquet(table_path(sf_dir, "events"))
-    return (ev.where(where) if where else ev).selectExpr(*PARTICIPATION_EXPRS)
+    return (ev.where(where) if where else ev).selectExpr(PARTICIPATION_EXPRS[0], names, PARTICIPATION_EXPRS[2])
 
 
 def product_feed(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
