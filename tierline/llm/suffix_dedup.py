@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,9 @@ from tierline.llm.suffixes import ragged, suffix_orders
 WIDTH = 100
 MANY = 24  # different chunks in one suffix order
 CELL = 8  # windows of a chunk in a group that has more
-PIECE = 8 << 20
+PIECE = 1 << 17  # bytes whose hashes are made at once, so they stay in cache
 PLACE = 40  # bits of a place in a text
+MARKS = 1 << 26
 
 
 def seed_of(width: int) -> int:
@@ -53,14 +55,22 @@ def seed_of(width: int) -> int:
 
 def hashes(x: np.ndarray, k: int) -> np.ndarray:
     """64-bit hash of each run of ``k`` bytes."""
-    h = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    n = max(0, len(x) - k + 1)
+    if k < 8:
+        words, steps = x.astype(np.uint64), range(1, k)
+    else:  # eight bytes from each place on
+        words = np.ndarray((max(0, len(x) - 7),), "<u8", x.tobytes(), strides=(1,)).astype(np.uint64)
+        steps = [*range(8, k - 8, 8), k - 8]
+    words += np.uint64(1)
+    words *= np.uint64(0x9E3779B97F4A7C15)
+    words ^= words >> np.uint64(32)
+    h = words[:n].copy()
+    for i in steps:
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h += words[i : i + n]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(29)
-    length = 1
-    while length < k:
-        more = min(length, k - length)
-        h = h[:-more] * np.uint64(0xBF58476D1CE4E5B9) + h[more:] * np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(31)
-        length += more
     return h
 
 
@@ -85,7 +95,7 @@ class Seeds:
             reach = 1
             while reach < width - k + 1:
                 more = min(reach, width - k + 1 - reach)
-                low = np.minimum(low[:-more], low[more:])
+                low = np.minimum(low[:-more], low[more:], out=low[:-more])
                 reach += more
             seed = (low & np.uint64(0xFFFFFF)).astype(np.int64)
             ok = valid[a : a + len(seed)]
@@ -99,32 +109,53 @@ class Seeds:
 
 
 def slot_of(key: np.ndarray, slots: int) -> np.ndarray:
-    return (key >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
+    mixed = key * np.uint64(0x9E3779B97F4A7C15)  # a seed's own hash is a small one
+    return (mixed >> np.uint64(64 - (slots.bit_length() - 1))).astype(np.int64)
 
 
 def told(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (7 - (slot & 7)) & 1).astype(bool)
 
 
+def cuts(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The pieces of ``flat`` from each start on as byte strings."""
+    ends = np.append(0, np.cumsum(size))
+    out = np.empty(int(ends[-1]), np.uint8)
+    for i in range(0, len(start), 2048):  # the numbers of the bytes take eight times as much
+        out[ends[i] : ends[min(i + 2048, len(start))]] = flat[ragged(start[i : i + 2048], size[i : i + 2048])]
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
+
+
 class Tally:
-    """Occurrences by slot, in a table of fixed size; a task sends what it has in parts of 2^16."""
+    """Occurrences by slot of a table of fixed size; a task sends those that it has, in parts of 2^16 slots."""
 
     schema = "part int, at binary, n binary"
-    top = (1 << 16) - 1
 
-    def __init__(self, slots: int):
-        self.own = np.zeros(slots, np.uint16)
+    def __init__(self):
+        self.own: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
     def add(self, slot: np.ndarray) -> None:
         slot, n = np.unique(slot, return_counts=True)
-        self.own[slot] = np.minimum(self.own[slot] + n, self.top)
+        self.own.append((slot, n))
+        self.size += len(slot)
+        if self.size > 1 << 21:
+            self.merge()
+
+    def merge(self) -> None:
+        slot, at = np.unique(np.concatenate([s for s, _ in self.own]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([n for _, n in self.own])).astype(np.int64)
+        self.own, self.size = [(slot, n)], 0  # counted anew from here
 
     def sent(self) -> Iterator[pa.RecordBatch]:
-        for p in range(-(-len(self.own) >> 16)):
-            mine = self.own[p << 16 : (p + 1) << 16]
-            at = np.flatnonzero(mine)
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([mine[at].tobytes()], pa.binary())], names=["part", "at", "n"])
+        if self.own:
+            self.merge()
+            slot, n = self.own[0]
+            n = np.minimum(n, (1 << 16) - 1).astype(np.uint16)
+            part, at = slot >> 16, (slot & 0xFFFF).astype(np.uint16)
+            begin = np.flatnonzero(np.diff(part, prepend=-1))
+            for a, b in zip(begin.tolist(), np.append(begin[1:], len(part)).tolist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([part[a]], pa.int32()), pa.array([at[a:b].tobytes()], pa.binary()), pa.array([n[a:b].tobytes()], pa.binary())], names=["part", "at", "n"])
 
     @staticmethod
     def over(sent: DataFrame, slots: int, least: list[int]) -> list[np.ndarray]:
@@ -151,22 +182,24 @@ NAMES = [c.split(" ")[0] for c in CHUNKS.split(", ")]
 
 def batch_of(bucket, key, id_, tie, off, size, back, chunk) -> pa.RecordBatch:
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((bucket, key, id_, tie, off, size, back, chunk), kinds, strict=True)], names=NAMES)
+    return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip((bucket, key, id_, tie, off, size, back, chunk), kinds, strict=True)], names=NAMES)
 
 
-def collapsed(key, id_, tie, off, size, back, chunks: list[bytes], width: int, buckets: int) -> pa.RecordBatch:
+def collapsed(key, id_, tie, off, size, back, chunks: pa.Array, width: int, buckets: int) -> pa.RecordBatch:
     """Rows of chunks, the earliest of equal ones only; the others are spans to remove (no chunk, ``size`` in bytes)."""
-    first: dict = {}
     span, keep = np.zeros(len(key), bool), np.ones(len(key), bool)
-    keys = key.tolist()
-    for i in np.lexsort((off, tie, id_, key)).tolist():
-        j = first.setdefault((keys[i], chunks[i]), i)
+    order = np.lexsort((off, tie, id_, key))
+    same = np.diff(key[order]) == 0
+    first: dict = {}
+    for i in order[np.append(same, False) | np.append(False, same)].tolist():  # of keys that occur more than once
+        j = first.setdefault((key[i].item(), chunks[i].as_py()), i)
         if j != i:  # the same document again, or a repeat
             again = id_[i] == id_[j] and tie[i] == tie[j] and off[i] == off[j]
             keep[i], span[i] = not again, not again
     bucket = np.where(span, id_.view(np.uint64) % np.uint64(buckets), key.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
     at = np.flatnonzero(keep)
-    return batch_of(bucket[at], key[at], id_[at], tie[at], off[at], np.where(span, size + width - 1, size)[at], back[at], [None if span[i] else chunks[i] for i in at.tolist()])
+    chunks = pc.if_else(pa.array(span), pa.scalar(None, pa.binary()), chunks).take(pa.array(at))
+    return batch_of(bucket[at], key[at], id_[at], tie[at], off[at], np.where(span, size + width - 1, size)[at], back[at], chunks)
 
 
 def searched(rows: DataFrame, reps, run) -> DataFrame:
@@ -176,7 +209,7 @@ def searched(rows: DataFrame, reps, run) -> DataFrame:
         def own():
             for batch in batches:
                 own_slot = slot_of(batch.column(3).to_numpy().view(np.uint64), 8 * len(reps.value))
-                yield from runs(batch.filter(pa.array(told(reps.value, own_slot))), 2)
+                yield from runs(batch.filter(pa.array(told(reps.value, own_slot))), 2, 2 << 20)
 
         yield from run(own())
 
@@ -186,11 +219,11 @@ def searched(rows: DataFrame, reps, run) -> DataFrame:
 def removals(docs: DataFrame, reps, size: int, width: int, part_rows: int) -> tuple[DataFrame, list]:
     """Spans (id, tie, start, stop) of the texts (id, tie, text) that repeats cover, and what was broadcast for it."""
     sc = docs.sparkSession.sparkContext
-    slots = 1 << int(np.clip(np.ceil(np.log2(max(1, size / 8))), 16, 26))
+    slots = 1 << int(np.clip(np.ceil(np.log2(max(1, size / 3))), 16, 28))
     buckets = max(1, size // (5 << 20))
 
     def count(batches):
-        own = Tally(slots)
+        own = Tally()
         for some in batches:
             own.add(slot_of(Seeds([t.encode() for t in some.column(2).to_pylist()], width).key, slots))
         yield from own.sent()
@@ -200,11 +233,10 @@ def removals(docs: DataFrame, reps, size: int, width: int, part_rows: int) -> tu
             for some in batches:
                 s = Seeds([t.encode() for t in some.column(2).to_pylist()], width)
                 slot = slot_of(s.key, slots)
-                at = np.flatnonzero(told(often.value[0], slot) & (told(often.value[1], slot) == wanted))
+                here = told(often.value[0], slot)
+                at = np.flatnonzero(here & (told(often.value[1], slot) == wanted) if len(often.value) > 1 else here)
                 if len(at):
-                    raw = s.flat.tobytes()
-                    chunks = [raw[a:b] for a, b in zip(s.start[at].tolist(), (s.start + s.size + width - 1)[at].tolist(), strict=True)]
-                    text = s.text[at]
+                    chunks, text = cuts(s.flat, s.start[at], s.size[at] + width - 1), s.text[at]
                     id_, tie = some.column(0).to_numpy()[text], some.column(1).to_numpy()[text]
                     yield collapsed(s.key[at].view(np.int64), id_, tie, s.start[at] - s.firsts[text], s.size[at], s.back[at], chunks, width, buckets)
 
@@ -212,31 +244,45 @@ def removals(docs: DataFrame, reps, size: int, width: int, part_rows: int) -> tu
 
     rows, run = searched(docs, reps, count)
     bits = Tally.over(rows.mapInArrow(run, Tally.schema), slots, [2, part_rows + 1])
-    often = sc.broadcast(bits)  # slots / 4 bytes
+    many = bits[1].any()  # seeds that may fill a task
+    often = sc.broadcast(bits if many else bits[:1])  # slots / 8 bytes each, 32 MB at most
     rows, run = searched(docs, reps, cut(False))
     chunks = rows.mapInArrow(run, CHUNKS)
-    if bits[1].any():  # seeds that may fill a task
+    if many:  # cut finer until none does
         rows, run = searched(docs, reps, cut(True))
-        full = stored(rows.mapInArrow(run, CHUNKS), "full")
-        hot = full.where("chunk IS NOT NULL").groupBy("key").count().where(F.col("count") > part_rows).select("key")
-        chunks = chunks.unionByName(full.where("chunk IS NULL"))
-        full = full.where("chunk IS NOT NULL")
-        chunks = chunks.unionByName(full.join(hot, "key", "left_anti").select(*NAMES))
-        chunks = chunks.unionByName(full.join(hot, "key", "left_semi").select(*NAMES).mapInArrow(lambda b: windows(b, width, buckets), CHUNKS))
+        full = rows.mapInArrow(run, CHUNKS)
+        for cell in (CELL, 1, None):
+            full = stored(full, "full")
+            chunks = chunks.unionByName(full.where("chunk IS NULL"))
+            full = full.where("chunk IS NOT NULL")
+            if cell is None:  # equal windows only, as many as tasks
+                chunks = chunks.unionByName(full)
+                break
+            hot = full.groupBy("key").count().where(F.col("count") > part_rows).select("key")
+            chunks = chunks.unionByName(full.join(hot, "key", "left_anti").select(*NAMES))
+            full = full.join(hot, "key", "left_semi").select(*NAMES).mapInArrow(lambda b, c=cell: cells(b, c, width, buckets), CHUNKS)
     return chunks.groupBy("bucket").applyInArrow(lambda t: repeats(t, width), "id long, tie long, start long, stop long"), [often]
 
 
-def windows(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Chunks cut into their windows, dealt out by what they hold."""
+def cells(batches: Iterator[pa.RecordBatch], cell: int, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Chunks cut into parts of up to ``cell`` windows, dealt out by the bytes that the windows of a part have in common."""
     for batch in batches:
-        _, _, id_, tie, off, size, _, chunks = (batch.column(i) for i in range(8))
-        size = size.to_numpy().astype(np.int64)
-        own = [c[i : i + width] for c, n in zip(chunks.to_pylist(), size.tolist(), strict=True) for i in range(n)]
-        of = np.repeat(np.arange(len(size)), size)
-        place = off.to_numpy()[of] + ragged(np.zeros(len(size), np.int64), size)
-        key = hashes(np.frombuffer(b"".join(own), np.uint8), width)[::width].view(np.int64) if own else np.zeros(0, np.int64)
-        one = np.ones(len(own), np.int64)
-        yield collapsed(key, id_.to_numpy()[of], tie.to_numpy()[of], place, one, one * 0, own, width, buckets)
+        for some in runs(batch, 7, 1 << 20):
+            _, _, id_, tie, off, size, back, chunks = (some.column(i) for i in range(8))
+            own = [(i, *part) for i, (n, m, c) in enumerate(zip(size.to_pylist(), back.to_pylist(), chunks.to_pylist(), strict=True)) for part in parted(n, m, c, cell, width)]
+            of, a, n, m = (np.array([x[k] for x in own], np.int64) for k in (0, 2, 3, 4))
+            key = np.array([xxhash.xxh3_64_intdigest(x[1]) for x in own], np.uint64).view(np.int64)
+            chunk = pa.array([x[5] for x in own], pa.binary())
+            yield collapsed(key, id_.to_numpy()[of], tie.to_numpy()[of], off.to_numpy()[of] + a, n, m, chunk, width, buckets)
+
+
+def parted(size: int, back: int, chunk: bytes, cell: int, width: int) -> Iterator[tuple[bytes, int, int, int, bytes]]:
+    """(what its windows share, first window, windows, place of the seed, bytes) of each part of a chunk:
+    the windows whose seed is k * cell bytes or more in, but under (k + 1) * cell."""
+    for k in range((back - size + 1) // cell, back // cell + 1):
+        a, b = max(0, back - (k + 1) * cell + 1), min(size, back - k * cell + 1)
+        core = chunk[back - k * cell : back - (k + 1) * cell + 1 + width]
+        yield k.to_bytes(4, "little", signed=True) + core, a, b - a, back - a, chunk[a : b - 1 + width]
 
 
 def united(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,66 +300,90 @@ def repeats(table: pa.Table, width: int) -> pa.Table:
     texts, text = np.unique(ids, axis=0, return_inverse=True)  # in order of id and tie
     place = (text.ravel().astype(np.int64) << PLACE) + columns["off"]
     chunks = table["chunk"].to_pylist()
-    begin, end, groups = [], [], {}
+    groups, spans, ready = {}, Spans(), Ready(width)
     order = np.lexsort((place, columns["key"])).tolist()
     keys, sizes, backs, places = (x.tolist() for x in (columns["key"], columns["size"], columns["back"], place))
     for i in order:
         if chunks[i] is None:
-            begin.append(places[i])
-            end.append(places[i] + sizes[i])
+            spans.add(places[i], places[i] + sizes[i])
         else:
             groups.setdefault(keys[i], []).append((places[i], sizes[i], backs[i], chunks[i]))
-    ready: list[list[tuple[int, int, bytes]]] = []
-    for members in groups.values():
-        divide(members, 0, width, ready, begin, end)
-    found = earlier(ready, width)
-    start, stop = united(np.concatenate([np.array(begin, np.int64), found]), np.concatenate([np.array(end, np.int64), found + width]))
+    del chunks, order, keys, sizes, backs, places
+    while groups:
+        divide(groups.popitem()[1], 0, width, ready, spans)
+    for found in ready.end():
+        spans.arrays.append((found, found + width))
+    start, stop = spans.all()
     mask = (1 << PLACE) - 1
     own = texts[start >> PLACE] if len(start) else np.zeros((0, 2), np.int64)
     return pa.table({"id": own[:, 0], "tie": own[:, 1], "start": start & mask, "stop": (start & mask) + (stop - start)})
 
 
-def divide(members: list[tuple[int, int, int, bytes]], cell: int, width: int, ready: list, begin: list, end: list) -> None:
+class Spans:
+    """Ranges, put together from time to time."""
+
+    def __init__(self):
+        self.begin, self.end, self.arrays = [], [], []
+
+    def add(self, begin: int, end: int) -> None:
+        self.begin.append(begin)
+        self.end.append(end)
+        if len(self.begin) > 100_000:
+            self.arrays = [self.all()]
+            self.begin, self.end = [], []
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        own = [*self.arrays, (np.array(self.begin, np.int64), np.array(self.end, np.int64))]
+        return united(*(np.concatenate([x[i] for x in own]) for i in (0, 1)))
+
+
+class Ready:
+    """Groups of chunks that wait for their suffix order; many are put in order at once."""
+
+    def __init__(self, width: int, batch: int = 3 << 19):
+        self.width, self.batch, self.groups, self.size, self.found = width, batch, [], 0, []
+
+    def add(self, group: list[tuple[int, int, bytes]]) -> None:
+        self.groups.append(group)
+        self.size += sum(len(c) for *_, c in group)
+        if self.size >= self.batch:
+            self.run()
+
+    def run(self) -> None:
+        self.found.append(earlier(self.groups, self.width))
+        self.groups, self.size = [], 0
+
+    def end(self) -> list[np.ndarray]:
+        if self.groups:
+            self.run()
+        return self.found
+
+
+def divide(members: list[tuple[int, int, int, bytes]], cell: int, width: int, ready: Ready, spans: Spans) -> None:
     """Chunks (place, windows, place of the seed, bytes) of one seed, by place: equal ones become one, and
     if there are too many different ones, those of ``CELL`` windows (then of one) that share what these have in common."""
     different: dict[bytes, tuple[int, int, int, bytes]] = {}
     for m in members:
         if different.setdefault(m[3], m) is not m and different[m[3]][0] != m[0]:
-            begin.append(m[0])
-            end.append(m[0] + m[1] + width - 1)
+            spans.add(m[0], m[0] + m[1] + width - 1)
     rest = list(different.values())
     if len(rest) < 2:
         return
     if len(rest) <= MANY:
-        ready.append([(p, n, c) for p, n, _, c in rest])
+        ready.add([(p, n, c) for p, n, _, c in rest])
         return
     cell = 1 if cell else CELL
     parts: dict = {}
     for p, n, back, c in rest:
-        for k in range((back - n + 1) // cell, back // cell + 1):  # windows whose seed is k * cell bytes or more in, but under (k + 1) * cell
-            a, b = max(0, back - (k + 1) * cell + 1), min(n, back - k * cell + 1)
-            core = c[back - k * cell : back - (k + 1) * cell + 1 + width]
-            parts.setdefault((k, core), []).append((p + a, b - a, back - a, c[a : b - 1 + width]))
+        for core, a, m, at, part in parted(n, back, c, cell, width):
+            parts.setdefault(core, []).append((p + a, m, at, part))
     for own in parts.values():
         if len(own) > 1:
-            divide(own, cell, width, ready, begin, end)
+            divide(own, cell, width, ready, spans)
 
 
-def earlier(groups: list[list[tuple[int, int, bytes]]], width: int, batch: int = 4 << 20) -> np.ndarray:
+def earlier(groups: list[list[tuple[int, int, bytes]]], width: int) -> np.ndarray:
     """Places of the windows for which their group has an equal one at a smaller place."""
-    out, some, size = [np.zeros(0, np.int64)], [], 0
-    for g in sorted(groups, key=lambda g: sum(len(c) for *_, c in g)):
-        some.append(g)
-        size += sum(len(c) for *_, c in g)
-        if size >= batch:
-            out.append(_earlier(some, width))
-            some, size = [], 0
-    if some:
-        out.append(_earlier(some, width))
-    return np.concatenate(out)
-
-
-def _earlier(groups: list[list[tuple[int, int, bytes]]], width: int) -> np.ndarray:
     # a text for each group: its chunks, each followed by 1, and a 0; bytes count from 2 on
     many = np.array([len(g) for g in groups])
     place, count = (np.array([m[i] for g in groups for m in g], np.int64) for i in (0, 1))
@@ -345,7 +415,7 @@ def _earlier(groups: list[list[tuple[int, int, bytes]]], width: int) -> np.ndarr
     return np.sort(own[own > least])
 
 
-def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, part_rows: int = 20_000) -> DataFrame:
+def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, part_rows: int = 200_000) -> DataFrame:
     """(id, text, spans) of every row: ``spans`` are the (start, stop) in bytes that are to go, in order, none touching another."""
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
@@ -356,21 +426,14 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = W
     known = stored(docs.select("id", "tie", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("sha")), "texts")
     total = known.agg(F.sum("n")).first()[0] or 0
     firsts = stored(known.groupBy("sha").agg(F.min(F.struct("id", "tie")).alias("_f")).select("sha", "_f.id", "_f.tie"), "firsts")
-    slots = 1 << 26
-
-    def mark(batches):
-        own = Tally(slots)
-        for batch in batches:
-            own.add(slot_of(batch.column(0).to_numpy().view(np.uint64), slots))
-        yield from own.sent()
-
-    reps = spark.sparkContext.broadcast(Tally.over(firsts.select(F.xxhash64("id", "tie")).mapInArrow(mark, Tally.schema), slots, [1])[0])  # 8 MB
+    reps = spark.sparkContext.broadcast(marked(firsts))
     spans, sent = removals(docs.select("id", "tie", "text"), reps, total, width, part_rows)
     spans = stored(spans, "spans")
     for b in (reps, *sent):
         b.destroy()
     copies = known.join(firsts.select("sha", F.col("id").alias("_first")), "sha").where(F.col("id") > F.col("_first"))
     spans = spans.unionByName(copies.select("id", "tie", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")).distinct())
+    touched = spark.sparkContext.broadcast(marked(spans.select("id", "tie")))
     lists = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,8 +448,29 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = W
             own = pa.StructArray.from_arrays([pa.array(start), pa.array(stop)], fields=list(kind.value_type))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), own)], names=["id", "text", "spans"])
 
-    searched_ = docs.join(lists, ["id", "tie"], "left").select("id", "text", "_spans").mapInArrow(unite, "id long, text string, spans array<struct<start:long,stop:long>>")
-    return searched_.unionByName(short)
+    def reached(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                slot = slot_of(batch.column(3).to_numpy().view(np.uint64), MARKS)
+                yield batch.filter(pa.array(told(touched.value, slot) == wanted))
+
+        return docs.select("id", "tie", "text", F.xxhash64("id", "tie").alias("_h")).mapInArrow(run, "id long, tie long, text string, _h long")
+
+    # most texts without a span needn't move
+    cut = reached(True).join(lists, ["id", "tie"], "left").select("id", "text", "_spans").mapInArrow(unite, "id long, text string, spans array<struct<start:long,stop:long>>")
+    return cut.unionByName(reached(False).select("id", "text", none.alias("spans"))).unionByName(short)
+
+
+def marked(texts: DataFrame) -> np.ndarray:
+    """A bit for the hash of each text (id, tie): MARKS / 8 bytes."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Tally()
+        for batch in batches:
+            own.add(slot_of(batch.column(0).to_numpy().view(np.uint64), MARKS))
+        yield from own.sent()
+
+    return Tally.over(texts.select(F.xxhash64("id", "tie")).mapInArrow(mark, Tally.schema), MARKS, [1])[0]
 
 
 def kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -398,7 +482,7 @@ def kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, raw[at:]])
 
 
-def report(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, part_rows: int = 20_000) -> DataFrame:
+def report(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, part_rows: int = 200_000) -> DataFrame:
     """Per document its bytes, what is removed, and a digest of the rest."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,15 +29,16 @@ def grouped(symbols: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> tuple
     n = len(symbols)
     text = np.repeat(np.arange(len(sizes)), sizes)
     key = text * (int(symbols.max()) + 1) + symbols
-    order = np.argsort(key, kind="stable")
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
+    order = np.argsort(key, kind="stable").astype(np.int32)
     begins = np.flatnonzero(np.diff(key[order], prepend=-1))
-    size_at = np.zeros(n, np.int64)
+    del text, key
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n)
+    size_at = np.zeros(n, np.int32)
     size_at[begins] = np.diff(begins, append=n)
-    group = np.empty(n, np.int64)
+    group = np.empty(n, np.int32)
     group[order] = np.repeat(begins, size_at[begins])
-    before = np.arange(-1, n - 1)
+    before = np.arange(-1, n - 1, dtype=np.int32)
     before[firsts] = -1
     marked = np.zeros(n, bool)
 
@@ -95,11 +96,11 @@ def suffix_orders(symbols: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) ->
     """
     group, before = grouped(symbols, firsts, sizes)
     n = len(symbols)
-    order = np.empty(n, np.int64)
+    order = np.empty(n, np.int32)
     order[firsts] = firsts + sizes - 1
     given = np.zeros(n, bool)
     given[firsts + sizes - 1] = True
-    free = np.arange(n)  # the next free place of the group that begins here
+    free = np.arange(n, dtype=np.int32)  # the next free place of the group that begins here
     by_size = np.argsort(-sizes, kind="stable")
     firsts, sizes = firsts[by_size], sizes[by_size]
     count = len(sizes)
