@@ -46,7 +46,7 @@ SHINGLE = 5
 MEETINGS = 3
 CENTRES = 4
 TURNS = 2
-SIGNATURE = 128
+SIGNATURE = 64
 LEAST = 4  # tokens in common that the matrix must show
 ALIKE = 50  # percent of a signature that members of a group share with its centre
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -95,7 +95,8 @@ class Counters:
 
     def add(self, slots: np.ndarray) -> None:
         if len(slots):
-            self.own += np.bincount(slots, minlength=len(self.own)).astype(np.uint32)
+            at, n = np.unique(slots, return_counts=True)
+            self.own[at] += n.astype(np.uint32)
 
     def parts(self) -> Iterator[tuple[int, bytes, bytes]]:
         for p in range(-(-len(self.own) >> 16)):
@@ -229,11 +230,15 @@ def marked(ids: DataFrame, slots: int = 1 << 25) -> np.ndarray:
     """A bit for the hash of each id: ``slots`` / 8 bytes. It lets most texts that aren't wanted be passed over."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Counters(slots)
+        own = np.zeros(slots // 8, np.uint8)  # a bit each
         for batch in batches:
-            own.add(slots_of(batch.column(0).to_numpy().view(np.uint64), slots))
-        for part, at, n in own.parts():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at], pa.binary()), pa.array([n], pa.binary())], names=["part", "at", "n"])
+            at = np.unique(slots_of(batch.column(0).to_numpy().view(np.uint64), slots))
+            np.bitwise_or.at(own, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+        for part in range(-(-slots >> 16)):
+            at = np.flatnonzero(np.unpackbits(own[part << 13 : (part + 1) << 13]))
+            if len(at):
+                n = np.ones(len(at), np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["part", "at", "n"])
 
     return np.packbits(Counters.collected(ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, Counters.schema), slots, lambda n: n > 0))
 
