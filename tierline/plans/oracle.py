@@ -224,18 +224,12 @@ ORACLE: dict[str, str] = {
     "window_totals": _with(PARTICIPATION, monolith_silver()) + WINDOW_GOLD,
     "gold_window": _with(PARTICIPATION, monolith_silver()) + WINDOW_GOLD,
     "window_each_aggregate": _with(PARTICIPATION, monolith_silver())
-    + f"""SELECT UUID, first_name_split, points_int, key_first_name, key_participations, key_total_points,
-       {dec_avg('s', 'c')} AS key_avg_points, key_min_points, key_max_points
-FROM (
-  SELECT UUID, first_name_split, points_int,
-         MAX(first_name_split) OVER (PARTITION BY UUID) AS key_first_name,
-         COUNT(UUID) OVER (PARTITION BY UUID) AS key_participations,
-         CAST(SUM(points_int) OVER (PARTITION BY UUID) AS BIGINT) AS key_total_points,
-         CAST(SUM(points_int) OVER (PARTITION BY UUID) AS BIGINT) AS s,
-         COUNT(points_int) OVER (PARTITION BY UUID) AS c,
-         MIN(points_int) OVER (PARTITION BY UUID) AS key_min_points,
-         MAX(points_int) OVER (PARTITION BY UUID) AS key_max_points
-  FROM monolith_silver) w""",
+    + f"""SELECT r.UUID, r.first_name_split, r.points_int, t.* EXCLUDE (of_key)
+FROM monolith_silver r JOIN (
+  SELECT UUID AS of_key, COUNT(UUID) AS key_participations, MIN(points_int) AS key_min_points, MAX(points_int) AS key_max_points,
+         SUM(points_int)::BIGINT AS key_total_points, {dec_avg('SUM(points_int)::BIGINT', 'COUNT(points_int)')} AS key_avg_points,
+         MAX(first_name_split) AS key_first_name
+  FROM monolith_silver GROUP BY ALL) t ON r.UUID IS NOT DISTINCT FROM t.of_key""",
     "sort_desc_alias": _validation(order=True),
     # composite flows
     "bronze_customers": _with(PARTICIPATION) + "SELECT UUID, Name, Points, TRUE AS has_source_file FROM participation",
