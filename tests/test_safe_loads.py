@@ -327,3 +327,17 @@ def test_a_failed_flow_goes_on_where_it_failed(spark, target, tmp_path, monkeypa
     overwrite_table(spark.table(tables["customers_bronze"]), tables["customers_bronze"])  # someone else's write
     flow.run_layers(spark, feeds, target, ledger=ledger)
     assert made == ["ingest_bronze", "build_silver", "build_gold"]
+
+
+def test_command_line(spark, target, tmp_path):
+    from tierline.__main__ import main
+
+    c = feed(tmp_path)
+    loaded = main(["bronze", "--path", c, "--file", "customers.csv", "--schema", target.database, "--max-rejects", "0.6"])
+    assert spark.table(loaded["rejects"]).count() == 2 == spark.table(loaded["bronze"]).count()
+    with pytest.raises(rejects.TooManyRejects):
+        main(["bronze", "--path", c, "--file", "customers.csv", "--schema", target.database, "--max-rejects", "0.1"])
+    Path(c, "products.csv").write_text("1;ChatMessage;M\np1;a;b\n")
+    assert set(main(["mixed", "--path", c, "--schema", target.database])) == {"customers", "products", "rejects"}
+    flows = [main(["all", "--path", c, "--schema", target.database, "--ledger", str(tmp_path / "done")]) for _ in range(2)]
+    assert flows[0] == flows[1] and len(list((tmp_path / "done").glob("*.json"))) == 5
