@@ -77,6 +77,24 @@ def test_without_meeting(spark, monkeypatch):
     assert sorted(map(tuple, jaccard_join.link(df, part_rows=20).collect())) == brute_force(rows)
 
 
+def test_word_hashes(monkeypatch):
+    """Words are those of split(), equal words have equal hashes, long texts and long words too."""
+    monkeypatch.setattr(jaccard_join, "PIECE", 64)
+    jaccard_join.powers.cache_clear()
+    rnd = random.Random(2)
+    for _ in range(200):
+        texts = ["".join(rnd.choice("aAbB é \t\n\x0b\x1c\xa0") for _ in range(rnd.choice([0, 1, 5, 40, 130, 600]))) for _ in range(rnd.randint(0, 8))]
+        raw = [(t if rnd.random() < 0.9 else "X" * rnd.randint(60, 300)).encode() for t in texts]
+        hashes, count = jaccard_join.words_of(raw)
+        want = [r.lower().split() for r in raw]
+        assert count.tolist() == [len(w) for w in want]
+        seen = {}
+        for w, h in zip([w for of in want for w in of], hashes.tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)
+    jaccard_join.powers.cache_clear()
+
+
 def test_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = jaccard_join.near_duplicates(df)

@@ -41,8 +41,9 @@ def test_any_text(text):
 
 
 def test_every_code_point():
-    """Letters and case newer than one library's tables are split as the vocabulary's library does."""
-    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    """Letters and case newer than one library's tables are split as the vocabulary's library does
+    (every code point of planes 0 to 3, every 16th of those above, which hold no letters yet)."""
+    points = [chr(c) for c in [*range(1, 0x40000), *range(0x40000, 0x110000, 16)] if not 0xD800 <= c <= 0xDFFF]
     texts = [" ".join(f"·{c}a" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
     for path, lib in ((BYTE_VOCABULARY, BYTES), (WORD_VOCABULARY, WORDS)):
         want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]

@@ -30,6 +30,7 @@ of their sets by fingerprint. Rows with a null id are left out. An empty table g
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,27 +53,93 @@ ALIKE = 50  # percent of a signature that members of a group share with its cent
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Words(dict):
-    """64-bit hashes of words, each made once."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(texts: list[str | None], words: Words) -> list[np.ndarray]:
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+LETTERS[65:91] = LETTERS[97:123]  # A-Z as a-z
+BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+FACTOR = 0xD1342543DE82EF95
+PIECE = 1 << 18
+
+
+@functools.lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of FACTOR and of its inverse, modulo 2^64."""
+    out = []
+    for f in (FACTOR, pow(FACTOR, -1, 1 << 64)):
+        steps = np.full(2 * PIECE, f, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of up to 2 PIECE bytes, and where each begins."""
+    x = np.frombuffer(raw, np.uint8)
+    blank = np.concatenate([[True], BLANK[x], [True]])
+    turn = np.flatnonzero(blank[1:] != blank[:-1])
+    begin, end = turn[::2], turn[1::2]
+    up, down = powers()
+    total = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(LETTERS[x] * up[: len(x)], out=total[1:])
+    h = (total[end] - total[begin]) * down[begin]  # where a word stands doesn't matter
+    return mixed(h + (end - begin).astype(np.uint64) * ODD), begin
+
+
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one text after the other, and how many each has."""
+    hashes, count, some, size = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64), [], 0
+
+    def flush(first: int) -> None:
+        h, begin = word_hashes(b" ".join(some))
+        starts = np.cumsum([0, *(len(t) + 1 for t in some)])
+        count[first : first + len(some)] = np.diff(np.searchsorted(begin, starts))
+        hashes.append(h)
+
+    for i, t in enumerate(texts):
+        if len(t) >= PIECE:  # by itself, cut where words end; a longer word goes another way
+            if some:
+                flush(i - len(some))
+            some, size, before = [], 0, sum(map(len, hashes))
+            for piece in pieces(t):
+                hashes.append(word_hashes(piece)[0] if len(piece) <= 2 * PIECE else mixed(np.array([xxhash.xxh3_64_intdigest(piece.lower())], np.uint64)))
+            count[i] = sum(map(len, hashes)) - before
+            continue
+        some.append(t)
+        size += len(t) + 1
+        if size >= PIECE:
+            flush(i + 1 - len(some))
+            some, size = [], 0
+    if some:
+        flush(len(texts) - len(some))
+    return np.concatenate(hashes), count
+
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of about PIECE bytes that end where words end; a word of more bytes is a part."""
+    words, some, size = text.split(), [], 0
+    for w in words:
+        if len(w) > 2 * PIECE:
+            if some:
+                yield b" ".join(some)
+            some, size = [], 0
+            yield w
+            continue
+        if some and size + len(w) + 1 > 2 * PIECE:
+            yield b" ".join(some)
+            some, size = [], 0
+        some.append(w)
+        size += len(w) + 1
+    if some:
+        yield b" ".join(some)
+
+
+def shingles(texts: list[str | None]) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of SHINGLE words; of all words, if there are fewer."""
-    split = [(t or "").encode().lower().split() for t in texts]
-    size = np.array([len(w) for w in split], np.int64)
-    look = words.__getitem__
-    h = np.concatenate([np.fromiter(map(look, w), np.uint64, len(w)) for w in split] or [np.zeros(0, np.uint64)])
+    h, size = words_of([(t or "").encode() for t in texts])
     width = np.minimum(SHINGLE, size)
     count = np.where(size > 0, size - width + 1, 0)
     begin = np.repeat(np.cumsum(size) - size - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -82,7 +149,11 @@ def shingles(texts: list[str | None], words: Words) -> list[np.ndarray]:
         step = mixed(total * ODD + h[np.minimum(begin + k, len(h) - 1)])
         total = np.where(k < width, step, total)
     ends = np.cumsum(count)
-    return [np.unique(total[a:b]) for a, b in zip(ends - count, ends, strict=True)]
+    out = []
+    for a, b in zip((ends - count).tolist(), ends.tolist(), strict=True):
+        own = np.sort(total[a:b])
+        out.append(own[np.append(True, own[1:] != own[:-1])] if len(own) else own)
+    return out
 
 
 class Counters:
@@ -143,16 +214,16 @@ def described(docs: DataFrame, slots: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in kinds], names=[c for c, _ in kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counters = Words(), Counters(slots)
+        counters = Counters(slots)
         for batch in batches:
             for some in runs(batch, 1):
-                sets = shingles(some.column(1).to_pylist(), words)
+                sets = shingles(some.column(1).to_pylist())
                 counters.add(slots_of(np.concatenate(sets), slots))
                 meet, sign = [], []
                 for s in sets:
                     low = np.full(len(seeds), np.iinfo(np.uint64).max)
-                    for i in range(0, len(s), 8192):
-                        low = np.minimum(low, (s[i : i + 8192, None] * seeds[None, :]).min(axis=0))
+                    for i in range(0, len(s), 1024):
+                        low = np.minimum(low, (seeds[:, None] * s[None, i : i + 1024]).min(axis=1))
                     meet.append(low[:MEETINGS].view(np.int64))
                     sign.append((mixed(low[MEETINGS:]) & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16))
                 prints = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -254,10 +325,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(marked(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
             for some in runs(asked_for(batch, shared.value), 1):
-                sets = [s.tobytes() for s in shingles(some.column(1).to_pylist(), words)]
+                sets = [s.tobytes() for s in shingles(some.column(1).to_pylist())]
                 prints = [xxhash.xxh3_128_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], names=["id", "print", "set"])
 
@@ -302,11 +372,10 @@ def rare_tokens(docs: DataFrame, classes: DataFrame, levels: np.ndarray, thresho
     bounds = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for batch in batches:
-            for some in runs(asked_for(batch, shared.value[1]), 1, 8 << 20):
+            for some in runs(asked_for(batch, shared.value[1]), 1):
                 kept, owner = [], []
-                for i, s in enumerate(shingles(some.column(1).to_pylist(), words)):
+                for i, s in enumerate(shingles(some.column(1).to_pylist())):
                     keep = len(s) - (threshold * len(s) + 99) // 100 + LEAST if len(s) else 0
                     rarity = (shared.value[0][slots_of(s, slots)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                     s = s[np.argsort(rarity, kind="stable")[:keep]]
