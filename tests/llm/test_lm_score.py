@@ -82,3 +82,24 @@ def test_pairs_beat_words_on_copies(spark):
     docs = spark.createDataFrame([(i, "a b c d e f g h " * 20) for i in range(40)], "doc_id long, text string")
     rows = [r for r in lm_score.held_out_scores(docs).collect() if r.held_out]
     assert rows and all(r.score > 0.1 * r.base_score for r in rows)
+
+
+def test_totals_over_32_bits():
+    """Counts that blocks send fit into four bytes; what they add up to need not."""
+    hot = np.zeros(0, np.uint64)
+    blocks = [lm_score.Block(["the cat the", "a cat"], 2, hot) for _ in range(3)]
+    many = 4_000_000_000
+    import pandas as pd
+
+    asked = []
+    for i, b in enumerate(blocks):
+        rows = b.requests(np.ones(2, bool), i)
+        for column in ("word_count", "follow_count"):
+            rows[column] = [np.full(len(x) // 4, many, np.uint32).tobytes() for x in rows[column]]
+        asked.append(rows)
+    answers = pd.concat([lm_score.answer(of) for _, of in pd.concat(asked).groupby("bucket")])
+    words, context, kinds, pairs, totals = blocks[0].filled(answers[answers["block"] == 0].sort_values("bucket"))
+    assert words.tolist() == [3 * many] * len(words) and pairs.tolist() == [3 * many] * len(pairs)
+    assert totals["tokens"] == 3 * many * len(words) and context.max() == 3 * many * kinds.max()
+    for x in (np.array([], np.int64), np.array([1, 2]), np.array([1, 1 << 40])):
+        assert lm_score.unpacked(lm_score.packed(x), len(x)).tolist() == x.tolist()

@@ -154,18 +154,27 @@ class Block:
             p = a.bucket
             w, g = slice(*self.word_cut[p : p + 2]), slice(*self.group_cut[p : p + 2])
             size = w.stop - w.start
-            words[w] = np.frombuffer(a.word_total, np.uint32)
-            total, kind = np.frombuffer(a.context_total, np.uint32), np.frombuffer(a.context_kinds, np.uint32)
+            words[w] = unpacked(a.word_total, size)
+            total, kind = (unpacked(x, size + g.stop - g.start) for x in (a.context_total, a.context_kinds))
             np.add.at(context, np.arange(w.start, w.stop), total[:size])
             np.add.at(kinds, np.arange(w.start, w.stop), kind[:size])
             back = of_hot[self.groups[g] // SALTS]
             np.add.at(context, back, total[size:])
             np.add.at(kinds, back, kind[size:])
             asked = np.concatenate([self.cold[slice(*self.cold_cut[p : p + 2])], self.warm[slice(*self.warm_cut[p : p + 2])]])
-            pairs[asked] = np.frombuffer(a.pair_total, np.uint32)
+            pairs[asked] = unpacked(a.pair_total, len(asked))
         return words, context, kinds, pairs, {k: int(answers[k].sum()) for k in ("tokens", "kinds", "once", "twice")}
 
 
+def packed(totals: np.ndarray) -> bytes:
+    """Totals in four bytes each, or in eight if one doesn't fit."""
+    return totals.astype(np.uint32 if totals.max(initial=0) < 1 << 32 else np.uint64).tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint64 if len(raw) == 8 * n else np.uint32).astype(np.int64)
+
+
 def answer(rows: pd.DataFrame) -> pd.DataFrame:
     """Totals of a bucket over all blocks, and for each block those that it asked for."""
     words = [np.frombuffer(x, np.uint64) for x in rows["words"]]
@@ -192,8 +201,8 @@ def answer(rows: pd.DataFrame) -> pd.DataFrame:
     out = []
     for i, row in enumerate(rows.itertuples()):
         out.append((
-            row.block, row.bucket, total[at[word_ends[i] : word_ends[i + 1]]].astype(np.uint32).tobytes(), context_total[contexts[i]].astype(np.uint32).tobytes(),
-            context_kinds[contexts[i]].astype(np.uint32).tobytes(), pair_total[pair_at[ends[i] : ends[i + 1]]].astype(np.uint32).tobytes(), *scalars,
+            row.block, row.bucket, packed(total[at[word_ends[i] : word_ends[i + 1]]]), packed(context_total[contexts[i]]),
+            packed(context_kinds[contexts[i]]), packed(pair_total[pair_at[ends[i] : ends[i + 1]]]), *scalars,
         ))
     return pd.DataFrame(out, columns=["block", "bucket", "word_total", "context_total", "context_kinds", "pair_total", "tokens", "kinds", "once", "twice"])
 
