@@ -22,7 +22,7 @@ CHUNK = re.compile(r"\s*\S+|\s+")
 #: Characters whose class and case are the same in every library's tables; what holds
 #: others is split by the vocabulary's own library.
 SETTLED = re.compile(
-    "[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f\u0386\u0388-\u038a\u038c\u038e-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u052f"
+    "[\t\n\r -~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f\u0386\u0388-\u038a\u038c\u038e-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u052f"
     "\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fef\uac00-\ud7a3]*"
 )
 
@@ -93,17 +93,25 @@ class Vocabulary:
         """Pieces of a part whose words don't depend on what stands around them."""
         if SEPARATORS.search(text):
             return self.library_words(text)
-        if self.lower:
+        if not self.lower:
+            return CHUNK.findall(text)
+        if text.isascii() or SETTLED.fullmatch(text):
             return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().split()
-        return CHUNK.findall(text)
+        out = []
+        for c in text.split():
+            if c.isascii() or SETTLED.fullmatch(c):
+                out.append(unicodedata.normalize("NFC", c).replace("Σ", "σ").lower())
+            else:
+                out += self.library_words(c)
+        return out
 
     @functools.cached_property
     def _library(self) -> Tokenizer:
         return Tokenizer.from_file(self.path)
 
-    def library_words(self, text: str) -> list[str]:
+    def library_words(self, text: str, normalize: bool = True) -> list[str]:
         """Words as the vocabulary's own library normalizes and splits them."""
-        if self._library.normalizer:
+        if normalize and self._library.normalizer:
             text = self._library.normalizer.normalize_str(text)
         return [bytes(self._of_char[c] for c in w).decode() for w, _ in self._library.pre_tokenizer.pre_tokenize_str(text)]
 
@@ -111,7 +119,7 @@ class Vocabulary:
         if chunk.isascii() or SETTLED.fullmatch(chunk):
             plain = chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha()
             return [chunk] if plain else self.words.findall(chunk)
-        return self.library_words(chunk)
+        return self.library_words(chunk, normalize=False)  # chunks() has done that
 
 
 @functools.lru_cache(maxsize=4)
