@@ -1,7 +1,7 @@
 """N-gram Jaccard join through a token-group matrix.
 
 A document's set holds the hashes of its distinct runs of ``SHINGLE`` words.
-Documents of one set are a class. Classes meet by min-hash, in two turns, and
+Documents of one set are a class. Classes meet by min-hash and
 are partitioned into groups of similar ones: each goes to the centre that most
 others have met among those that its signature agrees with by half, or stays
 alone. Those that look close enough are compared exactly at once, so most copies
@@ -46,7 +46,7 @@ from tierline.llm.components import components
 SHINGLE = 5
 MEETINGS = 3
 CENTRES = 4
-TURNS = 2
+TURNS = 1
 SIGNATURE = 64
 LEAST = 4  # tokens in common that the matrix must show
 ALIKE = 50  # percent of a signature that members of a group share with its centre
@@ -297,8 +297,9 @@ def compare(queries: list[tuple[int, np.ndarray]], members: list[tuple[int, np.n
     return out
 
 
-def marked(ids: DataFrame, slots: int = 1 << 25) -> np.ndarray:
-    """A bit for the hash of each id: ``slots`` / 8 bytes. It lets most texts that aren't wanted be passed over."""
+def marked(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each id, at most 4 MB in all. It lets most texts that aren't wanted be passed over."""
+    slots = power(16 * ids.count(), 16, 25)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(slots // 8, np.uint8)  # a bit each
