@@ -122,7 +122,7 @@ class Pair:
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids on both sides of each text, none where the bytes are not those of the text."""
         out = []
-        for _, some in slices(texts, 250_000):  # the libraries' own results are large
+        for _, some in slices(texts, 150_000):  # the libraries' own results are large
             spaced = [f" {t}" for t in some if t]
             sides = [[np.array(x, np.int32) for x in ids] for ids in (self.a_ids(spaced), self.b.encode([t for t in some if t], num_threads=1))]
             raw = [t.encode() for t in spaced]
@@ -216,7 +216,7 @@ def blocks(df: DataFrame, a_path: str, b_path: str, key: str, text: str) -> Data
         p, packer = pair(a_path, b_path), zstandard.ZstdCompressor(level=1)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for some in runs(batch, 1, 2 << 20):
+            for some in runs(batch, 1, 1 << 20):
                 found = p.align(some.column(1).to_pylist())
                 sha = [hashlib.sha256(s).hexdigest() if s else "" for s in p.spelled(found)]
                 ids = found.a[found.left].astype(np.int64) * len(p.b_bytes.size) + found.b[found.right]
