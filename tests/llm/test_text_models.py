@@ -60,9 +60,9 @@ def test_scores_are_a_plain_sum(docs):
             continue
         total, chance = [0.0] * len(model.languages), [0.0] * len(model.languages)
         for w in words:
-            logs = model.words.get(w)
+            logs = model.logs[model.words[w]] if w in model.words else None
             if logs is None:
-                grams = next((g for n in range(model.longest, 0, -1) if (g := [model.grams[x] for i in range(len(w) + 3 - n) if (x := f"^{w}$"[i : i + n]) in model.grams])), None)
+                grams = next((g for n in range(model.longest, 0, -1) if (g := [model.logs[model.grams[x]] for i in range(len(w) + 3 - n) if (x := f"^{w}$"[i : i + n]) in model.grams])), None)
                 logs = [sum(g[k] for g in grams) / len(grams) for k in range(len(total))] if grams else [0.0] * len(total)
             e = [np.exp(x - max(logs)) for x in logs]
             for k in range(len(total)):
@@ -77,7 +77,7 @@ def test_language_by_hand():
     (a, s), (b, _), (c, z), (d, _) = language_id.Scorer(model).score(["Foo foo 12", "quxx", "12 !", "fooz barz"])
     assert (a, b, c, z, d) == ("xx", "yy", "und", 0.0, "xx")
     assert 0.5 < s <= 1
-    assert list(model.word("quxqux")) == list(np.mean([model.grams[g] for g in ("^qux", "qux$")], axis=0))
+    assert model.rows(["quxqux"])[0].tolist() == pytest.approx(np.mean([model.logs[model.grams[g]] for g in ("^qux", "qux$")], axis=0))
 
 
 def test_language_odd_rows(odd_docs, no_docs, spark):

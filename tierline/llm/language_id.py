@@ -35,22 +35,31 @@ LETTERS = regex.compile(r"\p{L}+")
 
 @dataclass
 class Model:
+    """Words and n-grams are numbers of the rows of ``logs``, their log frequencies by language."""
+
     languages: list[str]
-    words: dict[str, np.ndarray]  # log frequency by language
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    grams: dict[str, int]
+    logs: np.ndarray
     longest: int
 
-    def word(self, word: str) -> np.ndarray:
-        """Log frequency by language: the word's own, or the mean of its longest known n-grams."""
-        if (known := self.words.get(word)) is not None:
-            return known
+    def unseen(self, word: str) -> np.ndarray:
+        """Log frequency by language of a word that training doesn't have: the mean of its longest known n-grams."""
         edged = f"^{word}$"
         for n in range(self.longest, 0, -1):
             found = [g for i in range(len(edged) - n + 1) if (g := self.grams.get(edged[i : i + n])) is not None]
             if found:
-                return np.add.reduce(found) / len(found)
+                return self.logs[found].sum(axis=0) / len(found)
         return np.zeros(len(self.languages))
 
+    def rows(self, words: list[str]) -> np.ndarray:
+        """Log frequency by language of each word."""
+        at = np.array([self.words.get(w, -1) for w in words], np.int64)
+        out = self.logs[at] if len(self.logs) else np.zeros((len(words), len(self.languages)))
+        for i in np.flatnonzero(at < 0).tolist():
+            out[i] = self.unseen(words[i])
+        return out
+
 
 def from_counts(rows: list[tuple[str, str, int]], longest: int = 4, smooth: float = 0.5) -> Model:
     """A model of (language, word, count) rows."""
@@ -65,11 +74,16 @@ def from_counts(rows: list[tuple[str, str, int]], longest: int = 4, smooth: floa
             for g in {edged[i : i + n] for i in range(len(edged) - n + 1)}:
                 of[g][at[language]] += count
 
-    def logs(of: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        total = np.sum(list(of.values()), axis=0)
-        return {k: np.log((v + smooth) / (total + smooth * len(of))) for k, v in of.items()}
+    def logs(of: dict[str, np.ndarray]) -> np.ndarray:
+        counts = np.array(list(of.values()))
+        return np.log((counts + smooth) / (counts.sum(axis=0) + smooth * len(of)))
 
-    return Model(languages, logs(words) if words else {}, {k: v for of in grams if of for k, v in logs(of).items()}, longest)
+    tables = [t for t in (words, *grams) if t]
+    number = {k: i for i, k in enumerate(k for t in grams for k in t)}
+    return Model(
+        languages, {w: i for i, w in enumerate(words)}, {k: len(words) + i for k, i in number.items()},
+        np.concatenate([logs(t) for t in tables]) if tables else np.zeros((0, len(languages))), longest,
+    )
 
 
 def shares(sizes: dict[str, int], total: int) -> dict[str, int]:
@@ -124,7 +138,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lan
 class Scorer:
     """Scores texts by a model; words met again are looked up."""
 
-    def __init__(self, model: Model, limit: int = 300_000):
+    def __init__(self, model: Model, limit: int = 150_000):
         self.model, n = model, len(model.languages)
         self.rows = np.zeros((limit + 1, 2 * n + 1))  # by chunk: log frequencies, probabilities, words
         self.at = Recent(limit)
@@ -137,7 +151,7 @@ class Scorer:
         number: dict[str, int] = {}
         flat = np.array([number.setdefault(w, len(number)) for own in words for w in own], np.int64)
         n = len(self.model.languages)
-        logs = np.array([self.model.word(w) for w in number]).reshape(-1, n)
+        logs = self.model.rows(list(number))
         p = np.exp(logs - logs.max(axis=1, keepdims=True))
         rows = np.hstack([logs, p / p.sum(axis=1, keepdims=True), np.ones((len(logs), 1))])
         out = np.zeros((len(chunks), 2 * n + 1))
