@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierline.llm import suffix_dedup, suffixes
+from tierline.llm import common, suffix_dedup, suffixes
 from tierline.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +127,36 @@ def test_hot_passage_is_dealt_out(spark):
     passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
     rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(60)) + passage + str(i) * 9) for i in range(120)]
     assert report(spark, rows, 40, part_rows=10) == brute(rows, 40)
+
+
+def test_worker_gives_back_what_it_freed():
+    def held():
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) / 1024
+
+    def task(batches):
+        pieces = [bytes(1000) for _ in range(150_000)]
+        kept.append(pieces[-1])  # above all that is freed
+        yield len(pieces)
+
+    kept, before = [], held()
+    assert list(common.tidy(task)(iter(()))) == [150_000]
+    assert held() < before + 60
+
+
+def test_tally_in_parts():
+    rng = np.random.default_rng(3)
+    slots = 1 << 17
+    own, want = suffix_dedup.Tally(), np.zeros(slots, np.int64)
+    for n in (0, 1, 70_000, 1_000_000):
+        slot = np.minimum(rng.integers(0, slots, n), rng.integers(0, slots, n))
+        slot[: n // 10] = 5
+        own.add(slot)
+        want += np.bincount(slot, minlength=slots)
+        own.merge()
+    assert all(x.dtype == np.uint64 and x.ndim == 1 for x in own.own)  # eight bytes a slot
+    got = np.zeros(slots, np.int64)
+    for b in own.sent():
+        part, at, n = (b.column(i)[0].as_py() for i in range(3))
+        got[(part << 16) + np.frombuffer(at, np.uint16).astype(np.int64)] = np.frombuffer(n, np.uint16)
+    assert np.array_equal(got, np.minimum(want, 0xFFFF))

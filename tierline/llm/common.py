@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -66,6 +68,44 @@ def runs(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa
         yield batch.slice(int(a), int(b - a))
 
 
+RELEASE_S = 0.5
+_RELEASED = [0.0]
+
+
+def released(often: bool = True) -> None:
+    """What was freed goes back to the system, else a worker keeps it while it waits for its next task."""
+    if not often and time.monotonic() - _RELEASED[0] < RELEASE_S:
+        return
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+    _RELEASED[0] = time.monotonic()
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches, that gives back its memory at the end."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            released()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """``run`` over one group, that gives back its memory; not after each of many small groups."""
+
+    def tidied(rows):
+        try:
+            return run(rows)
+        finally:
+            released(often=False)
+
+    return tidied
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below the shared checkpoint folder and read back.
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import runs, stored
+from tierline.llm.common import runs, stored, tidy, tidy_group
 from tierline.llm.suffixes import ragged, suffix_orders
 
 WIDTH = 100
@@ -132,26 +132,31 @@ class Tally:
     schema = "part int, at binary, n binary"
 
     def __init__(self):
-        self.own: list[tuple[np.ndarray, np.ndarray]] = []
+        self.own: list[np.ndarray] = []  # a slot's number and 16 bits for how often
         self.size = 0
 
     def add(self, slot: np.ndarray) -> None:
         slot, n = np.unique(slot, return_counts=True)
-        self.own.append((slot, n))
+        self.own.append(slot.astype(np.uint64) << np.uint64(16) | np.minimum(n, 0xFFFF).astype(np.uint64))
         self.size += len(slot)
         if self.size > 1 << 21:
             self.merge()
 
     def merge(self) -> None:
-        slot, at = np.unique(np.concatenate([s for s, _ in self.own]), return_inverse=True)
-        n = np.bincount(at, np.concatenate([n for _, n in self.own])).astype(np.int64)
-        self.own, self.size = [(slot, n)], 0  # counted anew from here
+        if len(self.own) > 1:
+            own = np.concatenate(self.own)
+            self.own = []
+            own.sort()
+            begin = np.flatnonzero(np.diff(own >> np.uint64(16), prepend=~np.uint64(0)))
+            slot = own[begin] & ~np.uint64(0xFFFF)
+            own &= np.uint64(0xFFFF)
+            self.own = [slot | np.minimum(np.add.reduceat(own, begin), np.uint64(0xFFFF))] if len(own) else []
+        self.size = 0  # counted anew from here
 
     def sent(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
         if self.own:
-            self.merge()
-            slot, n = self.own[0]
-            n = np.minimum(n, (1 << 16) - 1).astype(np.uint16)
+            slot, n = (self.own[0] >> np.uint64(16)).astype(np.int64), self.own[0].astype(np.uint16)
             part, at = slot >> 16, (slot & 0xFFFF).astype(np.uint16)
             begin = np.flatnonzero(np.diff(part, prepend=-1))
             for a, b in zip(begin.tolist(), np.append(begin[1:], len(part)).tolist(), strict=True):
@@ -170,7 +175,7 @@ class Tally:
 
         out = [np.zeros(slots // 8, np.uint8) for _ in least]
         schema = "part int, " + ", ".join(f"b{i} binary" for i in range(len(least)))
-        for r in sent.groupBy("part").applyInArrow(add, schema).collect():  # slots / 8 bytes for each, in all
+        for r in sent.groupBy("part").applyInArrow(tidy_group(add), schema).collect():  # slots / 8 bytes for each, in all
             for i, bits in enumerate(out):
                 bits[r.part * width // 8 : (r.part + 1) * width // 8] = np.frombuffer(r[f"b{i}"], np.uint8)
         return out
@@ -208,12 +213,14 @@ def searched(rows: DataFrame, reps, run) -> DataFrame:
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def own():
             for batch in batches:
-                own_slot = slot_of(batch.column(3).to_numpy().view(np.uint64), 8 * len(reps.value))
-                yield from runs(batch.filter(pa.array(told(reps.value, own_slot))), 2, 2 << 20)
+                for some in runs(batch, 2, 2 << 20):  # a whole batch isn't copied
+                    own_slot = slot_of(some.column(3).to_numpy().view(np.uint64), 8 * len(reps.value))
+                    if len(some := some.filter(pa.array(told(reps.value, own_slot)))):
+                        yield some
 
         yield from run(own())
 
-    return rows.withColumn("_h", F.xxhash64("id", "tie")), chosen
+    return rows.withColumn("_h", F.xxhash64("id", "tie")), tidy(chosen)
 
 
 def removals(docs: DataFrame, reps, size: int, width: int, part_rows: int) -> tuple[DataFrame, list]:
@@ -260,8 +267,8 @@ def removals(docs: DataFrame, reps, size: int, width: int, part_rows: int) -> tu
                 break
             hot = full.groupBy("key").count().where(F.col("count") > part_rows).select("key")
             chunks = chunks.unionByName(full.join(hot, "key", "left_anti").select(*NAMES))
-            full = full.join(hot, "key", "left_semi").select(*NAMES).mapInArrow(lambda b, c=cell: cells(b, c, width, buckets), CHUNKS)
-    return chunks.groupBy("bucket").applyInArrow(lambda t: repeats(t, width), "id long, tie long, start long, stop long"), [often]
+            full = full.join(hot, "key", "left_semi").select(*NAMES).mapInArrow(tidy(lambda b, c=cell: cells(b, c, width, buckets)), CHUNKS)
+    return chunks.groupBy("bucket").applyInArrow(tidy_group(lambda t: repeats(t, width)), "id long, tie long, start long, stop long"), [often]
 
 
 def cells(batches: Iterator[pa.RecordBatch], cell: int, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -451,13 +458,14 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = W
     def reached(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                slot = slot_of(batch.column(3).to_numpy().view(np.uint64), MARKS)
-                yield batch.filter(pa.array(told(touched.value, slot) == wanted))
+                for some in runs(batch, 2):
+                    slot = slot_of(some.column(3).to_numpy().view(np.uint64), MARKS)
+                    yield some.filter(pa.array(told(touched.value, slot) == wanted))
 
-        return docs.select("id", "tie", "text", F.xxhash64("id", "tie").alias("_h")).mapInArrow(run, "id long, tie long, text string, _h long")
+        return docs.select("id", "tie", "text", F.xxhash64("id", "tie").alias("_h")).mapInArrow(tidy(run), "id long, tie long, text string, _h long")
 
     # most texts without a span needn't move
-    cut = reached(True).join(lists, ["id", "tie"], "left").select("id", "text", "_spans").mapInArrow(unite, "id long, text string, spans array<struct<start:long,stop:long>>")
+    cut = reached(True).join(lists, ["id", "tie"], "left").select("id", "text", "_spans").mapInArrow(tidy(unite), "id long, text string, spans array<struct<start:long,stop:long>>")
     return cut.unionByName(reached(False).select("id", "text", none.alias("spans"))).unionByName(short)
 
 
@@ -470,7 +478,7 @@ def marked(texts: DataFrame) -> np.ndarray:
             own.add(slot_of(batch.column(0).to_numpy().view(np.uint64), MARKS))
         yield from own.sent()
 
-    return Tally.over(texts.select(F.xxhash64("id", "tie")).mapInArrow(mark, Tally.schema), MARKS, [1])[0]
+    return Tally.over(texts.select(F.xxhash64("id", "tie")).mapInArrow(tidy(mark), Tally.schema), MARKS, [1])[0]
 
 
 def kept(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -497,4 +505,4 @@ def report(df: DataFrame, key: str = "doc_id", text: str = "text", width: int =
                 )
 
     names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return dedup(df, key, text, width, part_rows).mapInArrow(digest, f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return dedup(df, key, text, width, part_rows).mapInArrow(tidy(digest), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
