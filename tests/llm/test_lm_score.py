@@ -103,3 +103,12 @@ def test_totals_over_32_bits():
     assert totals["tokens"] == 3 * many * len(words) and context.max() == 3 * many * kinds.max()
     for x in (np.array([], np.int64), np.array([1, 2]), np.array([1, 1 << 40])):
         assert lm_score.unpacked(lm_score.packed(x), len(x)).tolist() == x.tolist()
+
+
+def test_tokens_are_hashed_at_once():
+    """The numbers of words of all texts, each text with its end; equal words and only those are equal."""
+    texts = [None, "", "a B\tb\x0ba", " \n", "É é\x1cx A", "w " * 300_000 + "b"]
+    hashes, size = lm_score.tokens(texts)
+    want = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    assert size.tolist() == [1, 1, 5, 1, 4, 300_002] and len(hashes) == len(want)
+    assert len(set(zip(want, hashes.tolist(), strict=True))) == len(set(want)) == len(set(hashes.tolist()))

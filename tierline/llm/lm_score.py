@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.llm.common import slices, stored
+from tierline.llm.jaccard_join import words_of
 
 HOT_SHARE = 2000
 SALTS = 32
@@ -41,35 +42,20 @@ ANSWERS = "block int, bucket int, word_total binary, context_total binary, conte
 REQUESTS = "bucket int, block int, words binary, word_count binary, follow_size binary, follow binary, follow_count binary, hot binary"
 
 
-class Hashes(dict):
-    """64-bit hashes of words, each made once."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def tokens(texts: list[str | None], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+def tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' tokens one after the other, and how many each has."""
-    out, size = [], np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = (text or "").encode().lower().split()
-        size[i] = len(words) + 1
-        out.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-        out.append(np.array([END]))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64), size
+    words, count = words_of([(t or "").encode() for t in texts])
+    return np.insert(words, np.cumsum(count), END), count + 1
 
 
 def hot_words(df: DataFrame, text: str) -> np.ndarray:
     """Words that are over 1 / HOT_SHARE of all tokens (as far as partitions see them as common)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, words, counts, n = Hashes(), np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        words, counts, n = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         for batch in batches:
             for _, some in slices(batch.column(0).to_pylist(), 8_000_000):
-                h, _ = tokens(some, hashes)
+                h, _ = tokens(some)
                 n += len(h)
                 u, c = np.unique(h, return_counts=True)
                 common = c * HOT_SHARE >= len(h)
@@ -88,7 +74,7 @@ class Block:
     """Words and pairs of a block of texts, in the order in which buckets get and answer them."""
 
     def __init__(self, texts: list[str | None], buckets: int, hot: np.ndarray):
-        self.stream, self.size = tokens(texts, Hashes())
+        self.stream, self.size = tokens(texts)
         self.words, at = np.unique(self.stream, return_inverse=True)
         self.at = at.astype(np.int64)
         n = len(self.words)
