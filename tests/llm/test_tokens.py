@@ -144,3 +144,18 @@ def test_plan_uses_up_the_counts():
             for b in bins:
                 used[b] += n
         assert (used == counts).all()
+
+
+def test_words_by_line_are_those_by_themselves():
+    """Ids of words that are encoded together, cut where an id ends its word."""
+    vocabulary, library = load(WORD_VOCABULARY), Tokenizer.from_file(WORD_VOCABULARY)
+    ends = packing.word_ends(vocabulary)
+    assert ends[vocabulary.last_ids].all() and not ends[vocabulary.byte_ids].any()
+    assert packing.word_ends(load(BYTE_VOCABULARY)) is None
+    make = packing.library_encoder(WORD_VOCABULARY).make
+    words = [f"{a}{b}" for a in ("the", "q", "zxq", "日本", "é", "</w>"[2:], "~~") for b in ("", "s", "ing", "xyzzy", "のの")] * 5
+    words = [w for w in words if vocabulary.words_of(w) == [w]]
+    assert len(words) > packing.LINE
+    want = [np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert make(words) == want and make([]) == []
+    assert make([*words, "<|endoftext|>"])[: len(words)] == want  # it has no end

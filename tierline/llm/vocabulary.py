@@ -170,14 +170,28 @@ class ByWord:
             chunks[i] = self.special(i)
         out, holes, missing = [list(map(chunks.get, c)) for c in split], [], set()
         for c, made in zip(split, out, strict=True):
-            if None in made:
-                at = [k for k, x in enumerate(made) if x is None]
+            k, at = -1, []
+            try:
+                while True:
+                    k = made.index(None, k + 1)
+                    at.append(k)
+            except ValueError:  # no more
+                pass
+            if at:
                 holes.append((c, made, at))
                 missing.update(map(c.__getitem__, at))
-        new = {c: v.words_of(c) for c in missing}
-        unseen = [w for w in set().union(*new.values()) if w not in words]
+        several, seen = {}, set()
+        for c in missing:
+            of = v.words_of(c)
+            if len(of) == 1 and of[0] is c:
+                seen.add(c)
+            else:
+                several[c] = tuple(of)  # of strings only: the collector passes it over
+        unseen = [w for w in seen.union(*several.values()) if w not in words]
         words.update(zip(unseen, self.make(unseen), strict=True))
-        for c, of in new.items():
+        for c in seen:
+            chunks[c] = words[c]
+        for c, of in several.items():
             chunks[c] = words[of[0]] if len(of) == 1 else self.join([words[w] for w in of])
         for c, made, at in holes:
             for k in at:
