@@ -6,9 +6,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tierline.llm import jaccard_join
+from tierline.llm import common, jaccard_join
 from tierline.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -156,3 +157,9 @@ def test_components(spark):
     want = {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 20: 20, 21: 20, **{i: 100 for i in range(100, 141)}, **{i: 50 for i in range(50, 80)}}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_of_a_run_have_a_bound():
+    """A run of texts is as small as promised; texts that no one asked for aren't copied with their batch."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(64)), pa.array(["x y " * 25_000] * 64)], names=["id", "text"])
+    assert max(sum(map(len, r.column(1).to_pylist())) for r in common.runs(batch, 1, jaccard_join.RUN)) <= jaccard_join.RUN + 100_000

@@ -31,6 +31,7 @@ of their sets by fingerprint. Rows with a null id are left out. An empty table g
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import runs, stored
+from tierline.llm.common import runs, stored, tidy, tidy_group
 from tierline.llm.components import components
 
 SHINGLE = 5
@@ -63,6 +64,7 @@ LETTERS[65:91] = LETTERS[97:123]  # A-Z as a-z
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 FACTOR = 0xD1342543DE82EF95
 PIECE = 1 << 18
+RUN = 1 << 20  # bytes of texts whose sets are made at once
 
 
 @functools.lru_cache(maxsize=1)
@@ -188,7 +190,7 @@ class Counters:
             return pd.DataFrame({"part": [rows["part"].iloc[0]], "level": [level(out).astype(np.uint8).tobytes()]})
 
         table = np.zeros(slots, np.uint8)
-        for r in sent.groupBy("part").applyInPandas(add, "part int, level binary").collect():
+        for r in sent.groupBy("part").applyInPandas(tidy_group(add), "part int, level binary").collect():
             table[r.part * width : (r.part + 1) * width] = np.frombuffer(r.level, np.uint8)
         return table
 
@@ -216,7 +218,7 @@ def described(docs: DataFrame, slots: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = Counters(slots)
         for batch in batches:
-            for some in runs(batch, 1):
+            for some in runs(batch, 1, RUN):
                 sets = shingles(some.column(1).to_pylist())
                 counters.add(slots_of(np.concatenate(sets), slots))
                 meet, sign = [], []
@@ -231,7 +233,7 @@ def described(docs: DataFrame, slots: int) -> DataFrame:
         for part, at, count in counters.parts():
             yield batch_of(part=[part], at=[at], count=[count])
 
-    return docs.mapInArrow(run, "id long, n long, print binary, meet array<long>, sign array<short>, part int, at binary, count binary")
+    return docs.mapInArrow(tidy(run), "id long, n long, print binary, meet array<long>, sign array<short>, part int, at binary, count binary")
 
 
 def meetings(classes: DataFrame, turn: int = 0) -> DataFrame:
@@ -312,7 +314,7 @@ def marked(ids: DataFrame) -> np.ndarray:
                 n = np.ones(len(at), np.uint32)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], names=["part", "at", "n"])
 
-    return np.packbits(Counters.collected(ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, Counters.schema), slots, lambda n: n > 0))
+    return np.packbits(Counters.collected(ids.select(F.xxhash64("id").alias("h")).mapInArrow(tidy(mark), Counters.schema), slots, lambda n: n > 0))
 
 
 def asked_for(batch: pa.RecordBatch, bits: np.ndarray) -> pa.RecordBatch:
@@ -327,12 +329,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in runs(asked_for(batch, shared.value), 1):
+            for some in map(asked_for, runs(batch, 1, RUN), itertools.repeat(shared.value)):
                 sets = [s.tobytes() for s in shingles(some.column(1).to_pylist())]
                 prints = [xxhash.xxh3_128_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.binary())], names=["id", "print", "set"])
 
-    return docs.withColumn("h", F.xxhash64("id")).mapInArrow(run, "id long, print binary, set binary")
+    return docs.withColumn("h", F.xxhash64("id")).mapInArrow(tidy(run), "id long, print binary, set binary")
 
 
 def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: DataFrame, threshold: int, part_rows: int) -> DataFrame:
@@ -363,7 +365,7 @@ def opened(docs: DataFrame, classes: DataFrame, queries: DataFrame, members: Dat
         links = compare([x for x, a in zip(sets, asks, strict=True) if a], [x for x, a in zip(sets, asks, strict=True) if not a], threshold, known)
         return pd.DataFrame(np.array(links, np.int64).reshape(-1, 2), columns=["a", "b"])
 
-    return rows.join(sets, ["id", "print"]).drop("print").groupBy("g", "part", "turn").applyInPandas(run, "a long, b long")
+    return rows.join(sets, ["id", "print"]).drop("print").groupBy("g", "part", "turn").applyInPandas(tidy_group(run), "a long, b long")
 
 
 def rare_tokens(docs: DataFrame, classes: DataFrame, levels: np.ndarray, threshold: int, buckets: int) -> DataFrame:
@@ -374,8 +376,8 @@ def rare_tokens(docs: DataFrame, classes: DataFrame, levels: np.ndarray, thresho
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in runs(asked_for(batch, shared.value[1]), 1):
-                kept, owner = [], []
+            for some in map(asked_for, runs(batch, 1, RUN), itertools.repeat(shared.value[1])):
+                kept, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
                 for i, s in enumerate(shingles(some.column(1).to_pylist())):
                     keep = len(s) - (threshold * len(s) + 99) // 100 + LEAST if len(s) else 0
                     rarity = (shared.value[0][slots_of(s, slots)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
@@ -407,8 +409,8 @@ def rare_tokens(docs: DataFrame, classes: DataFrame, levels: np.ndarray, thresho
         many = np.append(same, False) | np.insert(same, 0, False) if len(token) else np.zeros(0, bool)
         return pd.DataFrame({"token": token[many].view(np.int64), "id": owner[many]})
 
-    sent = docs.withColumn("h", F.xxhash64("id")).mapInArrow(run, "bucket int, tokens binary, ids binary, at binary")
-    return sent.groupBy("bucket").applyInPandas(shared_only, "token long, id long")
+    sent = docs.withColumn("h", F.xxhash64("id")).mapInArrow(tidy(run), "bucket int, tokens binary, ids binary, at binary")
+    return sent.groupBy("bucket").applyInPandas(tidy_group(shared_only), "token long, id long")
 
 
 def agreement(x, y):
