@@ -7,14 +7,16 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tierline.llm import bpe_codec, packing, token_counts
 from tierline.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY
-from tierline.llm.vocabulary import load
+from tierline.llm.vocabulary import ByWord, load
 
 BYTES, WORDS = Tokenizer.from_file(BYTE_VOCABULARY), Tokenizer.from_file(WORD_VOCABULARY)
 
@@ -133,6 +135,52 @@ def test_pack_nothing(no_docs):
     assert packing.pack(no_docs, WORD_VOCABULARY).count() == 0
 
 
+def test_a_batch_is_encoded_in_small_runs(monkeypatch):
+    """A batch holds up to 10,000 rows; what a worker makes of it at once has a bound."""
+
+    class Docs:
+        schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    real, sizes = packing.library_encoder, []
+
+    class Encoder:
+        def of(self, texts):
+            sizes.append(sum(map(len, texts)))
+            return real(WORD_VOCABULARY).of(texts)
+
+    monkeypatch.setattr(packing, "library_encoder", lambda _: Encoder())
+    texts = [f"row {i} " + "of some words " * 150 for i in range(600)]
+    texts[::50] = [None, ""] * 6
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    made = pa.Table.from_batches(packing.pieces(Docs(), WORD_VOCABULARY)(iter([batch])))
+    assert sum(sizes) == sum(len(t or "") for t in texts) > 1_000_000 and max(sizes) < 300_000
+    assert made["doc_id"].to_pylist() == list(range(600))
+    crc = [zlib.crc32(np.array([*library(WORDS, t), 0], "<u4").tobytes()) for t in texts]
+    assert made["ids_crc32"].to_pylist() == crc
+
+
+def test_a_word_met_often_stays_in_memory():
+    made = []
+
+    def make(words):
+        made.extend(words)
+        return [len(w) for w in words]
+
+    by_word = ByWord(load(WORD_VOCABULARY), make, sum, lambda _: 1, limit=200)
+    letters = "abcdefghij"
+    for i in range(100):
+        new = ["x" + "".join(letters[int(d)] for d in f"{20 * i + k:05}") for k in range(20)]
+        assert by_word.of(["often " + " ".join(new)]) == [[5] + [6] * 20]
+    assert made.count("often") == 1
+    assert len(by_word.chunks.now) + len(by_word.chunks.before) <= 250
+
+
 def test_plan_uses_up_the_counts():
     rng = np.random.default_rng(3)
     for _ in range(5):

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import slices, stored
+from tierline.llm.common import released, runs, slices, stored, tidy
 from tierline.llm.vocabulary import ByWord, Vocabulary, load
 
 BINS = 256
 PARTS = 3
 
-
 LINE = 64
+RUN = 1 << 18  # bytes of texts that are encoded at once
 
 
 def word_ends(v: Vocabulary) -> np.ndarray | None:
@@ -76,7 +76,7 @@ def library_encoder(path: str) -> ByWord:
         t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), word])
         return out
 
-    return ByWord(v, make, b"".join, lambda i: np.uint32(i).astype("<u4").tobytes(), limit=800_000)
+    return ByWord(v, make, b"".join, lambda i: np.uint32(i).astype("<u4").tobytes(), limit=400_000)
 
 
 def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -90,25 +90,27 @@ def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, e = batch.column(1).to_pylist(), library_encoder(path)
-            row, start, length, crc = [], [], [], []
-            for first, some in slices(texts):
-                for i, parts in enumerate(e.of(some), first):
-                    ids = memoryview(b"".join([*parts, end]))
-                    for a in range(0, len(ids), 4 * capacity):
-                        cut = ids[a : a + 4 * capacity]
-                        row.append(i)
-                        start.append(a // 4)
-                        length.append(len(cut) // 4)
-                        crc.append(zlib.crc32(cut))
-            begin = pa.array(start, pa.int64())
-            piece = pa.array([a // capacity for a in start], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), piece, begin, pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                names=schema.fieldNames(),
-            )
-
-    return df.select(key, text).mapInArrow(run, schema)
+            e = library_encoder(path)
+            for some in runs(batch, 1, RUN):
+                row, start, length, crc = [], [], [], []
+                for first, texts in slices(some.column(1).to_pylist()):
+                    for i, parts in enumerate(e.of(texts), first):
+                        ids = memoryview(b"".join([*parts, end]))
+                        for a in range(0, len(ids), 4 * capacity):
+                            cut = ids[a : a + 4 * capacity]
+                            row.append(i)
+                            start.append(a // 4)
+                            length.append(len(cut) // 4)
+                            crc.append(zlib.crc32(cut))
+                begin = pa.array(start, pa.int64())
+                piece = pa.array([a // capacity for a in start], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0).take(pa.array(row, pa.int64())), piece, begin, pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                    names=schema.fieldNames(),
+                )
+                released(often=False)
+
+    return df.select(key, text).mapInArrow(tidy(run), schema)
 
 
 def patterns(present: np.ndarray, full: int) -> np.ndarray:

@@ -6,7 +6,7 @@ import functools
 import json
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import regex
@@ -127,20 +127,31 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class Recent(dict):
-    """A dictionary of what was made before; it forgets the older half when it is full.
+class Recent:
+    """What was made before, ``limit`` entries or somewhat more; when ``now`` is half of that, what ``before`` has that wasn't used since is forgotten.
 
-    So a worker's memory doesn't grow with its input.
+    So a worker's memory doesn't grow with its input, and what is met often stays.
     """
 
     def __init__(self, limit: int):
-        super().__init__()
         self.limit = limit
+        self.now: dict = {}
+        self.before: dict = {}
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            for key in list(self)[: len(self) - self.limit // 2]:
-                del self[key]
+    def turn(self) -> None:
+        if 2 * len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+
+    def forgotten(self, keys: Iterable) -> list:
+        """Those of ``keys`` that have to be made; ``now`` gets the others."""
+        out = []
+        for key in keys:
+            value = self.before.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.now[key] = value
+        return out
 
 
 class ByWord:
@@ -156,7 +167,9 @@ class ByWord:
 
     def of(self, texts: list[str]) -> list[list]:
         """For each text, what belongs to its chunks, in order."""
-        v, chunks, words = self.vocabulary, self.chunks, self.words
+        self.chunks.turn()
+        self.words.turn()
+        v, chunks, words = self.vocabulary, self.chunks.now, self.words.now
         split = []
         for text in texts:
             parts = v.parts(text)
@@ -164,8 +177,6 @@ class ByWord:
                 split.append(v.chunks(parts[0]))
             else:
                 split.append([x for p in parts for x in ([p] if isinstance(p, int) else v.chunks(p))])
-        chunks.trim()
-        words.trim()
         for i in v.special.values():
             chunks[i] = self.special(i)
         out, holes, missing = [list(map(chunks.get, c)) for c in split], [], set()
@@ -181,13 +192,13 @@ class ByWord:
                 holes.append((c, made, at))
                 missing.update(map(c.__getitem__, at))
         several, seen = {}, set()
-        for c in missing:
+        for c in self.chunks.forgotten(missing):
             of = v.words_of(c)
             if len(of) == 1 and of[0] is c:
                 seen.add(c)
             else:
                 several[c] = tuple(of)  # of strings only: the collector passes it over
-        unseen = [w for w in seen.union(*several.values()) if w not in words]
+        unseen = self.words.forgotten(w for w in seen.union(*several.values()) if w not in words)
         words.update(zip(unseen, self.make(unseen), strict=True))
         for c in seen:
             chunks[c] = words[c]
